@@ -81,7 +81,8 @@ _SPACED = "SELECT page_id, concat('  ', replace(html, '><', concat('>', chr(10),
 
 @query(
     "html_normalize",
-    "SELECT page_id, lower(trim(replace(html, '><', '> <'))) AS html FROM pages",
+    "SELECT page_id, lower(trim(replace(replace(replace(html, '><', '> <'), chr(9), ' '), chr(10), ''))) AS html "
+    "FROM pages",
 )
 def html_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     spaced = inputs.derived(spark, sf_dir, _SPACED)

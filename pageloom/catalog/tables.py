@@ -32,7 +32,7 @@ _FLAT_ORACLE = features_oracle(
 _FLAT_SCHEMA = StructType(
     [
         StructField("page_id", LongType()),
-        *[StructField(c, StringType()) for c in ("ip", "host", "server", "emails", "script_src_attrs")],
+        *[StructField(c, StringType()) for c in ("host", "ip", "server", "emails", "script_src_attrs")],
     ]
 )
 
@@ -198,14 +198,28 @@ def repartition_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.repartition(10).coalesce(5)
 
 
+_REPORTED = {
+    "page_id": "bigint",
+    "host": "string",
+    "ip": "string",
+    "server": "string",
+    "emails": "array<string>",
+    "script_src_attrs": "array<string>",
+}
+
+
 @query(
     "schema_report",
-    """SELECT * FROM (VALUES (0, 'page_id', 'bigint'), (1, 'host', 'string'), (2, 'ip', 'string'),
-    (3, 'server', 'string'), (4, 'emails', 'array<string>'), (5, 'script_src_attrs', 'array<string>'))
-    AS t (position, column_name, data_type) WHERE (SELECT count(*) FROM pages) > 0""",
+    features_oracle(
+        " UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS data_type, "
+            f"count({'kept_srcs' if c == 'script_src_attrs' else c}) AS n_values FROM features"
+            for i, (c, kind) in enumerate(_REPORTED.items())
+        )
+    ),
 )
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tabular.schema_rows(script_table(spark, sf_dir))
+    return tabular.schema_report(script_table(spark, sf_dir))
 
 
 @query(
@@ -264,9 +278,3 @@ def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.table(spark, sf_dir, "pages").select("page_id", "url")
     return rows.orderBy("page_id").offset(20).limit(50)
-
-
-@query("list_tables")
-def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs.table(spark, sf_dir, "pages").createOrReplaceTempView("pages")
-    return tabular.list_tables(spark)

@@ -16,6 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from pageloom.functions.sql import bind, each, keep, literal
+
 MISSING_TITLE = "\ufffd"
 
 # What may stand between a tag name and its '>': blanks, and attributes with a
@@ -61,100 +63,94 @@ def payload_text(payload: Column) -> Column:
 
 def page_tags(html: Column) -> Column:
     """The title, script, a and meta tags of a page, in document order."""
-    return F.filter(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(1)), lambda t: t != "")
+    return keep(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(1)), "x <> ''")
 
 
 def _named(tags: Column, name: str) -> Column:
     # The four kept names differ in their first letter.
-    return F.filter(tags, lambda t: F.lower(F.substring(t, 2, 1)) == name[0])
+    return keep(tags, f"lower(substring(x, 2, 1)) = '{name[0]}'")
 
 
-def _raw_attribute(tag: Column, name: str) -> Column:
-    """First attribute of that name with its quotes; '' when absent or without a value."""
+def _raw_attribute(tag: str, name: str) -> str:
+    """SQL for the first attribute of that name with its quotes; '' when absent or without a value."""
     other = rf"(?!{name}[\s/>=]){_ATTRIBUTE}"
     pattern = rf"(?is)\A<[a-z][^\s/>]*+(?:[\s/]++|{other})*+{name}\s*+=\s*+({_VALUE})"
-    return F.regexp_extract(tag, pattern, 1)
+    return f"regexp_extract({tag}, {literal(pattern)}, 1)"
+
+
+def _unquoted(tag: str, name: str) -> str:
+    raw = _raw_attribute(tag, name)
+    # Values in quotes keep what is between them; others hold no leading quote.
+    return f"regexp_replace({raw}, {literal(_QUOTES)}, '$1$2$3')"
+
+
+_QUOTES = r"""(?s)\A(?:"(.*)"|'(.*)'|(.*))\z"""
 
 
 @cache
-def _entity_text() -> str:
-    """Named character references as one ``name;\\x01value\\x02...`` text for ``str_to_map``."""
+def _named_references() -> str:
+    """SQL map from ``&name;`` to its characters."""
     pairs = [f"&{name}\x01{value}" for name, value in html5.items() if name.endswith(";")]
-    return "\x02".join(pairs)
+    return _text_map(pairs)
 
 
 @cache
-def _windows_1252_text() -> str:
-    """Numeric references 128-159 mean the Windows-1252 characters."""
-    pairs = []
-    for code in range(0x80, 0xA0):
-        char = bytes([code]).decode("cp1252", errors="ignore")
-        if char:
-            pairs.append(f"{code}\x01{char}")
-    return "\x02".join(pairs)
-
-
-def _text_map(text: str) -> Column:
-    return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x01"))
-
-
-def _code_point(code: Column) -> Column:
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
-    return F.coalesce(F.try_element_at(_text_map(_windows_1252_text()), code.cast("string")), char)
-
-
-def _decode_reference(piece: Column) -> Column:
-    digits = F.regexp_extract(piece, r"(?i)\A&#x?([0-9a-f]+);?\z", 1)
-    numeric = F.when(
-        F.lower(F.substring(piece, 3, 1)) == "x", F.conv(digits, 16, 10).try_cast("bigint")
-    ).otherwise(digits.try_cast("bigint"))
-    named = F.try_element_at(_text_map(_entity_text()), piece)
-    return (
-        F.when(piece == "&amp;", F.lit("&"))
-        .when(F.startswith(piece, F.lit("&#")), F.coalesce(_code_point(numeric), piece))
-        .when(F.startswith(piece, F.lit("&")), F.coalesce(named, piece))
-        .otherwise(piece)
-    )
+def _windows_1252() -> str:
+    """SQL map for numeric references 128-159, which mean the Windows-1252 characters."""
+    chars = [(code, bytes([code]).decode("cp1252", errors="ignore")) for code in range(0x80, 0xA0)]
+    return _text_map([f"{code}\x01{char}" for code, char in chars if char])
+
+
+def _text_map(pairs: list[str]) -> str:
+    return f"str_to_map({literal(chr(2).join(pairs))}, {literal(chr(2))}, {literal(chr(1))})"
 
 
 _PIECE = r"(?i)&(?:#[0-9]{1,9};?|#x[0-9a-f]{1,8};?|[a-z][a-z0-9]*;)|[^&]+|&"
 
 
-def decode_entities(text: Column) -> Column:
-    """Character references to characters; names need their semicolon, numbers do not."""
-    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
-    return F.when(
-        F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, _decode_reference), "")
-    ).otherwise(text)
+@cache
+def _decoded(text: str) -> str:
+    """SQL for ``text`` with its character references replaced."""
+    number = r"regexp_extract(p, '(?i)&#x?([0-9a-f]+)', 1)"
+    code = f"IF(lower(substring(p, 3, 1)) = 'x', try_cast(conv({number}, 16, 10) AS bigint), try_cast({number} AS bigint))"
+    valid = "c BETWEEN 1 AND 1114111 AND NOT c BETWEEN 55296 AND 57343"
+    char = f"decode(unhex(lpad(hex(IF({valid}, c, 65533L)), 8, '0')), 'UTF-32')"
+    numeric = (
+        f"get(transform(array({code}), c -> coalesce(try_element_at({_windows_1252()}, CAST(c AS string)), {char})), 0)"
+    )
+    piece = f"""
+    CASE WHEN p = '&amp;' THEN '&'
+         WHEN startswith(p, '&#') THEN coalesce({numeric}, p)
+         WHEN startswith(p, '&') THEN coalesce(try_element_at({_named_references()}, p), p)
+         ELSE p END
+    """
+    pieces = f"regexp_extract_all({text}, {literal(_PIECE)}, 0)"
+    return f"IF(contains({text}, '&'), array_join(transform({pieces}, p -> {piece}), ''), {text})"
 
 
-def _unquote(raw: Column) -> Column:
-    quoted = F.substring(raw, 1, 1).isin('"', "'")
-    return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+def decode_entities(text: Column) -> Column:
+    """Character references to characters; names need their semicolon, numbers do not."""
+    return bind(text, _decoded("x"))
 
 
 def attributes(tags: Column, tag_name: str, name: str) -> Column:
     """Non-empty values of one attribute over all tags of one name, in order."""
-    raw = F.transform(_named(tags, tag_name), lambda t: _unquote(_raw_attribute(t, name)))
-    return F.transform(F.filter(raw, lambda v: v != ""), decode_entities)
+    values = keep(each(_named(tags, tag_name), _unquoted("x", name)), "x <> ''")
+    return each(values, _decoded("x"))
 
 
 def title_of(tags: Column) -> Column:
     """Text of the first title, trimmed; U+FFFD when the page has none."""
     first = F.get(_named(tags, "title"), F.lit(0))
-    text = F.regexp_replace(first, rf"(?is)\A<title{_ATTRIBUTES}>", "")
-    trimmed = F.regexp_replace(decode_entities(text), r"(?U)\A\s+|\s+\z", "")
-    return F.coalesce(trimmed, F.lit(MISSING_TITLE))
+    text = decode_entities(F.regexp_replace(first, rf"(?is)\A<title{_ATTRIBUTES}>", ""))
+    return F.coalesce(F.regexp_replace(text, r"(?U)\A\s+|\s+\z", ""), F.lit(MISSING_TITLE))
 
 
 def meta_of(tags: Column, meta_name: str) -> Column:
     """``content`` of the last meta tag of that name; NULL without one."""
-    matching = F.filter(
-        _named(tags, "meta"), lambda t: decode_entities(_unquote(_raw_attribute(t, "name"))) == meta_name
-    )
-    raw = _raw_attribute(F.try_element_at(matching, F.lit(-1)), "content")
-    return decode_entities(_unquote(F.nullif(raw, F.lit(""))))
+    matching = keep(_named(tags, "meta"), f"{_unquoted('x', 'name')} = {literal(meta_name)}")
+    content = f"IF({_raw_attribute('x', 'content')} = '', NULL, {_unquoted('x', 'content')})"
+    return decode_entities(bind(F.try_element_at(matching, F.lit(-1)), content))
 
 
 # Fixed value: a whole e-mail address, optionally as a mailto link.
@@ -163,13 +159,13 @@ EMAIL = r"(?i)\A(mailto:)?[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z0-9.-]+\z"
 
 def emails_of(tags: Column) -> Column:
     """Link targets that are an e-mail address; a mailto with a query is not one."""
-    return F.filter(attributes(tags, "a", "href"), lambda v: v.rlike(EMAIL))
+    return keep(attributes(tags, "a", "href"), f"x RLIKE {literal(EMAIL)}")
 
 
 def script_srcs_of(tags: Column, keep_data_uris: bool = True) -> Column:
     """Script sources in document order, optionally without inline ``data:`` ones."""
     srcs = attributes(tags, "script", "src")
-    return srcs if keep_data_uris else F.filter(srcs, lambda s: ~F.startswith(s, F.lit("data:")))
+    return srcs if keep_data_uris else keep(srcs, "NOT startswith(x, 'data:')")
 
 
 def script_types_of(tags: Column) -> Column:

@@ -8,31 +8,28 @@ address gives NULL, never an error.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pageloom.functions.sql import bind, literal
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _DOTTED = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
 IPV4 = rf"\A{_DOTTED}\z"
-_IPV4_TAIL = rf":{_DOTTED}\z"
-_IPV6_GROUPS = r"(?i)\A(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,7})?\z"
-
+_IPV6_SIDE = r"(?i)\A(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,7})?\z"
 
-def _long(text: Column) -> Column:
-    return text.try_cast("bigint")
 
-
-def _dotted_value(ip: Column) -> Column:
-    octets = [_long(F.split_part(ip, F.lit("."), F.lit(i))) for i in (1, 2, 3, 4)]
-    a, b, c, d = octets
-    return F.shiftleft(a, 24) + F.shiftleft(b, 16) + F.shiftleft(c, 8) + d
+def _octet_sum(ip: str) -> str:
+    """SQL for the value of dotted text; NULL where a part is not a number."""
+    parts = [f"try_cast(split_part({ip}, '.', {i + 1}) AS bigint) * {256 ** (3 - i)}" for i in range(4)]
+    return "(" + " + ".join(parts) + ")"
 
 
 def ip_to_int(ip: Column) -> Column:
     """IPv4 text to its integer; NULL for '-', IPv6, out-of-range octets, leading zeros."""
-    return F.when(ip.rlike(IPV4), _dotted_value(ip))
+    octets = [F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
+    value = F.shiftleft(octets[0], 24) + F.shiftleft(octets[1], 16) + F.shiftleft(octets[2], 8) + octets[3]
+    return F.when(ip.rlike(IPV4), value)
 
 
 def int_to_ip(value: Column) -> Column:
@@ -42,114 +39,94 @@ def int_to_ip(value: Column) -> Column:
     return F.concat(octets[0], dot, octets[1], dot, octets[2], dot, octets[3])
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _shift(value: int, bits: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(value).cast("bigint"), bits)
-
-
-def _ipv4_mask(prefix_len: Column) -> Column:
-    return _shift(-1, F.lit(32) - prefix_len).bitwiseAND(F.lit(0xFFFFFFFF))
-
-
-def _half_mask(bits: Column) -> Column:
-    """Mask of the top ``bits`` of 64; below 1 nothing, above 63 everything."""
-    return (
-        F.when(bits <= 0, F.lit(0).cast("bigint"))
-        .when(bits >= 64, F.lit(-1).cast("bigint"))
-        .otherwise(_shift(-1, F.lit(64) - bits))
-    )
-
+def _expand_tail(ip: str) -> str:
+    """SQL for IPv6 text whose dotted tail, if any, is written as two groups."""
+    tail = f"regexp_extract({ip}, {literal(f':({_DOTTED})' + chr(92) + 'z')}, 1)"
+    head = f"regexp_replace({ip}, {literal(_DOTTED + chr(92) + 'z')}, '')"
+    value = _octet_sum(tail)
+    groups = f"concat(hex(shiftright({value}, 16)), ':', hex({value} & 65535))"
+    return f"CASE WHEN {tail} = '' THEN {ip} ELSE concat({head}, {groups}) END"
+
+
+# The eight groups of an IPv6 text ``x``, already cut at "::" into one or two sides.
+_EIGHT_GROUPS = f"""
+CASE
+  WHEN size(x) > 2 OR NOT forall(x, s -> s RLIKE {literal(_IPV6_SIDE)}) THEN NULL
+  WHEN size(x) = 1 THEN IF(size(split(x[0], ':')) = 8, split(x[0], ':'), NULL)
+  ELSE get(transform(
+    array(struct(filter(split(x[0], ':'), g -> g <> '') AS l, filter(split(x[1], ':'), g -> g <> '') AS r)),
+    y -> IF(size(y.l) + size(y.r) < 8,
+            concat(y.l, array_repeat('0', 8 - size(y.l) - size(y.r)), y.r), NULL)), 0)
+END
+"""
 
-def _ipv6_groups(ip: Column) -> Column:
-    """The eight hexadecimal groups of an IPv6 text, NULL if it is not one."""
-    # A dotted tail stands for the last two groups.
-    tail = _dotted_value(F.regexp_extract(ip, rf"({_DOTTED})\z", 1))
-    hex_tail = F.concat(F.hex(F.shiftright(tail, 16)), F.lit(":"), F.hex(tail.bitwiseAND(F.lit(0xFFFF))))
-    text = F.when(ip.rlike(_IPV4_TAIL), F.concat(F.regexp_replace(ip, rf"{_DOTTED}\z", ""), hex_tail)).otherwise(ip)
 
-    def groups(side: Column) -> Column:
-        return F.filter(F.split(side, ":", -1), lambda g: g != "")
+def _half(first: int) -> str:
+    """SQL for 64 bits out of four groups of ``x``."""
+    words = [f"shiftleft(CAST(conv(x[{first + i}], 16, 10) AS bigint), {48 - 16 * i})" for i in range(4)]
+    return "(" + " | ".join(words) + ")"
 
-    def expand(sides: Column) -> Column:
-        left = groups(F.get(sides, F.lit(0)))
-        right = groups(F.get(sides, F.lit(1)))
-        missing = F.lit(8) - F.size(left) - F.size(right)
-        return (
-            F.when(~F.forall(sides, lambda s: s.rlike(_IPV6_GROUPS)) | (F.size(sides) > 2), None)
-            .when((F.size(sides) == 1) & (F.size(left) == 8), left)
-            .when(
-                (F.size(sides) == 2) & (missing >= 1),
-                F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right),
-            )
-        )
 
-    return _let(F.split(text, "::", -1), expand)
+_V6_KEY = f"IF(x IS NULL, NULL, named_struct('family', 6, 'hi', {_half(0)}, 'lo', {_half(4)}))"
 
 
-def _ipv6_half(groups: Column, first: int) -> Column:
-    words = [F.conv(F.get(groups, F.lit(first + i)), 16, 10).try_cast("bigint") for i in range(4)]
-    return (
-        F.shiftleft(words[0], 48)
-        .bitwiseOR(F.shiftleft(words[1], 32))
-        .bitwiseOR(F.shiftleft(words[2], 16))
-        .bitwiseOR(words[3])
-    )
+def ip_key(ip: Column) -> Column:
+    """Struct (family, hi, lo) of an IPv4 or IPv6 text; NULL if it is neither."""
+    v4 = bind(ip, f"named_struct('family', 4, 'hi', 0L, 'lo', {_octet_sum('x')})")
+    sides = F.split(bind(ip, _expand_tail("x")), "::", -1)
+    v6 = bind(bind(sides, _EIGHT_GROUPS), _V6_KEY)
+    return F.when(ip.rlike(IPV4), v4).when(F.contains(ip, F.lit(":")), v6)
 
 
-def _address(family: int, hi: Column, lo: Column) -> Column:
-    return F.struct(F.lit(family).alias("family"), hi.alias("hi"), lo.alias("lo"))
+def _half_mask(bits: str) -> str:
+    """SQL for a mask of the top ``bits`` of 64; below 1 nothing, above 63 everything."""
+    return f"CASE WHEN {bits} <= 0 THEN 0L WHEN {bits} >= 64 THEN -1L ELSE shiftleft(-1L, 64 - ({bits})) END"
 
 
-def ip_key(ip: Column) -> Column:
-    """Struct (family, hi, lo) of an IPv4 or IPv6 text; NULL if it is neither."""
-    return F.when(ip.rlike(IPV4), _address(4, F.lit(0).cast("bigint"), _dotted_value(ip))).when(
-        F.contains(ip, F.lit(":")),
-        _let(
-            _ipv6_groups(ip),
-            lambda g: F.when(g.isNotNull(), _address(6, _ipv6_half(g, 0), _ipv6_half(g, 4))),
-        ),
-    )
+def mask(family: str, prefix_len: str) -> str:
+    """SQL for the struct (hi, lo) of the network mask of a family at one prefix length."""
+    v4 = f"named_struct('hi', 0L, 'lo', shiftleft(-1L, 32 - {prefix_len}) & 4294967295L)"
+    v6 = f"named_struct('hi', {_half_mask(prefix_len)}, 'lo', {_half_mask(f'{prefix_len} - 64')})"
+    return f"IF({family} = 4, {v4}, {v6})"
 
 
-def mask_key(key: Column, prefix_len: Column) -> Column:
-    """Network struct (family, prefix_len, hi, lo) of an address key at one prefix length."""
-    v4 = key["family"] == 4
-    hi = F.when(v4, key["hi"]).otherwise(key["hi"].bitwiseAND(_half_mask(prefix_len)))
-    lo = F.when(v4, key["lo"].bitwiseAND(_ipv4_mask(prefix_len))).otherwise(
-        key["lo"].bitwiseAND(_half_mask(prefix_len - 64))
-    )
-    return F.struct(key["family"].alias("family"), prefix_len.alias("prefix_len"), hi.alias("hi"), lo.alias("lo"))
+# A network from ``x``: its address key ``k``, prefix length ``n`` and mask ``m``.
+_MASKED = """
+named_struct('family', x.k.family, 'prefix_len', x.n, 'hi', x.k.hi & x.m.hi, 'lo', x.k.lo & x.m.lo)
+"""
+_WITH_MASK = f"named_struct('k', x.k, 'n', x.n, 'm', {mask('x.k.family', 'x.n')})"
+_LONGEST = "IF(x.k.family = 4, 32, 128)"
+# NULL length: the text after the '/' is no number or too large for the family.
+_WITH_LENGTH = f"""
+named_struct('k', x.k, 'n', CASE
+  WHEN x.t IS NULL THEN {_LONGEST}
+  WHEN try_cast(x.t AS int) BETWEEN 0 AND {_LONGEST} THEN try_cast(x.t AS int) END)
+"""
 
 
-def _prefix_len(network: Column, longest: Column | int) -> Column:
-    """Length after the '/'; the longest for a bare address; NULL if out of range."""
-    longest = longest if isinstance(longest, Column) else F.lit(longest)
-    text = F.regexp_extract(network, r"\A[^/]*/([0-9]{1,3})\z", 1)
-    length = F.when(F.contains(network, F.lit("/")), text.try_cast("int")).otherwise(longest)
-    return F.when(length.between(F.lit(0), longest), length)
+def _length_text(network: Column) -> Column:
+    """Text after the '/'; NULL without a '/'."""
+    return F.when(F.contains(network, F.lit("/")), F.regexp_extract(network, r"\A[^/]*/([0-9]{1,3})\z", 1))
 
 
 def cidr_key(network: Column) -> Column:
     """Network struct of CIDR text, host bits cleared; a bare address is a full-length network."""
-
-    def masked(key: Column) -> Column:
-        length = _prefix_len(network, F.when(key["family"] == 4, F.lit(32)).otherwise(F.lit(128)))
-        return F.when(key.isNotNull() & length.isNotNull(), mask_key(key, length))
-
-    return _let(ip_key(F.split_part(network, F.lit("/"), F.lit(1))), masked)
+    address = ip_key(F.split_part(network, F.lit("/"), F.lit(1)))
+    parsed = bind(F.struct(address.alias("k"), _length_text(network).alias("t")), _WITH_LENGTH)
+    masked = bind(bind(parsed, _WITH_MASK), _MASKED)
+    return bind(masked, "IF(x.family IS NULL OR x.prefix_len IS NULL, NULL, x)")
 
 
 def cidr_to_range(network: Column) -> Column:
     """Struct (start_ip, end_ip) of an IPv4 CIDR block, as integers; NULL for anything else."""
     address = ip_to_int(F.split_part(network, F.lit("/"), F.lit(1)))
-    length = _prefix_len(network, 32)
-    start = address.bitwiseAND(_ipv4_mask(length))
-    end = start + _shift(1, F.lit(32) - length) - 1
-    return F.when(end.isNotNull(), F.struct(start.alias("start_ip"), end.alias("end_ip")))
+    length = F.coalesce(_length_text(network), F.lit("32")).try_cast("int")
+    body = """
+    IF(x.a IS NULL OR x.n IS NULL OR x.n > 32, NULL, named_struct(
+      'start_ip', x.a & shiftleft(-1L, 32 - x.n),
+      'end_ip', (x.a & shiftleft(-1L, 32 - x.n)) + shiftleft(1L, 32 - x.n) - 1))
+    """
+    return bind(F.struct(address.alias("a"), length.alias("n")), body)
 
 
 def broadcast_address(network: Column) -> Column:

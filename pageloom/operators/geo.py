@@ -7,7 +7,7 @@ distinct address is masked once per prefix length that occurs among the blocks
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     StringType,
 )
 
-from pageloom.functions.ip import cidr_key, ip_key, mask_key
+from pageloom.functions.ip import cidr_key, ip_key, mask
 from pageloom.operators.joins import skew_join
 
 # The result columns of a lookup, in order.
@@ -43,26 +43,47 @@ GEO_18: dict[str, DataType] = {
 }
 GEO_13 = {name: kind for name, kind in GEO_18.items() if not name.startswith("is_")}
 
-_NET = ["family", "prefix_len", "hi", "lo"]
+_NET = ["_family", "_prefix_len", "_hi", "_lo"]
+
+
+def _field(struct: str, field: str, absent: int, kind: str) -> Column:
+    # Never NULL, so that the joins below need no NULL tests on the parsed text.
+    return F.coalesce(F.col(f"{struct}.{field}"), F.lit(absent).cast(kind)).alias(f"_{field}")
 
 
 def _networks(blocks: DataFrame) -> DataFrame:
-    """Blocks with their network key as flat columns; unreadable networks dropped."""
-    keyed = blocks.withColumn("_net", cidr_key(F.col("network"))).where(F.col("_net").isNotNull())
-    return keyed.select("*", *[F.col(f"_net.{c}").alias(f"_{c}") for c in _NET]).drop("_net")
+    """Blocks with their network as flat columns; unreadable ones get the family -1."""
+    keyed = blocks.withColumn("_net", cidr_key(F.col("network")))
+    return keyed.select(
+        *blocks.columns,
+        _field("_net", "family", -1, "int"),
+        _field("_net", "prefix_len", -1, "int"),
+        _field("_net", "hi", 0, "bigint"),
+        _field("_net", "lo", 0, "bigint"),
+    )
 
 
 def _probes(ips: DataFrame, networks: DataFrame) -> DataFrame:
     """Each address once per prefix length present in its family, masked to that length.
 
-    The table of lengths has at most 162 rows whatever the input, so it is broadcast.
+    The table of lengths and masks has at most 163 rows whatever the input (33 IPv4
+    and 129 IPv6 lengths, and one for unreadable blocks), so it is broadcast. What is
+    no address has the family 0 and finds no length.
     """
-    lengths = F.broadcast(networks.select("_family", "_prefix_len").distinct())
-    keyed = ips.withColumn("_key", ip_key(F.col("ip"))).where(F.col("_key").isNotNull())
-    probes = keyed.withColumn("_family", F.col("_key.family")).join(lengths, "_family")
-    masked = mask_key(F.col("_key"), F.col("_prefix_len"))
-    return probes.withColumn("_net", masked).select(
-        "ip", "_family", "_prefix_len", F.col("_net.hi").alias("_hi"), F.col("_net.lo").alias("_lo")
+    lengths = networks.select("_family", "_prefix_len").distinct()
+    masks = lengths.withColumn("_mask", F.expr(mask("_family", "_prefix_len")))
+    keyed = ips.withColumn("_key", ip_key(F.col("ip"))).select(
+        "ip",
+        _field("_key", "family", 0, "int"),
+        _field("_key", "hi", 0, "bigint"),
+        _field("_key", "lo", 0, "bigint"),
+    )
+    return keyed.join(F.broadcast(masks), "_family").select(
+        "ip",
+        "_family",
+        "_prefix_len",
+        F.col("_hi").bitwiseAND(F.col("_mask.hi")).alias("_hi"),
+        F.col("_lo").bitwiseAND(F.col("_mask.lo")).alias("_lo"),
     )
 
 
@@ -73,10 +94,9 @@ def match_ips(ips: DataFrame, blocks: DataFrame, all_matches: bool = False) -> D
     ``all_matches`` every containing block gives a row, as a range join would.
     """
     networks = _networks(blocks)
-    keys = [f"_{c}" for c in _NET]
     columns = [c for c in blocks.columns if c != "ip"]
     probes = _probes(ips.select("ip").distinct(), networks)
-    matched = skew_join(probes, networks, keys)
+    matched = skew_join(probes, networks, _NET)
     if all_matches:
         return matched.select("ip", *columns)
     # Least of (-length, row): an aggregate that combines before the shuffle.

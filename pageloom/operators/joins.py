@@ -8,28 +8,56 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 1024
 HOT_ROWS = 1_000_000
 SALTS = 64
+# Of inputs below this no key can have enough rows to matter.
+SMALL_BYTES = 64 << 20
 
 _HASH = "_key_hash"
 _SALT = "_salt"
 
 
+def largest_input_bytes(df: DataFrame) -> int | None:
+    """Size of the largest table a DataFrame reads, None where the session cannot tell."""
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    except AttributeError:
+        return None
+    return max(sizes, default=0)
+
+
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the most frequent keys: at most ``MAX_HOT_KEYS`` longs.
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[int]:
+    """Hashes of the most frequent keys with at least ``min_rows`` rows.
 
-    Any key with more than 1/1024 of all rows is among them, however large the
-    input, so this is safe to broadcast. The counts are combined before the shuffle.
+    At most ``MAX_HOT_KEYS`` longs reach the driver, whatever the input; any key
+    with more than 1/1024 of all rows is among them. Only the key columns are
+    read, and the counts are combined before the shuffle.
     """
     counts = df.groupBy(key_hash(keys).alias(_HASH)).agg(F.count("*").alias("_rows"))
-    return (
-        counts.where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), _HASH)
-        .limit(MAX_HOT_KEYS)
-        .select(_HASH)
-    )
+    top = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), _HASH).limit(MAX_HOT_KEYS)
+    return [row[_HASH] for row in top.collect()]
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, hot: list[int], salts: int = SALTS
+) -> DataFrame:
+    """Equi-join that spreads the keys with the given hashes over ``salts`` tasks.
+
+    Rows of a hot key get a salt on the left, and the right rows of hot keys are
+    repeated once per salt, so each pair still meets exactly once. The salt depends
+    on the task a row comes from and on nothing else: a task that runs again chooses
+    the same, copies of a row spread like all others, and no column has to be read
+    for it.
+    """
+    is_hot = key_hash(on).isin(hot)
+    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
+    all_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
+    salted_right = right.withColumn(_SALT, F.explode(all_salts))
+    return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
 
 
 def skew_join(
@@ -37,42 +65,37 @@ def skew_join(
     right: DataFrame,
     on: list[str],
     how: str = "inner",
-    salts: int = SALTS,
     min_rows: int = HOT_ROWS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Equi-join (inner, left, left_semi, left_anti) with the hot keys of ``left`` spread out.
+    """Equi-join (inner, left, left_semi, left_anti) that splits the hot keys of ``left``.
 
-    Rows of a hot key get one of ``salts`` salts on the left, and the matching
-    right rows are repeated once per salt, so each pair still meets exactly once.
-    The salt depends on the task a row comes from and on nothing else: a task that
-    runs again chooses the same, copies of a row spread like all others, and no
-    column has to be read for it.
+    ``left`` is first asked for its hot keys, by a count over its key columns. Without
+    any, or if ``left`` comes from small tables only, this is the plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = F.broadcast(hot_keys(left, on, min_rows).withColumn("_hot", F.lit(True)))
-
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    salted_left = (
-        left.withColumn(_HASH, key_hash(on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
-        .drop(_HASH, "_hot")
-    )
-    all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.withColumn(_HASH, key_hash(on))
-        .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.explode(all_salts))
-        .drop(_HASH, "_hot")
-    )
-    return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
+    size = largest_input_bytes(left)
+    hot = [] if size is not None and size < small_bytes else hot_keys(left, on, min_rows)
+    return salted_join(left, right, on, how, hot) if hot else left.join(right, on, how)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which NULL keys match each other; the key columns appear once."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
-    condition = F.lit(True)
-    for key in on:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in on])
+    """Equi-join in which NULL keys match each other; the key columns appear once.
+
+    NULL is a value of its own in the keys: each side adds for every key whether it
+    is NULL and a text that is never NULL.
+    """
+    flags = [f"_null_{k}" for k in on]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({f"_null_{k}": F.col(k).isNull() for k in on})
+
+    filled = keyed(right).withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in on})
+    kept = [k for k in left.columns]
+    rest = [c for c in right.columns if c not in on]
+    marked = keyed(left).withColumns({f"_key_{k}": F.coalesce(F.col(k), F.lit("")) for k in on})
+    joined = skew_join(
+        marked, filled.withColumnsRenamed({k: f"_key_{k}" for k in on}), [f"_key_{k}" for k in on] + flags, how
+    )
+    return joined.select(*kept, *rest)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.js import js_lib_names
 from pageloom.functions.url import url_domain
 from pageloom.operators.joins import skew_join
+from pageloom.session import written
 
 
 def domain_lib_pairs(pages: DataFrame, drop_empty_domain: bool = False) -> DataFrame:
@@ -55,47 +56,61 @@ def _library_sets(pairs: DataFrame) -> DataFrame:
     )
 
 
-def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512) -> DataFrame:
-    """Ordered pairs of different libraries and the number of domains having both.
+def _pairs_of_small_sets(members: DataFrame) -> DataFrame:
+    """Pairs within each set, met under the domain that stands for it."""
+    other = members.select("domain", F.col("js_lib").alias("_b"))
+    met = members.withColumnRenamed("js_lib", "_a").join(other, "domain").where(F.col("_a") < F.col("_b"))
+    return met.select("_a", "_b", "weight")
 
-    ``min_domains`` keeps the pairs on at least that many domains; libraries on
-    fewer domains cannot be in one and leave before the join.
 
-    The members of a set are dealt into blocks of about ``block_libs``, and any two
-    blocks meet under a key of their own, so a domain with very many libraries is
-    worked on by many tasks. Each unordered pair is met once and mirrored at the end.
+def _pairs_of_large_sets(members: DataFrame, block_libs: int) -> DataFrame:
+    """Pairs within each set, with the members dealt into blocks of about ``block_libs``.
+
+    Any two blocks meet under a key of their own (a cell), so that one set is worked
+    on by many tasks. Of the cells only those with row <= col are used: a member of
+    block b is a first partner in row b and a second partner in column b.
     """
-    if min_domains > 1:
-        frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
-        pairs = skew_join(pairs, frequent, ["js_lib"], "left_semi")
     blocks = F.ceil(F.col("n_libs") / block_libs).cast("int")
-    members = skew_join(pairs, _library_sets(pairs), ["domain"]).select(
-        "domain", "js_lib", "weight", blocks.alias("_n"), F.pmod(F.xxhash64("js_lib"), blocks).cast("int").alias("_b")
+    dealt = members.select(
+        "domain", "js_lib", "weight", blocks.alias("_n"), F.pmod(F.xxhash64("js_lib"), blocks).cast("int").alias("_block")
     )
-
-    # The cells (row, col) with row <= col: a member of block b is a first partner in
-    # row b and a second partner in column b.
-    first = members.select(
+    first = dealt.select(
         "domain",
-        F.col("_b").alias("_row"),
-        F.explode(F.sequence(F.col("_b"), F.col("_n") - 1)).alias("_col"),
+        F.col("_block").alias("_row"),
+        F.explode(F.sequence(F.col("_block"), F.col("_n") - 1)).alias("_col"),
         "weight",
         F.col("js_lib").alias("_first"),
     )
-    second = members.select(
+    second = dealt.select(
         "domain",
-        F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_row"),
-        F.col("_b").alias("_col"),
+        F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_row"),
+        F.col("_block").alias("_col"),
         F.col("js_lib").alias("_second"),
     )
     met = first.join(second, ["domain", "_row", "_col"]).where(
         (F.col("_row") < F.col("_col")) | (F.col("_first") < F.col("_second"))
     )
-    counted = (
-        met.groupBy(F.least("_first", "_second").alias("_a"), F.greatest("_first", "_second").alias("_b"))
-        .agg(F.sum("weight").alias("domain_count"))
-        .where(F.col("domain_count") >= min_domains)
+    return met.select(
+        F.least("_first", "_second").alias("_a"), F.greatest("_first", "_second").alias("_b"), "weight"
     )
+
+
+def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512) -> DataFrame:
+    """Ordered pairs of different libraries and the number of domains having both.
+
+    ``min_domains`` keeps the pairs on at least that many domains; libraries on
+    fewer domains cannot be in one and leave before the join. Each unordered pair is
+    met once and mirrored at the end.
+    """
+    if min_domains > 1:
+        frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
+        pairs = skew_join(pairs, frequent, ["js_lib"], "left_semi")
+    members = skew_join(pairs, _library_sets(pairs), ["domain"])
+    small = members.where(F.col("n_libs") <= block_libs).select("domain", "js_lib", "weight")
+    large = members.where(F.col("n_libs") > block_libs)
+    met = _pairs_of_small_sets(small).unionByName(_pairs_of_large_sets(large, block_libs))
+    counted = met.groupBy("_a", "_b").agg(F.sum("weight").alias("domain_count"))
+    counted = counted.where(F.col("domain_count") >= min_domains)
     both = F.array(
         F.struct(F.col("_a").alias("js_lib1"), F.col("_b").alias("js_lib2")),
         F.struct(F.col("_b").alias("js_lib1"), F.col("_a").alias("js_lib2")),
@@ -110,6 +125,7 @@ def top_cooccurrence(pairs: DataFrame, k: int = 50, probe_libs: int = 64) -> Dat
     Their k-th best count bounds the k-th best of all from below, and a library on
     fewer domains than that cannot be in one of the top pairs.
     """
+    pairs = written(pairs, "pairs")
     counts = lib_domain_counts(pairs)
     probe = counts.orderBy(F.desc("domain_count"), "js_lib").limit(probe_libs).select("js_lib")
     best = (

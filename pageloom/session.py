@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "pageloom", **conf: str) -> SparkSession:
@@ -37,3 +37,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="pageloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for results that are read several times.
+
+    It is computed once, and a lost executor costs no more than reading it again.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from pageloom.functions.js import join_piped
 
@@ -31,18 +31,20 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_tolerant(
     spark: SparkSession, path: str, schema: StructType, sep: str = "\t", header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows, and the raw text of the rows that do not fit the schema."""
-    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = (
-        spark.read.schema(with_corrupt)
-        .option("sep", sep)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejected = rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+    """Well-formed rows, and the text of the lines that do not fit the schema.
+
+    A line with too few or too many fields, or with a field that is not of its type,
+    does not fit. A header line is known by the column names.
+    """
+    lines = spark.read.text(path).where(F.col("value") != "")
+    if header:
+        lines = lines.where(F.col("value") != sep.join(schema.names))
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    with_corrupt = ", ".join([*columns, f"{CORRUPT} string"])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.select("value", F.from_csv("value", with_corrupt, options).alias("_row"))
+    good = rows.where(F.col(f"_row.{CORRUPT}").isNull()).select("_row.*").drop(CORRUPT)
+    rejected = rows.where(F.col(f"_row.{CORRUPT}").isNotNull()).select(F.col("value").alias("line"))
     return good, rejected
 
 
@@ -107,11 +109,20 @@ def rewrite_table(
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
-def schema_rows(df: DataFrame) -> DataFrame:
-    """Column position, name and type of a DataFrame, as rows."""
-    spark = df.sparkSession
-    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(fields, "position int, column_name string, data_type string")
+def schema_report(df: DataFrame) -> DataFrame:
+    """Position, name and type of every column, and how many rows have a value there."""
+    fields = df.schema.fields
+    counted = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(fields)])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f"_{i}").alias("n_values"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def list_tables(spark: SparkSession) -> DataFrame:

@@ -11,7 +11,6 @@ import time
 
 import duckdb
 import pandas as pd
-from pyspark.sql import DataFrame
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -47,9 +46,11 @@ def _rows(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple]
     return [columns[i] for i in order], sorted(tuple(_value(row[i]) for i in order) for row in rows)
 
 
-def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, str | None]:
+def compare(
+    columns: list[str], rows: list[tuple], con: duckdb.DuckDBPyConnection, sql: str
+) -> tuple[int, str | None]:
     """Number of rows, and what differs (None if nothing does)."""
-    got_columns, got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    got_columns, got = _rows(columns, rows)
     result = con.execute(sql)
     want_columns, want = _rows([d[0] for d in result.description], result.fetchall())
     if got_columns != want_columns:
@@ -70,10 +71,12 @@ def main(folder: str, names: list[str]) -> int:
         started = time.perf_counter()
         try:
             df = QUERIES[name](spark, folder)
-            n, problem = compare(df, con, ORACLES[name]) if name in ORACLES else (len(df.collect()), None)
+            rows = [tuple(r) for r in df.collect()]
+            seconds = time.perf_counter() - started
+            n, problem = compare(df.columns, rows, con, ORACLES[name]) if name in ORACLES else (len(rows), None)
         except Exception as error:
             n, problem = 0, f"{type(error).__name__}: {str(error)[:1500]}"
-        seconds = time.perf_counter() - started
+            seconds = time.perf_counter() - started
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name:32s} {n:8d} rows {seconds:6.2f} s {problem or ''}", flush=True)
     print(f"{failed} failed")
