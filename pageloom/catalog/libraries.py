@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pageloom.catalog.extraction import features_oracle, script_table
 from pageloom.catalog.registry import query
 from pageloom.operators import libs
+from pageloom.session import written
 
 _PAIRS = r"""
 SELECT DISTINCT domain, js_lib FROM (
@@ -25,6 +26,11 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return libs.domain_lib_pairs(script_table(spark, sf_dir))
 
 
+def _stored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs as a table, for the analyses that read them more than once."""
+    return written(_pairs(spark, sf_dir), "domain-libs")
+
+
 @query("domain_lib_pairs", features_oracle("SELECT domain, js_lib FROM pairs", pairs=_PAIRS))
 def domain_lib_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir)
@@ -55,7 +61,7 @@ def top_js_libs(spark: SparkSession, sf_dir: str) -> DataFrame:
     features_oracle("SELECT js_lib1, js_lib2, domain_count FROM met", pairs=_PAIRS, met=_MET),
 )
 def js_lib_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return libs.cooccurrence(_pairs(spark, sf_dir))
+    return libs.cooccurrence(_stored_pairs(spark, sf_dir))
 
 
 @query(
@@ -67,7 +73,7 @@ def js_lib_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def js_lib_cooccurrence_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return libs.top_cooccurrence(_pairs(spark, sf_dir), 50)
+    return libs.top_cooccurrence(_stored_pairs(spark, sf_dir), 50)
 
 
 @query(
@@ -75,4 +81,4 @@ def js_lib_cooccurrence_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     features_oracle("SELECT js_lib1, js_lib2, domain_count FROM met WHERE domain_count >= 3", pairs=_PAIRS, met=_MET),
 )
 def js_lib_cooccurrence_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return libs.cooccurrence(_pairs(spark, sf_dir), min_domains=3)
+    return libs.cooccurrence(_stored_pairs(spark, sf_dir), min_domains=3)

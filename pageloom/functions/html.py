@@ -32,15 +32,22 @@ def _body(name: str) -> str:
     return rf"(?:[^<]++|<(?!/{name}[\s/>]))*+"
 
 
-# Group 1 is the tag when it is one of title (with its text), script, a or meta,
-# and empty for everything else that is skipped over. Groups 2 and 3 are empty
-# marks telling which of title and script was met.
+_NAME_END = r"(?=[\s/>])"
+
+# What is skipped: text, comments, raw-text elements, and every tag that is not wanted.
+_SKIPPED = (
+    r"(?:[^<]++|<(?:!--(?:-?>|(?:[^-]++|-(?!-!?>))*+(?:--!?>)?+)"
+    rf"|(style|textarea|xmp|iframe|noembed|noframes){_NAME_END}{_ATTRIBUTES}>{_body(chr(92) + '1')}"
+    rf"|(?!(?:a|meta|script|title){_NAME_END})(?:/?[a-z][^\s/>]*+{_ATTRIBUTES}>|[!?/][^>]*+>)?+))*+"
+)
+
+# One match per wanted tag, in group 2: title (with its text), script, a or meta. Groups
+# 3 and 4 are empty marks telling which of title and script was met. A wanted name
+# without its '>' is passed over like text; the last match is empty.
 _TOKEN = (
-    r"(?is)<!--(?:-?>|(?:[^-]++|-(?!-!?>))*+(?:--!?>)?+)"
-    rf"|(<(?:title()|script()|a|meta)(?=[\s/>]){_ATTRIBUTES}>(?:\2{_body('title')})?+)(?:\3{_body('script')})?+"
-    rf"|<(style|textarea|xmp|iframe|noembed|noframes)(?=[\s/>]){_ATTRIBUTES}>{_body(r'\4')}"
-    rf"|</?[a-z][^\s/>]*+{_ATTRIBUTES}>"
-    r"|<[!?/][^>]*+>"
+    rf"(?is){_SKIPPED}(?:"
+    rf"(<(?:title()|script()|a|meta){_NAME_END}{_ATTRIBUTES}>(?:\3{_body('title')})?+)(?:\4{_body('script')})?+"
+    r"|<|\z)"
 )
 
 
@@ -63,7 +70,7 @@ def payload_text(payload: Column) -> Column:
 
 def page_tags(html: Column) -> Column:
     """The title, script, a and meta tags of a page, in document order."""
-    return keep(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(1)), "x <> ''")
+    return keep(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(2)), "x <> ''")
 
 
 def _named(tags: Column, name: str) -> Column:

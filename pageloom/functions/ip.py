@@ -19,17 +19,13 @@ IPV4 = rf"\A{_DOTTED}\z"
 _IPV6_SIDE = r"(?i)\A(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,7})?\z"
 
 
-def _octet_sum(ip: str) -> str:
-    """SQL for the value of dotted text; NULL where a part is not a number."""
-    parts = [f"try_cast(split_part({ip}, '.', {i + 1}) AS bigint) * {256 ** (3 - i)}" for i in range(4)]
-    return "(" + " + ".join(parts) + ")"
+# Value of dotted text cut at its dots, ``x``.
+_OCTET_SUM = "(" + " + ".join(f"CAST(x[{i}] AS bigint) * {256 ** (3 - i)}" for i in range(4)) + ")"
 
 
 def ip_to_int(ip: Column) -> Column:
     """IPv4 text to its integer; NULL for '-', IPv6, out-of-range octets, leading zeros."""
-    octets = [F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
-    value = F.shiftleft(octets[0], 24) + F.shiftleft(octets[1], 16) + F.shiftleft(octets[2], 8) + octets[3]
-    return F.when(ip.rlike(IPV4), value)
+    return F.when(ip.rlike(IPV4), bind(F.split(ip, r"\."), _OCTET_SUM))
 
 
 def int_to_ip(value: Column) -> Column:
@@ -39,13 +35,12 @@ def int_to_ip(value: Column) -> Column:
     return F.concat(octets[0], dot, octets[1], dot, octets[2], dot, octets[3])
 
 
-def _expand_tail(ip: str) -> str:
-    """SQL for IPv6 text whose dotted tail, if any, is written as two groups."""
-    tail = f"regexp_extract({ip}, {literal(f':({_DOTTED})' + chr(92) + 'z')}, 1)"
-    head = f"regexp_replace({ip}, {literal(_DOTTED + chr(92) + 'z')}, '')"
-    value = _octet_sum(tail)
-    groups = f"concat(hex(shiftright({value}, 16)), ':', hex({value} & 65535))"
-    return f"CASE WHEN {tail} = '' THEN {ip} ELSE concat({head}, {groups}) END"
+def _expand_tail(ip: Column) -> Column:
+    """IPv6 text whose dotted tail, if any, is written as two groups."""
+    tail = F.regexp_extract(ip, rf":({_DOTTED})\z", 1)
+    groups = "concat(hex(shiftright(x, 16)), ':', hex(x & 65535))"
+    expanded = F.concat(F.regexp_replace(ip, rf"{_DOTTED}\z", ""), bind(ip_to_int(tail), groups))
+    return F.when(tail == "", ip).otherwise(expanded)
 
 
 # The eight groups of an IPv6 text ``x``, already cut at "::" into one or two sides.
@@ -72,10 +67,9 @@ _V6_KEY = f"IF(x IS NULL, NULL, named_struct('family', 6, 'hi', {_half(0)}, 'lo'
 
 def ip_key(ip: Column) -> Column:
     """Struct (family, hi, lo) of an IPv4 or IPv6 text; NULL if it is neither."""
-    v4 = bind(ip, f"named_struct('family', 4, 'hi', 0L, 'lo', {_octet_sum('x')})")
-    sides = F.split(bind(ip, _expand_tail("x")), "::", -1)
-    v6 = bind(bind(sides, _EIGHT_GROUPS), _V6_KEY)
-    return F.when(ip.rlike(IPV4), v4).when(F.contains(ip, F.lit(":")), v6)
+    v4 = bind(ip_to_int(ip), "IF(x IS NULL, NULL, named_struct('family', 4, 'hi', 0L, 'lo', x))")
+    v6 = bind(bind(F.split(_expand_tail(ip), "::", -1), _EIGHT_GROUPS), _V6_KEY)
+    return F.when(F.contains(ip, F.lit(":")), v6).otherwise(v4)
 
 
 def _half_mask(bits: str) -> str:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pageloom.functions.js import js_lib_names
 from pageloom.functions.url import url_domain
 from pageloom.operators.joins import skew_join
-from pageloom.session import written
 
 
 def domain_lib_pairs(pages: DataFrame, drop_empty_domain: bool = False) -> DataFrame:
@@ -56,14 +55,23 @@ def _library_sets(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_of_small_sets(members: DataFrame) -> DataFrame:
-    """Pairs within each set, met under the domain that stands for it."""
-    other = members.select("domain", F.col("js_lib").alias("_b"))
-    met = members.withColumnRenamed("js_lib", "_a").join(other, "domain").where(F.col("_a") < F.col("_b"))
-    return met.select("_a", "_b", "weight")
+def _pairs_of_small_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs within each set of bounded size, out of one sorted list per set.
+
+    The list is made where the join already brought its domain together, so the sets
+    take no shuffle of their own.
+    """
+    lists = (
+        skew_join(pairs, sets.select("domain", "weight"), ["domain"])
+        .groupBy("domain", "weight")
+        .agg(F.array_sort(F.collect_list("js_lib")).alias("_libs"))
+    )
+    placed = lists.select("weight", "_libs", F.posexplode("_libs").alias("_i", "_a"))
+    later = F.slice("_libs", F.col("_i") + 2, F.size("_libs"))
+    return placed.select("_a", F.explode(later).alias("_b"), "weight")
 
 
-def _pairs_of_large_sets(members: DataFrame, block_libs: int) -> DataFrame:
+def _pairs_of_large_sets(pairs: DataFrame, sets: DataFrame, block_libs: int) -> DataFrame:
     """Pairs within each set, with the members dealt into blocks of about ``block_libs``.
 
     Any two blocks meet under a key of their own (a cell), so that one set is worked
@@ -71,7 +79,7 @@ def _pairs_of_large_sets(members: DataFrame, block_libs: int) -> DataFrame:
     block b is a first partner in row b and a second partner in column b.
     """
     blocks = F.ceil(F.col("n_libs") / block_libs).cast("int")
-    dealt = members.select(
+    dealt = skew_join(pairs, sets, ["domain"]).select(
         "domain", "js_lib", "weight", blocks.alias("_n"), F.pmod(F.xxhash64("js_lib"), blocks).cast("int").alias("_block")
     )
     first = dealt.select(
@@ -100,15 +108,16 @@ def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512)
 
     ``min_domains`` keeps the pairs on at least that many domains; libraries on
     fewer domains cannot be in one and leave before the join. Each unordered pair is
-    met once and mirrored at the end.
+    met once and mirrored at the end. ``pairs`` is read several times: pass a stored
+    table (``session.written``) if it is costly to compute.
     """
     if min_domains > 1:
         frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
         pairs = skew_join(pairs, frequent, ["js_lib"], "left_semi")
-    members = skew_join(pairs, _library_sets(pairs), ["domain"])
-    small = members.where(F.col("n_libs") <= block_libs).select("domain", "js_lib", "weight")
-    large = members.where(F.col("n_libs") > block_libs)
-    met = _pairs_of_small_sets(small).unionByName(_pairs_of_large_sets(large, block_libs))
+    sets = _library_sets(pairs)
+    small = _pairs_of_small_sets(pairs, sets.where(F.col("n_libs") <= block_libs))
+    large = _pairs_of_large_sets(pairs, sets.where(F.col("n_libs") > block_libs), block_libs)
+    met = small.unionByName(large)
     counted = met.groupBy("_a", "_b").agg(F.sum("weight").alias("domain_count"))
     counted = counted.where(F.col("domain_count") >= min_domains)
     both = F.array(
@@ -123,9 +132,9 @@ def top_cooccurrence(pairs: DataFrame, k: int = 50, probe_libs: int = 64) -> Dat
 
     The pairs among the ``probe_libs`` most frequent libraries are counted first.
     Their k-th best count bounds the k-th best of all from below, and a library on
-    fewer domains than that cannot be in one of the top pairs.
+    fewer domains than that cannot be in one of the top pairs. ``pairs`` is read
+    several times, as for ``cooccurrence``.
     """
-    pairs = written(pairs, "pairs")
     counts = lib_domain_counts(pairs)
     probe = counts.orderBy(F.desc("domain_count"), "js_lib").limit(probe_libs).select("js_lib")
     best = (
