@@ -85,13 +85,13 @@ def _raw_attribute(tag: str, name: str) -> str:
     return f"regexp_extract({tag}, {literal(pattern)}, 1)"
 
 
-def _unquoted(tag: str, name: str) -> str:
-    raw = _raw_attribute(tag, name)
-    # Values in quotes keep what is between them; others hold no leading quote.
-    return f"regexp_replace({raw}, {literal(_QUOTES)}, '$1$2$3')"
+# An attribute value ``x`` without its quotes.
+_UNQUOTED = """IF(startswith(x, '"') OR startswith(x, "'"), substring(x, 2, length(x) - 2), x)"""
 
 
-_QUOTES = r"""(?s)\A(?:"(.*)"|'(.*)'|(.*))\z"""
+def _values(tags: Column, name: str) -> Column:
+    """The value of one attribute for every tag, as written; '' when absent."""
+    return each(each(tags, _raw_attribute("x", name)), _UNQUOTED)
 
 
 @cache
@@ -140,10 +140,13 @@ def decode_entities(text: Column) -> Column:
     return bind(text, _decoded("x"))
 
 
+def _decoded_values(tags: Column, name: str) -> Column:
+    return each(keep(_values(tags, name), "x <> ''"), _decoded("x"))
+
+
 def attributes(tags: Column, tag_name: str, name: str) -> Column:
     """Non-empty values of one attribute over all tags of one name, in order."""
-    values = keep(each(_named(tags, tag_name), _unquoted("x", name)), "x <> ''")
-    return each(values, _decoded("x"))
+    return _decoded_values(_named(tags, tag_name), name)
 
 
 def title_of(tags: Column) -> Column:
@@ -155,9 +158,13 @@ def title_of(tags: Column) -> Column:
 
 def meta_of(tags: Column, meta_name: str) -> Column:
     """``content`` of the last meta tag of that name; NULL without one."""
-    matching = keep(_named(tags, "meta"), f"{_unquoted('x', 'name')} = {literal(meta_name)}")
-    content = f"IF({_raw_attribute('x', 'content')} = '', NULL, {_unquoted('x', 'content')})"
-    return decode_entities(bind(F.try_element_at(matching, F.lit(-1)), content))
+    name = f"regexp_replace({_raw_attribute('x', 'name')}, {literal(_AROUND)}, '')"
+    matching = keep(_named(tags, "meta"), f"{name} = {literal(meta_name)}")
+    content = bind(F.try_element_at(matching, F.lit(-1)), _raw_attribute("x", "content"))
+    return decode_entities(bind(content, f"IF(x = '', NULL, {_UNQUOTED})"))
+
+
+_AROUND = r"""\A["']|["']\z"""
 
 
 # Fixed value: a whole e-mail address, optionally as a mailto link.
@@ -166,7 +173,9 @@ EMAIL = r"(?i)\A(mailto:)?[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z0-9.-]+\z"
 
 def emails_of(tags: Column) -> Column:
     """Link targets that are an e-mail address; a mailto with a query is not one."""
-    return keep(attributes(tags, "a", "href"), f"x RLIKE {literal(EMAIL)}")
+    # Only a tag with an at sign, plain or as a character reference, can hold one.
+    links = keep(_named(tags, "a"), "contains(x, '@') OR contains(x, '&')")
+    return keep(_decoded_values(links, "href"), f"x RLIKE {literal(EMAIL)}")
 
 
 def script_srcs_of(tags: Column, keep_data_uris: bool = True) -> Column:

@@ -65,6 +65,9 @@ _ARROW_TYPES = {
 }
 
 _CHUNK = 1 << 20
+# Archives have a gzip member per record; what is left of a piece when a member ends
+# is copied, so pieces are not much larger than members.
+_ZIPPED_PIECE = 1 << 16
 _LONGEST_LINE = 1 << 20
 
 
@@ -103,7 +106,7 @@ class _GzipStream(io.RawIOBase):
                 rest = self._inflate.unused_data or self._pending
                 self._inflate = zlib.decompressobj(31)
                 self._pending = rest
-            data = self._pending or self._raw.read(_CHUNK)
+            data = self._pending or self._raw.read(_ZIPPED_PIECE)
             if not data:
                 return 0
             try:
