@@ -1,8 +1,9 @@
 """WARC archives as a Spark data source: ``spark.read.format("warc")``.
 
-One task reads one archive (or, for uncompressed archives, one byte range of it)
-and hands over Arrow batches that are bounded by bytes. Gzip archives cannot be
-split, so for them the number of tasks is the number of files.
+One task reads one byte range of one archive and hands over Arrow batches that are
+bounded by bytes. A range of a plain archive is found by hopping from header to header,
+a range of a gzip archive by the first gzip member in it; an archive that is one single
+member is read by one task.
 
 Options
     ``path``            file, folder or glob; ``manifest`` instead names a text file
@@ -11,7 +12,7 @@ Options
     ``recType``         only records of this type (also set by a pushed-down filter)
     ``payload``         "false" leaves the payload out; then bodies are skipped unread
     ``headers``         "false" leaves the two header maps out
-    ``maxSplitBytes``   size of a byte range of an uncompressed archive
+    ``maxSplitBytes``   size of a byte range
     ``batchBytes``      target size of an Arrow batch
 """
 
@@ -21,6 +22,7 @@ import fnmatch
 import io
 import posixpath
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,6 +70,9 @@ _CHUNK = 1 << 20
 # Archives have a gzip member per record; what is left of a piece when a member ends
 # is copied, so pieces are not much larger than members.
 _ZIPPED_PIECE = 1 << 16
+_GZIP = b"\x1f\x8b\x08"
+_RECORD = b"WARC/"
+_PROOF = 1 << 17
 _LONGEST_LINE = 1 << 20
 
 
@@ -90,12 +95,17 @@ class _Truncated(Exception):
 
 
 class _GzipStream(io.RawIOBase):
-    """Reads concatenated gzip members as one stream."""
+    """Reads concatenated gzip members as one stream, and notes where members start."""
 
-    def __init__(self, raw) -> None:
+    def __init__(self, raw, start: int) -> None:
+        raw.seek(start)
         self._raw = raw
+        self._read_to = start
         self._inflate = zlib.decompressobj(31)
         self._pending = b""
+        self._position = 0
+        # Inflated position and file offset of each member met and not yet passed.
+        self.members = deque([(0, start)])
 
     def readable(self) -> bool:
         return True
@@ -103,22 +113,84 @@ class _GzipStream(io.RawIOBase):
     def readinto(self, buffer) -> int:
         while True:
             if self._inflate.eof:
-                rest = self._inflate.unused_data or self._pending
+                self._pending = self._inflate.unused_data
                 self._inflate = zlib.decompressobj(31)
-                self._pending = rest
-            data = self._pending or self._raw.read(_ZIPPED_PIECE)
-            if not data:
+                self.members.append((self._position, self._read_to - len(self._pending)))
+            if not self._pending:
+                self._pending = self._raw.read(_ZIPPED_PIECE)
+                self._read_to += len(self._pending)
+            if not self._pending:
                 return 0
             try:
-                out = self._inflate.decompress(data, len(buffer))
+                out = self._inflate.decompress(self._pending, len(buffer))
             except zlib.error:
                 # Bytes that are not a gzip member, or a damaged one: the rest is lost.
                 return 0
             self._pending = self._inflate.unconsumed_tail
             if out:
                 buffer[: len(out)] = out
+                self._position += len(out)
                 return len(out)
 
+    def member_at(self, position: int) -> tuple[int, int]:
+        """Inflated start and file offset of the member that holds an inflated position."""
+        while len(self.members) > 1 and self.members[1][0] <= position:
+            self.members.popleft()
+        return self.members[0]
+
+
+def _members_follow(raw, offset: int) -> bool:
+    """Whether a gzip member with a record starts here, and whole members follow it.
+
+    A compressed archive inside a record can hold the same bytes, but only in stored
+    pieces of at most 64 KiB with marks in between, so that its members do not follow
+    one another for ``_PROOF`` bytes.
+    """
+    raw.seek(offset)
+    inflate = zlib.decompressobj(31)
+    head = data = b""
+    while True:
+        data = data or raw.read(_ZIPPED_PIECE)
+        if not data:
+            return head == _RECORD
+        try:
+            out = inflate.decompress(data, _CHUNK)
+        except zlib.error:
+            return False
+        head += out[: len(_RECORD) - len(head)]
+        if not _RECORD.startswith(head):
+            return False
+        data = inflate.unconsumed_tail
+        if inflate.eof:
+            data = inflate.unused_data
+            if raw.tell() - len(data) - offset >= _PROOF:
+                return head == _RECORD
+            if len(data) < len(_GZIP):
+                data += raw.read(_ZIPPED_PIECE)
+            if data and not data.startswith(_GZIP):
+                # Zeros may pad the end of a file.
+                return head == _RECORD and not data.strip(b"\0")
+            inflate = zlib.decompressobj(31)
+
+
+def _first_member(raw, start: int, end: int) -> int | None:
+    """Offset of the first member with a record that starts in [start, end)."""
+    position, kept = start, b""
+    while position < end:
+        raw.seek(position)
+        window = kept + raw.read(min(_CHUNK, end - position + len(_GZIP)))
+        if len(window) <= len(kept):
+            return None
+        base = position - len(kept)
+        found = window.find(_GZIP)
+        while found >= 0 and base + found < end:
+            if _members_follow(raw, base + found):
+                return base + found
+            found = window.find(_GZIP, found + 1)
+        position = base + len(window)
+        kept = window[-(len(_GZIP) - 1) :]
+    return None
+
 
 class _ByteStream:
     """Counts what is read; skips by seeking where the size of the file is known."""
@@ -206,26 +278,46 @@ _HTTP_HEAD = 1 << 16
 def read_records(
     path: str, start: int, end: int, rec_type: str | None, payload: bool, headers: bool
 ) -> Iterator[dict]:
-    """Records of an archive that begin in [start, end); a cut-off last record is left out."""
+    """Records of an archive that begin in [start, end); a cut-off last record is left out.
+
+    Of a gzip archive these are the records from the first member in the range up to the
+    first one beyond it. A record's offset is its place in the file; in a gzip member of
+    several records it is the member's place plus the inflated distance.
+    """
     file_system_, inner = file_system(path)
     with file_system_.open_input_file(inner) as raw:
-        zipped = raw.read(2) == b"\x1f\x8b"
-        raw.seek(0)
-        # A small buffer suits hopping from header to header.
-        source = io.BufferedReader(_GzipStream(raw), _CHUNK) if zipped else io.BufferedReader(raw, 1 << 16)
+        zipped = None
+        if raw.read(2) == _GZIP[:2]:
+            first = 0 if start == 0 else _first_member(raw, start, end)
+            if first is None:
+                return
+            zipped = _GzipStream(raw, first)
+            source = io.BufferedReader(zipped, _CHUNK)
+        else:
+            raw.seek(0)
+            # A small buffer suits hopping from header to header.
+            source = io.BufferedReader(raw, 1 << 16)
         stream = _ByteStream(source, None if zipped else raw.size())
         try:
-            while stream.position < end:
+            while True:
                 offset = stream.position
                 line = stream.line()
                 if not line:
                     return
-                if not line.startswith(b"WARC/"):
+                if not line.startswith(_RECORD):
                     continue
+                if zipped:
+                    member, place = zipped.member_at(offset)
+                    if place >= end and member == offset:
+                        return
+                    offset = place + offset - member
+                elif offset >= end:
+                    return
                 rec_headers = _header_lines(stream)
                 kind = rec_headers.get("warc-type")
                 length = int(rec_headers.get("content-length") or 0)
-                if offset < start or (rec_type is not None and kind != rec_type):
+                before = zipped is None and offset < start
+                if before or (rec_type is not None and kind != rec_type):
                     stream.skip(length)
                     continue
                 status, http_headers, body = None, None, None
@@ -327,12 +419,10 @@ class WarcReader(DataSourceReader):
             listed = _listed(self._path)
         splits = []
         for path, size in listed:
-            step = max(size, 1) if path.endswith(".gz") else self._split_bytes
-            starts = range(0, max(size, 1), step)
-            for start in starts:
-                # Positions in a gzip archive count inflated bytes, so its one split has no end.
-                end = start + step if start + step < size else (1 << 62)
-                splits.append(ArchiveSplit(path, start, end))
+            # The last range may be half as long again as the others, and is open-ended.
+            count = max(1, round(size / self._split_bytes))
+            bounds = [i * self._split_bytes for i in range(count)] + [1 << 62]
+            splits += [ArchiveSplit(path, *bound) for bound in zip(bounds, bounds[1:])]
         return splits or [ArchiveSplit("", 0, 0)]
 
     def read(self, partition: ArchiveSplit) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """The warc source on archives of every shape."""
 
 import gzip
+import random
 
 import pyarrow as pa
 import pytest
@@ -48,8 +49,14 @@ def test_plain_and_gzip(spark, folder):
         assert mine[3].http_headers == {"server": "nginx", "x-twice": "1"}
         assert mine[3].http_status == "200"
         assert mine[3].rec_headers["warc-target-uri"] == "http://h2/"
-    offsets = {name: [r.record_offset for r in rows if r.path.endswith(name)] for name in ("a.warc", "/b.warc.gz")}
-    assert offsets["a.warc"] == offsets["/b.warc.gz"]
+    def offsets(name):
+        return [r.record_offset for r in rows if r.path.endswith(name)]
+
+    plain = (folder / "a.warc").read_bytes()
+    assert all(plain[o:].startswith(b"WARC/") for o in offsets("/a.warc"))
+    zipped = (folder / "b.warc.gz").read_bytes()
+    assert all(zipped[o:].startswith(b"\x1f\x8b") for o in offsets("/b.warc.gz"))
+    assert offsets("/c.warc.gz") == offsets("/a.warc")
 
 
 @pytest.mark.parametrize("size", [50, 333, 1000, 100_000])
@@ -59,6 +66,31 @@ def test_byte_ranges_cover_every_record_once(spark, folder, size):
     assert sorted(int(r.rec_headers["warc-ip-address"].split(".")[-1]) for r in df.collect()) == list(range(40))
 
 
+@pytest.mark.parametrize("size", [700, 5_000, 60_000, 10_000_000])
+def test_ranges_of_gzip_archives_cover_every_record_once(spark, folder, size):
+    rng = random.Random(1)
+    # Bodies that do not shrink; one of them is itself a compressed archive, larger than a stored piece.
+    inner = b"".join(gzip.compress(response(n, rng.randbytes(3_000)), 1) for n in range(60, 100))
+    bodies = [rng.randbytes(rng.randrange(20_000)) for _ in range(40)]
+    bodies[7] = inner
+    bodies[21] = gzip.compress(response(99))
+    members = [gzip.compress(response(n, b), 0 if n in (7, 21) else 6) for n, b in enumerate(bodies)]
+    assert inner[:50_000] in b"".join(members) and len(inner) > 1 << 16
+    (folder / "a.warc.gz").write_bytes(b"".join(members))
+    # Two records in each member, and a whole archive in one.
+    pairs = [response(n, b) + response(n + 50, b"x") for n, b in enumerate(bodies)]
+    (folder / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, pairs)) + b"\0" * 512)
+    (folder / "c.warc.gz").write_bytes(gzip.compress(b"".join(response(n, b) for n, b in enumerate(bodies))))
+    rows = read(spark, folder, maxSplitBytes=str(size)).select("path", "rec_headers", "payload").collect()
+    found = {}
+    for row in rows:
+        found.setdefault(row.path[-9:], []).append((int(row.rec_headers["warc-ip-address"][7:]), bytes(row.payload)))
+    single = list(enumerate(bodies))
+    assert sorted(found["a.warc.gz"]) == single
+    assert sorted(found["b.warc.gz"]) == sorted(single + [(n + 50, b"x") for n in range(40)])
+    assert sorted(found["c.warc.gz"]) == single
+
+
 def test_truncated_archives_keep_whole_records(spark, folder):
     data = b"".join(response(n) for n in range(5))
     (folder / "a.warc").write_bytes(data[:-40])
