@@ -55,6 +55,15 @@ def _library_sets(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partitioned into as many tasks as the session shuffles into.
+
+    What follows makes many rows out of few bytes, so the partitions must not be
+    merged by their size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def _pairs_of_small_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs within each set of bounded size, out of one sorted list per set.
 
@@ -62,7 +71,7 @@ def _pairs_of_small_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     take no shuffle of their own.
     """
     lists = (
-        skew_join(pairs, sets.select("domain", "weight"), ["domain"])
+        skew_join(_spread(pairs, "domain"), sets.select("domain", "weight"), ["domain"])
         .groupBy("domain", "weight")
         .agg(F.array_sort(F.collect_list("js_lib")).alias("_libs"))
     )
@@ -95,7 +104,8 @@ def _pairs_of_large_sets(pairs: DataFrame, sets: DataFrame, block_libs: int) ->
         F.col("_block").alias("_col"),
         F.col("js_lib").alias("_second"),
     )
-    met = first.join(second, ["domain", "_row", "_col"]).where(
+    cell = ["domain", "_row", "_col"]
+    met = _spread(first, *cell).join(_spread(second, *cell), cell).where(
         (F.col("_row") < F.col("_col")) | (F.col("_first") < F.col("_second"))
     )
     return met.select(
