@@ -11,6 +11,9 @@ from pageloom.catalog.scalars import IP_INT, RANGES
 from pageloom.operators import geo
 from pageloom.operators.profile import dedupe_by_ip
 from pageloom.plans.enrichment import ip_geo_full, ip_geo_table, join_script_geo
+from pageloom.session import scratch_dir
+from pageloom.sources.geo import read_geo_csv
+from pageloom.sources.tabular import write_csv
 
 _HOSTS = "SELECT page_id, ip, host, server FROM crawl_pages"
 
@@ -147,6 +150,19 @@ def enrich_by_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.enrich_by_ip(_hosts(spark, sf_dir), *_geo_inputs(spark, sf_dir))
 
 
+@query(
+    "geo_csv_lookup",
+    _oracle(f"SELECT page_id, hosts.ip, host, server, {_GEO13} FROM hosts LEFT JOIN matched USING (ip)", **_PAGE_INPUTS),
+)
+def geo_csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = scratch_dir(spark, "blocks"), scratch_dir(spark, "locations")
+    for table, path in zip(_geo_inputs(spark, sf_dir), paths):
+        write_csv(table.withColumnsRenamed({"subdivision_iso_code": "subdivision_1_iso_code",
+                                            "subdivision_name": "subdivision_1_name"}), path)
+    blocks, locations = (read_geo_csv(spark, path) for path in paths)
+    return geo.enrich_by_ip(_hosts(spark, sf_dir), blocks, locations)
+
+
 @query(
     "ip_rejects",
     _oracle(

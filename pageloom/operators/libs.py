@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.js import js_lib_names
 from pageloom.functions.url import url_domain
 from pageloom.operators.joins import skew_join
+from pageloom.session import written
 
 
 def domain_lib_pairs(pages: DataFrame, drop_empty_domain: bool = False) -> DataFrame:
@@ -123,7 +124,7 @@ def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512)
     """
     if min_domains > 1:
         frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
-        pairs = skew_join(pairs, frequent, ["js_lib"], "left_semi")
+        pairs = written(skew_join(pairs, frequent, ["js_lib"], "left_semi"), "frequent-libs")
     sets = _library_sets(pairs)
     small = _pairs_of_small_sets(pairs, sets.where(F.col("n_libs") <= block_libs))
     large = _pairs_of_large_sets(pairs, sets.where(F.col("n_libs") > block_libs), block_libs)
@@ -147,14 +148,9 @@ def top_cooccurrence(pairs: DataFrame, k: int = 50, probe_libs: int = 64) -> Dat
     """
     counts = lib_domain_counts(pairs)
     probe = counts.orderBy(F.desc("domain_count"), "js_lib").limit(probe_libs).select("js_lib")
-    best = (
-        cooccurrence(pairs.join(F.broadcast(probe), "js_lib", "left_semi"))
-        .orderBy(F.desc("domain_count"))
-        .limit(k)
-        .agg(
-            F.when(F.count("*") == k, F.min("domain_count")).otherwise(F.lit(1)).alias("bound")
-        )
-    )
-    frequent = counts.where(F.col("domain_count") >= best.scalar()).select("js_lib")
-    kept = skew_join(pairs, frequent, ["js_lib"], "left_semi")
-    return cooccurrence(kept).orderBy(F.desc("domain_count"), "js_lib1", "js_lib2").limit(k)
+    probed = cooccurrence(pairs.join(F.broadcast(probe), "js_lib", "left_semi"))
+    best = probed.orderBy(F.desc("domain_count")).limit(k)
+    enough = F.when(F.count("*") == k, F.min("domain_count")).otherwise(F.lit(1))
+    bound = best.agg(enough.alias("bound")).first()["bound"]
+    found = cooccurrence(pairs, min_domains=bound) if bound > 1 else cooccurrence(pairs)
+    return found.orderBy(F.desc("domain_count"), "js_lib1", "js_lib2").limit(k)

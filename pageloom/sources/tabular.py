@@ -17,6 +17,12 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.col("path") != "")
 
 
+def present_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and size of the files below a folder; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length")
+
+
 def read_tsv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Tab-separated files with a header; every column is a string unless a schema is given."""
     reader = spark.read.option("sep", "\t").option("header", True)

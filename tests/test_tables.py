@@ -70,3 +70,23 @@ def test_dedupe_by_ip(spark):
 def test_vendor(spark, srcs, flag):
     df = spark.createDataFrame([(srcs,)], "s array<string>")
     assert df.select(js.uses_vendor(F.col("s"), "shopify").alias("f")).first().f is flag
+
+
+def test_present_files(spark, tmp_path):
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    (tmp_path / "in" / "a.warc").write_bytes(b"abc")
+    (tmp_path / "in" / "sub" / "b.warc.gz").write_bytes(b"x")
+    found = {(r.path.rsplit("/", 1)[1], r.length) for r in tabular.present_files(spark, str(tmp_path / "in")).collect()}
+    assert found == {("a.warc", 3), ("b.warc.gz", 1)}
+
+
+def test_geo_csv(spark, tmp_path):
+    from pageloom.sources.geo import read_geo_csv
+
+    path = tmp_path / "l.csv"
+    path.write_text(
+        "geoname_id,locale_code,subdivision_1_name,metro_code,is_in_european_union,latitude\n"
+        '1,en,"A, B",501,1,1.5\n2,en,,,0,x\n'
+    )
+    rows = [tuple(r) for r in read_geo_csv(spark, str(path)).collect()]
+    assert rows == [(1, "en", "A, B", 501, True, 1.5), (2, "en", None, None, False, None)]
