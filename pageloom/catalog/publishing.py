@@ -13,6 +13,7 @@ from pageloom.catalog.archives import crawl_archives, write_lines
 from pageloom.catalog.extraction import features_oracle, piped, script_table
 from pageloom.catalog.registry import query, with_inputs
 from pageloom.catalog.scalars import IP_INT, RANGES
+from pageloom.operators.joins import skew_join
 from pageloom.operators.manifest import pending_parts
 from pageloom.session import scratch_dir
 from pageloom.sources.tabular import pipe_arrays, write_parquet
@@ -125,7 +126,7 @@ def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     features = published(spark, read_features(spark, outputs), outputs)
     countries = published(spark, read_geo(spark, outputs), outputs).select("year", "part", "ip", "country_name")
-    joined = features.join(countries, ["year", "part", "ip"], "left").drop("part")
+    joined = skew_join(features, countries, ["year", "part", "ip"], "left").drop("part")
     return pipe_arrays(joined)
 
 

@@ -19,7 +19,6 @@ def local_session(cores: int | str = "*", app: str = "pageloom", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.python.filterPushdown.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

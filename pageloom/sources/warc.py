@@ -9,7 +9,9 @@ Options
     ``path``            file, folder or glob; ``manifest`` instead names a text file
                         (or folder of them) with one archive path per line
     ``root``            folder put before relative manifest paths
-    ``recType``         only records of this type (also set by a pushed-down filter)
+    ``recType``         only records of this type
+    ``pushdown``        "true" also takes the type from a filter on ``rec_type``; the session needs
+                        ``spark.sql.python.filterPushdown.enabled``
     ``payload``         "false" leaves the payload out; then bodies are skipped unread
     ``headers``         "false" leaves the two header maps out
     ``maxSplitBytes``   size of a byte range
@@ -405,13 +407,6 @@ class WarcReader(DataSourceReader):
         self._split_bytes = int(options.get("maxsplitbytes", 256 << 20))
         self._batch_bytes = int(options.get("batchbytes", 8 << 20))
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for item in filters:
-            if isinstance(item, EqualTo) and item.attribute == ("rec_type",) and self._rec_type in (None, item.value):
-                self._rec_type = item.value
-            else:
-                yield item
-
     def partitions(self) -> list[ArchiveSplit]:
         if self._manifest:
             listed = _sized(_manifest_paths(self._manifest, self._root))
@@ -442,6 +437,17 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
 
+class PushdownWarcReader(WarcReader):
+    """Also takes a filter on ``rec_type``; Spark wants filter pushdown switched on for it."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for item in filters:
+            if isinstance(item, EqualTo) and item.attribute == ("rec_type",) and self._rec_type in (None, item.value):
+                self._rec_type = item.value
+            else:
+                yield item
+
+
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     arrays = [pa.array([row[name] for row in rows], type=kind) for name, kind in _ARROW_TYPES.items()]
     return pa.RecordBatch.from_arrays(arrays, names=list(_ARROW_TYPES))
@@ -456,7 +462,9 @@ class WarcDataSource(DataSource):
         return WARC_SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
-        return WarcReader({key.lower(): value for key, value in self.options.items()})
+        options = {key.lower(): value for key, value in self.options.items()}
+        pushdown = options.get("pushdown", "false").lower() == "true"
+        return PushdownWarcReader(options) if pushdown else WarcReader(options)
 
 
 def register(spark: SparkSession) -> None:

@@ -136,9 +136,14 @@ def test_options_leave_columns_out(spark, folder):
 
 def test_filter_reaches_the_reader(spark, folder):
     (folder / "a.warc").write_bytes(response(1) + record("request", [], b"") + response(2))
-    df = read(spark, folder).where(F.col("rec_type") == "request")
-    assert df.count() == 1
-    reader = warc.WarcReader({"path": str(folder)})
+    wanted = F.col("rec_type") == "request"
+    assert read(spark, folder).where(wanted).count() == 1
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        assert read(spark, folder, pushdown="true").where(wanted).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    reader = warc.PushdownWarcReader({"path": str(folder)})
     from pyspark.sql.datasource import EqualTo, IsNotNull
 
     left = list(reader.pushFilters([IsNotNull(("rec_type",)), EqualTo(("rec_type",), "request"), EqualTo(("path",), "x")]))
