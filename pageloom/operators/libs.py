@@ -35,27 +35,6 @@ def top_libs(pairs: DataFrame, k: int = 100) -> DataFrame:
     return lib_domain_counts(pairs).orderBy(F.desc("domain_count"), "js_lib").limit(k)
 
 
-def _library_sets(pairs: DataFrame) -> DataFrame:
-    """One domain for each distinct library set: (domain, weight, n_libs).
-
-    Many domains load the same libraries; counting each set once, with the number
-    of domains that share it, saves most of the pairs. A set is told by its size
-    and two 64-bit hashes (the exclusive or of its members' hashes), which combine
-    before the shuffle and need no list of the members.
-    """
-    marks = pairs.groupBy("domain").agg(
-        F.count("*").alias("n_libs"),
-        F.bit_xor(F.xxhash64(F.lit(1), "js_lib")).alias("_mark1"),
-        F.bit_xor(F.xxhash64(F.lit(2), "js_lib")).alias("_mark2"),
-    )
-    return (
-        marks.where(F.col("n_libs") > 1)
-        .groupBy("n_libs", "_mark1", "_mark2")
-        .agg(F.min("domain").alias("domain"), F.count("*").alias("weight"))
-        .select("domain", "weight", "n_libs")
-    )
-
-
 def _spread(df: DataFrame, *columns: str) -> DataFrame:
     """Hash-partitioned into as many tasks as the session shuffles into.
 
@@ -65,38 +44,39 @@ def _spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
-def _pairs_of_small_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs within each set of bounded size, out of one sorted list per set.
+def _pairs_of_small_domains(pairs: DataFrame, domains: DataFrame) -> DataFrame:
+    """Pairs within each domain of bounded size, out of its sorted list of libraries.
 
-    The list is made where the join already brought its domain together, so the sets
-    take no shuffle of their own.
+    The list is made where the join already brought its domain together. Many domains
+    load the same libraries, so each different list is paired up once, with the number
+    of domains that have it as its weight.
     """
     lists = (
-        skew_join(_spread(pairs, "domain"), sets.select("domain", "weight"), ["domain"])
-        .groupBy("domain", "weight")
+        skew_join(pairs, domains.select("domain"), ["domain"])
+        .groupBy("domain")
         .agg(F.array_sort(F.collect_list("js_lib")).alias("_libs"))
     )
-    placed = lists.select("weight", "_libs", F.posexplode("_libs").alias("_i", "_a"))
+    weighted = _spread(lists.groupBy("_libs").agg(F.count("*").alias("weight")), "_libs")
+    placed = weighted.select("weight", "_libs", F.posexplode("_libs").alias("_i", "_a"))
     later = F.slice("_libs", F.col("_i") + 2, F.size("_libs"))
     return placed.select("_a", F.explode(later).alias("_b"), "weight")
 
 
-def _pairs_of_large_sets(pairs: DataFrame, sets: DataFrame, block_libs: int) -> DataFrame:
-    """Pairs within each set, with the members dealt into blocks of about ``block_libs``.
+def _pairs_of_large_domains(pairs: DataFrame, domains: DataFrame, block_libs: int) -> DataFrame:
+    """Pairs within each domain, with its libraries dealt into blocks of about ``block_libs``.
 
-    Any two blocks meet under a key of their own (a cell), so that one set is worked
+    Any two blocks meet under a key of their own (a cell), so that one domain is worked
     on by many tasks. Of the cells only those with row <= col are used: a member of
     block b is a first partner in row b and a second partner in column b.
     """
     blocks = F.ceil(F.col("n_libs") / block_libs).cast("int")
-    dealt = skew_join(pairs, sets, ["domain"]).select(
-        "domain", "js_lib", "weight", blocks.alias("_n"), F.pmod(F.xxhash64("js_lib"), blocks).cast("int").alias("_block")
+    dealt = skew_join(pairs, domains, ["domain"]).select(
+        "domain", "js_lib", blocks.alias("_n"), F.pmod(F.xxhash64("js_lib"), blocks).cast("int").alias("_block")
     )
     first = dealt.select(
         "domain",
         F.col("_block").alias("_row"),
         F.explode(F.sequence(F.col("_block"), F.col("_n") - 1)).alias("_col"),
-        "weight",
         F.col("js_lib").alias("_first"),
     )
     second = dealt.select(
@@ -110,7 +90,9 @@ def _pairs_of_large_sets(pairs: DataFrame, sets: DataFrame, block_libs: int) ->
         (F.col("_row") < F.col("_col")) | (F.col("_first") < F.col("_second"))
     )
     return met.select(
-        F.least("_first", "_second").alias("_a"), F.greatest("_first", "_second").alias("_b"), "weight"
+        F.least("_first", "_second").alias("_a"),
+        F.greatest("_first", "_second").alias("_b"),
+        F.lit(1).cast("bigint").alias("weight"),
     )
 
 
@@ -125,9 +107,9 @@ def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512)
     if min_domains > 1:
         frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
         pairs = written(skew_join(pairs, frequent, ["js_lib"], "left_semi"), "frequent-libs")
-    sets = _library_sets(pairs)
-    small = _pairs_of_small_sets(pairs, sets.where(F.col("n_libs") <= block_libs))
-    large = _pairs_of_large_sets(pairs, sets.where(F.col("n_libs") > block_libs), block_libs)
+    domains = pairs.groupBy("domain").agg(F.count("*").alias("n_libs")).where(F.col("n_libs") > 1)
+    small = _pairs_of_small_domains(pairs, domains.where(F.col("n_libs") <= block_libs))
+    large = _pairs_of_large_domains(pairs, domains.where(F.col("n_libs") > block_libs), block_libs)
     met = small.unionByName(large)
     counted = met.groupBy("_a", "_b").agg(F.sum("weight").alias("domain_count"))
     counted = counted.where(F.col("domain_count") >= min_domains)
