@@ -56,28 +56,21 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def _matches(rule: Rule, order: int, todo: Column | None) -> Column:
-    """All matches of a rule in ``text``, each with the length of the stretch before it."""
-    pattern = F.lit(rule.pattern)
-    # a run is matched whole, so one that is long enough shows itself without the others
-    screen = rule.pattern if rule.group or rule.least == 1 else rule.pattern[:-1] + "{%d,}" % (rule.least - len(rule.pattern.split("[")[0]))
-    wanted = F.col("text").rlike(screen)
-    if todo is not None:
-        wanted = F.array_contains(todo, _name(rule)) & wanted
-    zipped = F.arrays_zip(
-        F.split("text", rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all("text", pattern, F.lit(0)).alias("hit"),
-        F.regexp_extract_all("text", pattern, F.lit(rule.group)).alias("value"),
-    )
-    rows = F.transform(
-        zipped,
-        lambda x, i: F.struct(
-            F.lit(order).alias("order"), i.alias("nth"),
-            F.length(x["gap"]).cast("long").alias("gap"), F.length(x["hit"]).cast("long").alias("size"),
-            (F.length(x["value"]) >= rule.least).alias("good"),
-        ),
-    )
-    return F.when(wanted, F.filter(rows, lambda x: x["size"].isNotNull()))
+def _screen(rule: Rule) -> str:
+    """A pattern that a text with a match that counts must hold, so that most texts are read once."""
+    if rule.group or rule.least == 1:
+        return rule.pattern
+    fixed = len(rule.pattern.split("[")[0])  # a run is matched whole, so its length decides
+    return rule.pattern[:-1] + "{%d,}" % (rule.least - fixed)
+
+
+def _listed(rules: tuple[Rule, ...]) -> Column:
+    """The rules as an array of structs."""
+    return F.array(*[
+        F.struct(F.lit(_name(r)).alias("rule"), F.lit(k).alias("order"), F.lit(r.kind).alias("kind"), F.lit(r.pattern).alias("pattern"),
+                 F.lit(_screen(r)).alias("screen"), F.lit(r.group).alias("part"), F.lit(r.least).alias("least"))
+        for k, r in enumerate(rules)
+    ])
 
 
 def _name(rule: Rule) -> str:
@@ -96,27 +89,24 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     """
     content = versions.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     blobs = content.withColumn("blob", blob_of(F.col("text"))).groupBy("blob").agg(F.first("text").alias("text"))
-    names = F.array(*[F.lit(_name(r)) for r in rules])
-    if ledger is None:
-        todo = None
-        entries = blobs.select("blob", F.explode(names).alias("rule"))
-    else:
+    todo = _listed(rules)
+    if ledger is not None:
         done = ledger.groupBy("blob").agg(F.collect_set("rule").alias("done"))
-        blobs = blobs.join(done, "blob", "left").withColumn("todo", F.array_except(names, F.coalesce("done", F.array().cast("array<string>"))))
-        blobs = blobs.where(F.size("todo") > 0)
-        todo = F.col("todo")
-        entries = blobs.select("blob", F.explode("todo").alias("rule"))
-    empty = F.array().cast("array<struct<order:int,nth:int,gap:bigint,size:bigint,good:boolean>>")
-    hits = F.concat(*[F.coalesce(_matches(r, k, todo), empty) for k, r in enumerate(rules)])
-    rows = blobs.select("blob", F.explode(hits).alias("m")).select("blob", "m.*")
+        blobs = blobs.join(done, "blob", "left")
+        todo = F.filter(todo, lambda r: ~F.coalesce(F.array_contains("done", r["rule"]), F.lit(False)))
+    pairs = blobs.select("blob", "text", F.explode(todo).alias("r")).select("blob", "text", "r.*")
+    gap = F.split("text", F.col("pattern"), -1)
+    hit = F.regexp_extract_all("text", F.col("pattern"), F.lit(0))
+    value = F.regexp_extract_all("text", F.col("pattern"), F.col("part"))
+    matched = pairs.where(F.expr("text RLIKE screen")).select(
+        "blob", "order", "kind", "least", F.posexplode(F.arrays_zip(gap.alias("gap"), hit.alias("hit"), value.alias("value"))).alias("nth", "m"))
+    rows = matched.where(F.col("m.hit").isNotNull()).select(
+        "blob", "order", "kind", "nth", F.length("m.gap").cast("long").alias("gap"), F.length("m.hit").cast("long").alias("size"),
+        (F.length("m.value") >= F.col("least")).alias("good"))
     so_far = Window.partitionBy("blob", "order").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.col("size")).over(so_far)
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
-    findings = rows.withColumn("end", end).where("good").select(
-        "blob", F.element_at(kinds, F.col("order") + 1).alias("kind"), "order",
-        (F.col("end") - F.col("size")).alias("start"), "end",
-    )
-    return findings, entries
+    findings = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far)).where("good").select(
+        "blob", "kind", "order", (F.col("end") - F.col("size")).alias("start"), "end")
+    return findings, pairs.select("blob", "rule")
 
 
 def by_path(paths: DataFrame, findings: DataFrame) -> DataFrame:
