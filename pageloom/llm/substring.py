@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.llm.graph import apart
 from pageloom.llm.registry import query, table
 from pageloom.llm.words import Words, inner, mix, slices, windows, words_of
 from pageloom.session import written
@@ -147,9 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     paths = texts.where(F.col("doc").isNotNull()).mapInArrow(partial(_name_paths, window), "name long, path long, doc long")
-    # the second grouping column follows from the first and keeps the result from being co-partitioned
-    # with the join below, which thereby gets exchanges of its own that can be split
-    names = paths.groupBy("name", (F.col("name") % 16).alias("k")).agg(
+    names = paths.groupBy(*apart("name")).agg(
         F.min("doc").alias("first"), F.max("doc").alias("last"), F.min("path").alias("one"), F.max("path").alias("two"))
     names = names.where("first < last").select("name", "first", (F.col("one") != F.col("two")).alias("branches"))
     met = paths.select("name", "doc").join(names, "name").where(F.col("branches") | (F.col("doc") > F.col("first")))
@@ -158,7 +157,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         F.collect_set(F.when(F.col("branches"), F.col("name"))).alias("branching")), "substring-names")
     spelled = texts.join(decided.where(F.size("branching") > 0).select("doc", "branching"), "doc", "left")
     edges = spelled.mapInArrow(partial(_spell, window), "edge long, doc long")
-    firsts = edges.groupBy("edge", (F.col("edge") % 16).alias("k")).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    firsts = edges.groupBy(*apart("edge")).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     firsts = firsts.where("first < last").select("edge", "first")
     later = edges.join(firsts, "edge").where("doc > first").groupBy("doc").agg(F.collect_set("edge").alias("edges"))
     known = decided.select("doc", "simple").join(later, "doc", "full")
