@@ -1,7 +1,7 @@
 """Words of many texts at once, as 64-bit hashes, with numpy over the UTF-8 bytes.
 
 A word is a run of characters other than blank, tab, line feed, vertical tab, form feed
-and carriage return. Texts are never cut: only the working arrays are bounded.
+and carriage return, unless other bytes are given. Texts are never cut: only the working arrays are bounded.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _CHUNK = 1 << 18
 
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between words: white space, or all ASCII but letters and digits.
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+SIGNS = np.zeros(256, dtype=bool)
+SIGNS[:128] = [not chr(b).isalnum() for b in range(128)]
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -59,8 +62,8 @@ def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[
             yield batch.slice(low, high - low)
 
 
-def words_of(texts: pa.Array) -> Words:
-    """The words of each text; a null text has none."""
+def words_of(texts: pa.Array, between: np.ndarray = WHITE) -> Words:
+    """The words of each text; a null text has none. ``between`` tells the bytes that part words."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     texts = pa.concat_arrays([texts])
     _, offsets, data = texts.buffers()
@@ -69,7 +72,7 @@ def words_of(texts: pa.Array) -> Words:
     low, high = int(offsets[0]), int(offsets[-1])
     data = data[low:high]
     offsets = offsets - low
-    inside = ~_SEPARATOR[data]
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     closes = inside.copy()
