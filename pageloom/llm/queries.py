@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing a module enters its queries."""
 
-from pageloom.llm import bpe, decontaminate, jaccard, langid, secrets, substring, toxicity  # noqa: F401
+from pageloom.llm import bpe, decontaminate, extract, jaccard, langid, secrets, substring, toxicity  # noqa: F401
 from pageloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
