@@ -56,6 +56,11 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
+def _apart() -> Column:
+    """A part of the blob to group by beside it, so that the join back to the paths has exchanges that can be split."""
+    return F.substring("blob", 1, 1).alias("apart")
+
+
 def _screen(rule: Rule) -> str:
     """A pattern that a text with a match that counts must hold, so that most texts are read once."""
     if rule.group or rule.least == 1:
@@ -88,7 +93,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     blob however many paths have them; an empty table gives empty results.
     """
     content = versions.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    blobs = content.withColumn("blob", blob_of(F.col("text"))).groupBy("blob").agg(F.first("text").alias("text"))
+    blobs = content.withColumn("blob", blob_of(F.col("text"))).groupBy("blob", _apart()).agg(F.first("text").alias("text"))
     todo = _listed(rules)
     if ledger is not None:
         done = ledger.groupBy("blob").agg(F.collect_set("rule").alias("done"))
@@ -115,8 +120,8 @@ def by_path(paths: DataFrame, findings: DataFrame) -> DataFrame:
     A content that very many paths share makes its key a hot one; the left side of this
     join is then split by adaptive execution, and its findings are one row.
     """
-    listed = findings.groupBy("blob").agg(
-        F.sort_array(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("secrets"))
+    listed = findings.groupBy("blob", _apart()).agg(
+        F.sort_array(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("secrets")).drop("apart")
     none = F.array().cast("array<struct<start:bigint,order:int,kind:string,end:bigint>>")
     return paths.join(listed, "blob", "left").withColumn("secrets", F.coalesce("secrets", none))
 
@@ -133,7 +138,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     fresh = (F.col("start") >= F.coalesce(F.max("end").over(ahead), F.lit(-1))).cast("int")
     islands = findings.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(upto))
     islands = islands.groupBy("blob", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = islands.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    cuts = islands.groupBy("blob", _apart()).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")).drop("apart")
     joined = docs.withColumn("blob", blob_of(F.col("text"))).join(cuts, "blob", "left")
     before = F.transform(
         "cuts",
