@@ -219,15 +219,15 @@ def _search(shard: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], held], part.schema.names)
 
 
-def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with ``leaks``: the test items that its ``text`` holds, by item id.
+def search(docs: DataFrame, benchmark: DataFrame, into: str = "leaks") -> DataFrame:
+    """``docs`` with a column ``into``: the test items that its ``text`` holds, by item id.
 
     ``benchmark`` has (item_id, text). A null or empty text has no leaks; a null or wordless
     item is found nowhere, and a repeated one is found once. Other columns stay; one that is
-    called ``leaks`` is replaced. An empty benchmark leaves every list empty.
+    called like ``into`` is replaced. An empty benchmark leaves every list empty.
     """
     spark = docs.sparkSession
-    docs = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAKS))
+    docs = docs.drop(into).withColumn(into, F.array().cast(LEAKS))
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
@@ -240,7 +240,7 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without leaks, with the columns they came with."""
-    return search(docs, benchmark).where(F.size("leaks") == 0).select(*docs.columns)
+    return search(docs, benchmark, "_found_items").where(F.size("_found_items") == 0).select(*docs.columns)
 
 
 @query("op4_decontaminate")

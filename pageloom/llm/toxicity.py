@@ -234,6 +234,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return scored.select(*names, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model predicts 0 for, with the columns they came with."""
+    held = F.struct(*[F.col(c) for c in docs.columns]).alias("held")
+    scored = score(docs.select(held, F.col("text")), model)
+    return scored.where(F.col("predicted") == 0).select("held.*")
+
+
 def _fold() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
 
