@@ -25,9 +25,9 @@ from pageloom.llm.jaccard import groups
 from pageloom.llm.registry import query, table
 
 #: Projections, and the share of their windows that a vector must lie in to be verified.
-PROJECTIONS, THRESHOLD = 64, 0.7
+PROJECTIONS, THRESHOLD = 96, 0.7
 #: A query widens its windows until this share of a shard has reached the threshold, and this many vectors at least.
-VERIFIED, LEAST_VERIFIED = 0.2, 64
+VERIFIED, LEAST_VERIFIED = 0.25, 256
 #: The first window's half width, in standard deviations of a projection, and the factor of each step.
 WIDTH, WIDER = 0.3, 1.15
 #: Vectors of a shard and queries of a block.

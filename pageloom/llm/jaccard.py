@@ -49,7 +49,7 @@ def runs_for(recall: float, similarity: float, depth: int = DEPTH) -> int:
     meets = 1.0
     for _ in range(depth):
         meets = 1.0 - (1.0 - similarity * meets) ** FANOUT
-    return max(1, math.ceil(math.log(1.0 - recall) / math.log(1.0 - meets)))
+    return max(1, math.ceil(math.log(1.0 - recall) / math.log(max(1.0 - meets, 1e-300))))
 
 
 def _shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -73,7 +73,7 @@ def test_odd_rows_pass_every_stage(spark, odd_docs, empty_docs):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, docs, sf)
             docs = spark.createDataFrame(rows.collect(), rows.schema)
-        assert docs.count() == (0 if start is empty_docs else 8)
+        assert docs.count() == (0 if start is empty_docs else 7)
 
 
 def test_run_is_the_stages(spark, sf):

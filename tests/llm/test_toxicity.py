@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,8 +26,13 @@ def test_features():
 
 @pytest.fixture(scope="module")
 def model(spark):
-    docs = spark.createDataFrame([(k, f"you idiot number {k} moron" if k % 4 == 0 else f"a quiet text about item {k}") for k in range(400)], "doc_id long, text string")
-    labels = docs.select("doc_id", F.col("text").startswith("you").cast("int").alias("toxic"))
+    draw = random.Random(4)
+    texts = [["".join(draw.choice("abcdefg") for _ in range(draw.randint(1, 8))) for _ in range(draw.randint(0, 60))] for _ in range(600)]
+    for words in texts[::4]:
+        words += ["idiot", "you", "moron"]
+        draw.shuffle(words)
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.col("text").contains("idiot").cast("int").alias("toxic"))
     return toxicity.fit_tables(docs, labels)
 
 
