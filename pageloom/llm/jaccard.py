@@ -4,8 +4,10 @@ Every text is the set of its five-word shingles, sketched by 64 min-hash values.
 a recursion tree is a sequence of sampled coordinates with the values found there: at each node
 a hash of the path chooses two coordinates, and a set goes on along both, so that similar sets
 share many paths and others soon part. Buckets with few sets are compared pair by pair on their
-sketches. A large bucket is compared with a few of its own sets first; if those tie it together
-it is done, otherwise it is split on. Independent runs repeat until the recall that is asked for.
+sketches. A large bucket is compared with a few of its own sets first; what those tie together,
+and what is too far from the rest to be like any of it, is done, and the others are split on.
+Independent runs repeat until the recall that is asked for; after the first run, buckets whose
+sets are tied together already have nothing left to tell and are left out.
 
 What is similar by sketch is then verified exactly: candidates fall into components, each one is
 cut into blocks of bounded size, and every two blocks meet in one task that counts shared shingles
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,12 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: Min-hash values of a sketch; pairs that agree on a smaller share of them are no candidates. At a
 #: similarity of 0.8 this leaves out fewer than one pair in a million.
 VALUES, ALIKE = 64, 0.5
+#: Differing values that two similar sketches have at most, with the same small chance of error.
+APART = int(VALUES * (1 - ALIKE))
 #: Coordinates chosen at a node, the depth at which buckets are first counted, and the levels split at a time after it.
 FANOUT, DEPTH, STEP = 2, 3, 2
 #: Sets of a bucket that are compared pair by pair, and those a larger one is first compared with.
-SMALL, PIVOTS = 200, 8
+SMALL, PIVOTS = 2_000, 8
 #: Sets and shingles of a block in the exact comparison.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
 
@@ -123,14 +127,14 @@ def _extend(bucket: np.ndarray, sketch: np.ndarray, levels: int) -> tuple[np.nda
     return bucket, row
 
 
-def _start(runs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, set) for all runs, at the first depth."""
+def _start(runs: range, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, set) for some runs, at the first depth."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sketch = _rows_of(batch.column("sketch"), VALUES, np.uint32)
         sets = batch.column("set").to_numpy(zero_copy_only=False)
-        for run in range(runs):
+        for run in runs:
             bucket, row = _extend(np.full(len(sets), run + 1, dtype=np.uint64), sketch, DEPTH)
             yield pa.RecordBatch.from_arrays([_signed(bucket), pa.array(sets[row])], ["bucket", "set"])
 
@@ -200,43 +204,45 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _compare_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, set, pivot) for every pivot that a set of a large bucket is like; pivot is null if it is like none."""
+    """(bucket, set, pivot, differ, tied) of every set of a large bucket: the pivots it is like, or all if it is like none."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sketch = _rows_of(batch.column("sketch"), VALUES, np.uint32)
         sets = batch.column("set").to_numpy(zero_copy_only=False)
-        out_bucket, out_set, out_pivot = [], [], []
         buckets = batch.column("bucket").to_numpy(zero_copy_only=False)
         order = np.argsort(buckets, kind="stable")
         cuts = [0, *(np.flatnonzero(np.diff(buckets[order])) + 1).tolist(), len(order)]
+        out = []
         for low, high in zip(cuts, cuts[1:]):
             rows = order[low:high]
             pivots = batch.column("pivots")[int(rows[0])].as_py()
             grid = np.frombuffer(b"".join(p["sketch"] for p in pivots), dtype=np.uint32).reshape(len(pivots), VALUES)
-            alike = np.stack([(sketch[rows] == g).sum(axis=1) for g in grid], axis=1) >= ALIKE * VALUES
-            r, p = np.nonzero(alike)
-            lone = np.flatnonzero(~alike.any(axis=1))
+            differ = np.stack([(sketch[rows] != g).sum(axis=1) for g in grid], axis=1)
+            tied = differ <= VALUES - ALIKE * VALUES
+            r, p = np.nonzero(tied | ~tied.any(axis=1)[:, None])
             names = np.array([x["set"] for x in pivots], dtype=np.int64)
-            out_bucket.append(buckets[rows[np.concatenate((r, lone))]])
-            out_set.append(sets[rows[np.concatenate((r, lone))]])
-            out_pivot.append(np.ma.masked_array(np.concatenate((names[p], np.zeros(len(lone), np.int64))), np.arange(len(r) + len(lone)) >= len(r)))
-        pivot = np.ma.concatenate(out_pivot)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(out_bucket)), pa.array(np.concatenate(out_set)), pa.array(pivot.data, mask=np.ma.getmaskarray(pivot))],
-            ["bucket", "set", "pivot"])
+            out.append((buckets[rows[r]], sets[rows[r]], names[p], differ[r, p], tied[r, p]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["bucket", "set", "pivot", "differ", "tied"])
 
 
-def _candidates(sets: DataFrame, runs: int) -> DataFrame:
-    """Ties (a, b) between sets whose sketches are alike."""
-    sketches = sets.select("set", "sketch")
+def _candidates(sketches: DataFrame, runs: range, roots: DataFrame | None) -> DataFrame:
+    """Ties (a, b) between sets whose sketches are alike, from some runs.
+
+    ``roots`` (set, root) tells what earlier runs have tied together.
+    """
     rows = sketches.mapInArrow(partial(_start, runs), "bucket long, set long")
+    if roots is not None:
+        rows = rows.join(roots, "set", "left").select("bucket", "set", F.coalesce("root", "set").alias("root"))
+    else:
+        rows = rows.withColumn("root", F.col("set"))
     ties = []
     while True:
         rows = written(rows, "jaccard-paths")
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        sizes = rows.groupBy(*apart("bucket")).agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).drop("apart")
+        sizes = sizes.where("low < high").select("bucket", "n")
         small = rows.join(sizes.where(F.col("n") <= SMALL).select("bucket"), "bucket")
-        members = small.groupBy("bucket").agg(F.array_sort(F.collect_set("set")).alias("members")).select("members").where(F.size("members") > 1).distinct()
+        members = small.groupBy("bucket").agg(F.array_sort(F.collect_set("set")).alias("members")).select("members").distinct()
         met = members.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("set")).join(sketches, "set")
         met = met.repartition("bucket").sortWithinPartitions("bucket")
         ties.append(written(met.mapInArrow(_compare_small, "a long, b long").distinct(), "jaccard-ties"))
@@ -251,20 +257,34 @@ def _candidates(sets: DataFrame, runs: int) -> DataFrame:
         pivots = chosen.groupBy("bucket").agg(
             F.slice(F.sort_array(F.collect_list(F.struct(order.alias("h"), "set", "sketch"))), 1, PIVOTS).alias("pivots"))
         joined = large.select("bucket", "set").join(sketches, "set").join(pivots, "bucket").select("bucket", "set", "sketch", "pivots")
-        near = written(joined.mapInArrow(_compare_pivots, "bucket long, set long, pivot long"), "jaccard-pivots")
-        ties.append(near.where("pivot IS NOT NULL AND set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct())
-        # a bucket is done if that holds it together: no set is alone, and each pivot shares a set with the least one
-        state = near.groupBy("bucket").agg(F.max(F.col("pivot").isNull().cast("int")).alias("lone"), F.min("pivot").alias("least"))
-        whole = near.join(state.where("lone = 0"), "bucket")
-        beside = whole.groupBy("bucket", "set").agg(F.max(F.col("pivot") == F.col("least")).alias("least"), F.collect_set("pivot").alias("of"))
+        near = written(joined.mapInArrow(_compare_pivots, "bucket long, set long, pivot long, differ long, tied boolean"), "jaccard-pivots")
+        tied = near.where("tied")
+        ties.append(tied.where("set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct())
+        # the tied part holds together if each pivot shares a set with the least one
+        least = tied.groupBy(*apart("bucket")).agg(F.min("pivot").alias("least")).drop("apart")
+        beside = tied.join(least, "bucket").groupBy("bucket", "set").agg(F.max(F.col("pivot") == F.col("least")).alias("least"), F.collect_set("pivot").alias("of"))
         reached = beside.select("bucket", "least", F.explode("of").alias("pivot")).groupBy("bucket", "pivot").agg(F.max("least").alias("least"))
-        done = reached.groupBy("bucket").agg(F.min("least").alias("tied")).where("tied").select("bucket")
-        rows = large.select("bucket", "set").join(done, "bucket", "left_anti").join(sketches, "set").select("bucket", "set", "sketch").mapInArrow(
-            _split, "bucket long, set long")
-    out = ties[0]
-    for more in ties[1:]:
-        out = out.union(more)
-    return out
+        whole = reached.groupBy("bucket").agg(F.min("least").alias("whole")).where("whole").select("bucket")
+        # in such a bucket a set is done if all that is not tied differs from one of its pivots by so much more than it does
+        others = near.where("NOT tied").groupBy("bucket", "pivot").agg(F.min("differ").alias("nearest"))
+        settled = tied.join(whole, "bucket").join(others, ["bucket", "pivot"], "left")
+        settled = settled.where(F.col("nearest").isNull() | (F.col("nearest") - F.col("differ") > APART)).select("bucket", "set").distinct()
+        going = large.select("bucket", "set", "root").join(settled, ["bucket", "set"], "left_anti").join(sketches, "set")
+        rows = going.select("bucket", "set", "sketch").mapInArrow(_split, "bucket long, set long")
+        rows = rows.join(large.select("set", "root").distinct(), "set").select("bucket", "set", "root")
+    return reduce(DataFrame.union, ties)
+
+
+def _tied(sets: DataFrame, runs: int) -> DataFrame:
+    """(set, root) of all sets that are tied to others, over all runs."""
+    sketches = sets.select("set", "sketch")
+    first = components(_candidates(sketches, range(1, 2), None), "jaccard-first").select(F.col("node").alias("set"), "root")
+    if runs == 1:
+        return first
+    first = written(first, "jaccard-roots")
+    more = _candidates(sketches, range(2, runs + 1), first)
+    known = first.where("set <> root").select(F.col("set").alias("a"), F.col("root").alias("b"))
+    return components(more.union(known), "jaccard-candidates").select(F.col("node").alias("set"), "root")
 
 
 def _sets_of_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,9 +371,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     sets = marks.where("set IS NOT NULL").groupBy("set").agg(
         F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     sets = written(sets, "jaccard-sets")
-    ties = _candidates(sets, runs_for(recall, similarity))
-    roots = components(ties, "jaccard-candidates").select(F.col("node").alias("set"), "root")
-    members = roots.join(sets.select("set", "doc", "copies", "size"), "set")
+    members = _tied(sets, runs_for(recall, similarity)).join(sets.select("set", "doc", "copies", "size"), "set")
     extent = members.groupBy(*apart("root")).agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).alias("blocks")).drop("apart")
     members = members.join(extent, "root").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")))
     with_text = texts.join(members.select("doc", "set", "root", "copies", "blocks", "block").distinct(), "doc")
