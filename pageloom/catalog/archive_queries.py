@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.catalog import inputs
-from pageloom.catalog.archives import crawl_archives, response_head
+from pageloom.catalog.archives import ARCHIVES, crawl_archives, response_head
 from pageloom.catalog.extraction import features_oracle, piped
 from pageloom.catalog.registry import query, with_inputs
 from pageloom.functions.headers import content_columns, record_columns
@@ -38,17 +38,40 @@ def warc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SPOILT = "page_id % 25 = 7"
+
+
+@query(
+    "warc_damaged",
+    with_inputs(
+        f"SELECT 'page' AS kind, host AS name, CAST(1 AS BIGINT) AS n FROM crawl_pages WHERE NOT ({_SPOILT}) "
+        "UNION ALL SELECT 'lost', concat('part-', lpad(CAST(archive AS VARCHAR), 5, '0'), '.warc', "
+        "CASE WHEN archive % 2 = 1 THEN '.gz' ELSE '' END), count(*) "
+        f"FROM (SELECT page_id % {ARCHIVES} AS archive FROM crawl_pages WHERE {_SPOILT}) GROUP BY archive",
+        **_CRAWL,
+    ),
+)
+def warc_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives with damaged records: every other page, and what each archive has lost."""
+    folder, _ = crawl_archives(spark, sf_dir, _SPOILT)
+    warc.register(spark)
+    records = spark.read.format("warc").options(payload="false", onError="reject").load(folder)
+    pages = records.where("rec_type = 'response'").select(F.lit("page").alias("kind"), record_columns()[1].alias("name"), F.lit(1).cast("long").alias("n"))
+    lost = records.where("error IS NOT NULL").groupBy(F.element_at(F.split("path", "/"), -1).alias("name")).agg(F.count("*").alias("n"))
+    return pages.unionByName(lost.select(F.lit("lost").alias("kind"), "name", "n"))
+
+
 @query(
     "warc_record_profile",
     "SELECT 'request' AS rec_type, 'application/http; msgtype=request' AS content_type, count(*) AS n_records FROM pages "
-    "UNION ALL SELECT 'response', 'application/http; msgtype=response', count(*) FROM pages",
+    "UNION ALL SELECT 'response', 'application/http; msgtype=response', count(*) FROM pages "
+    f"UNION ALL SELECT 'warcinfo', 'application/warc-fields', count(DISTINCT page_id % {ARCHIVES}) FROM pages",
 )
 def warc_record_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = crawl_archives(spark, sf_dir)
     warc.register(spark)
     records = spark.read.format("warc").options(payload="false", headers="false").load(folder)
-    # One warcinfo record per archive; their number follows the session's partitions.
-    return record_profile(records.where("rec_type <> 'warcinfo'"))
+    return record_profile(records)
 
 
 @query(
@@ -92,10 +115,10 @@ def script_extraction_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     features_oracle(
         "SELECT host AS warc_target_uri, nullif(ip, '-') AS warc_ip_address, "
         "'application/http; msgtype=response' AS content_type, server, page_title, page_description, keywords, "
-        f"{piped('emails')} AS emails, {piped('srcs')} AS script_src_attrs, {piped('types')} AS script_type_attrs "
-        "FROM features"
+        f"{piped('emails')} AS emails, {piped('srcs')} AS script_src_attrs, {piped('types')} AS script_type_attrs, "
+        f"content_length FROM features JOIN (SELECT page_id, CAST({_BLOCK_BYTES} AS VARCHAR) AS content_length FROM crawl_pages) USING (page_id)"
     ),
 )
 def wide_extraction_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = crawl_archives(spark, sf_dir)
-    return pipe_arrays(wide_extraction(responses(spark, path=folder))).drop("content_length")
+    return pipe_arrays(wide_extraction(responses(spark, path=folder)))

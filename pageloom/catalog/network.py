@@ -193,10 +193,15 @@ def script_geo_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_script_geo(_hosts(spark, sf_dir), geo_table(spark, sf_dir))
 
 
-@query("script_geo_left", _oracle(_SCRIPT_GEO.format(join="LEFT") + " ORDER BY h.page_id LIMIT 100000", **_PAGE_INPUTS))
+@query("script_geo_left", _oracle(_SCRIPT_GEO.format(join="LEFT"), **_PAGE_INPUTS))
 def script_geo_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = join_script_geo(_hosts(spark, sf_dir), geo_table(spark, sf_dir), "left")
-    return joined.orderBy("page_id").limit(100_000)
+    return join_script_geo(_hosts(spark, sf_dir), geo_table(spark, sf_dir), "left")
+
+
+@query("script_geo_salted", _oracle(_SCRIPT_GEO.format(join="LEFT"), **_PAGE_INPUTS))
+def script_geo_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The left join again, with the rows of one network spread over salts."""
+    return join_script_geo(_hosts(spark, sf_dir), geo_table(spark, sf_dir), "left", hot=F.col("ip").rlike(r"\A[0-9]+\.[0-9]+"))
 
 
 @query(

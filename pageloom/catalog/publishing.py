@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.catalog import inputs
-from pageloom.catalog.archives import crawl_archives, write_lines
+from pageloom.catalog.archives import ARCHIVES, crawl_archives, write_lines
 from pageloom.catalog.extraction import features_oracle, piped, script_table
 from pageloom.catalog.registry import query, with_inputs
 from pageloom.catalog.scalars import IP_INT, RANGES
@@ -53,25 +53,30 @@ def ledger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger_summary(_ledger(spark, sf_dir))
 
 
+_PARTS_BY_YEAR = """
+SELECT CAST(2018 + o_orderkey % 7 + shift AS STRING) AS year, concat('warc_part_', CAST(o_orderkey AS STRING)) AS part
+FROM orders, (SELECT 0 AS shift UNION ALL SELECT 1) AS shifts
+"""
+
+
 @query(
     "ledger_pending_anti",
     with_inputs(
-        "SELECT concat('warc_part_', CAST(o_orderkey AS STRING)) AS part FROM orders "
-        "WHERE concat('warc_part_', CAST(o_orderkey AS STRING)) NOT IN (SELECT part FROM parts WHERE status = 'success')",
+        "SELECT n.year, n.part FROM names n WHERE NOT EXISTS "
+        "(SELECT 1 FROM parts p WHERE p.status = 'success' AND p.year = n.year AND p.part = n.part)",
         **_LEDGER,
         parts=_STATUS,
+        names=_PARTS_BY_YEAR,
     ),
 )
 def ledger_pending_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = inputs.table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("warc_part_"), F.col("o_orderkey").cast("string")).alias("part")
-    )
-    return pending_parts(names, ledger.ledger_status(_ledger(spark, sf_dir)))
+    """Every part number stands in two years, and the ledger has it for one of them at most."""
+    return pending_parts(inputs.derived(spark, sf_dir, _PARTS_BY_YEAR), _ledger(spark, sf_dir))
 
 
 @query(
     "stream_manifest_batches",
-    with_inputs("SELECT count(*) AS n_lines, count(DISTINCT path) AS n_paths FROM manifest", manifest=inputs.MANIFEST),
+    with_inputs("SELECT path FROM manifest", manifest=inputs.MANIFEST),
 )
 def stream_manifest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, target = scratch_dir(spark, "manifests"), scratch_dir(spark, "batches")
@@ -86,9 +91,7 @@ def stream_manifest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = manifest_stream(spark, folder, math.ceil(n_files / 4)).writeStream.foreachBatch(keep)
     run = stream.option("checkpointLocation", scratch_dir(spark, "checkpoint")).trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.parquet(target).agg(
-        F.count("*").alias("n_lines"), F.count_distinct("path").alias("n_paths")
-    )
+    return spark.read.parquet(target).select("path")
 
 
 _PARTS = 4
@@ -97,7 +100,7 @@ _PARTS = 4
 @query(
     "publish_atomic",
     features_oracle(
-        f"SELECT '2024' AS year, f.ip, f.host, f.server, {piped('emails')} AS emails, "
+        f"SELECT '2024' AS year, concat('warc_part_00', CAST(f.page_id % {ARCHIVES} // {ARCHIVES // _PARTS} + 1 AS VARCHAR)) AS part, f.ip, f.host, f.server, {piped('emails')} AS emails, "
         f"{piped('kept_srcs')} AS script_src_attrs, country_name FROM features f LEFT JOIN best USING (ip)",
         blocks=inputs.GEO_BLOCKS,
         locations=inputs.GEO_LOCATIONS,
@@ -111,13 +114,16 @@ _PARTS = 4
 def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, paths = crawl_archives(spark, sf_dir)
     manifests = scratch_dir(spark, "manifests")
-    size = math.ceil(len(paths) / _PARTS)
+    size = len(paths) // _PARTS
     for i in range(_PARTS):
         names = [posixpath.basename(p) for p in paths[i * size : (i + 1) * size]]
         write_lines(posixpath.join(manifests, f"warc_part_{i + 1:03d}_2024.txt"), names)
     # One more part repeats an archive and names one that does not exist: none of it may appear.
     broken = [posixpath.basename(paths[0]), "no-such-archive.warc.gz"]
     write_lines(posixpath.join(manifests, f"warc_part_{_PARTS + 1:03d}_2024.txt"), broken)
+    # And one has archives with a damaged record in each.
+    _, damaged = crawl_archives(spark, sf_dir, "page_id % 8 = page_id % 25")
+    write_lines(posixpath.join(manifests, f"warc_part_{_PARTS + 2:03d}_2024.txt"), damaged)
 
     outputs = Outputs(scratch_dir(spark, "published"))
     geo_inputs = inputs.blocks(spark, sf_dir), inputs.locations(spark, sf_dir)
@@ -126,8 +132,7 @@ def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     features = published(spark, read_features(spark, outputs), outputs)
     countries = published(spark, read_geo(spark, outputs), outputs).select("year", "part", "ip", "country_name")
-    joined = skew_join(features, countries, ["year", "part", "ip"], "left").drop("part")
-    return pipe_arrays(joined)
+    return pipe_arrays(skew_join(features, countries, ["year", "part", "ip"], "left"))
 
 
 @query(

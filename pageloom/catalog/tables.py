@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -37,10 +37,29 @@ _FLAT_SCHEMA = StructType(
 )
 
 
-@query("parquet_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 30")
+@query("parquet_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/lineitem*.parquet")
-    return rows.where(F.col("l_quantity") > 30).select("l_orderkey", "l_linenumber", "l_quantity")
+    return spark.read.parquet(f"{sf_dir}/lineitem*.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("parquet_append", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0")
+def parquet_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "appended")
+    rows = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    tabular.write_parquet(rows, path)
+    tabular.write_parquet(rows.where("o_orderkey % 3 = 0"), path, "append")
+    return spark.read.parquet(path)
+
+
+@query("table_list", "SELECT 'orders' AS kind, count(*) AS n_rows FROM orders UNION ALL SELECT 'pages', count(*) FROM pages")
+def table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables that were just made are listed, each with the rows it has."""
+    tag = uuid.uuid4().hex
+    for kind in ("orders", "pages"):
+        tabular.create_table_if_absent(inputs.table(spark, sf_dir, kind), f"{kind}_{tag}", scratch_dir(spark, "table"))
+    names = [r["tableName"] for r in tabular.list_tables(spark).where(F.col("tableName").endswith(tag)).collect()]
+    counted = [spark.table(n).agg(F.lit(n.split("_")[0]).alias("kind"), F.count("*").alias("n_rows")) for n in sorted(names)]
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query("parquet_roundtrip", _FLAT_ORACLE)
@@ -78,13 +97,14 @@ _ORDER_LINES = "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM l
 
 @query(
     "tsv_scan",
-    "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag "
-    "FROM lineitem",
+    "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag, "
+    "CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem",
 )
 def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tsv")
     tabular.write_tsv(inputs.derived(spark, sf_dir, _ORDER_LINES), path)
-    return tabular.read_tsv(spark, path).drop("l_quantity")
+    back = tabular.read_tsv(spark, path)
+    return back.withColumn("l_quantity", F.col("l_quantity").cast("double"))  # numbers have no common text form
 
 
 @query("csv_infer_scan", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
@@ -124,17 +144,17 @@ def csv_tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(rejected, allowMissingColumns=True)
 
 
-@query("rows_explicit_schema", "SELECT l_orderkey, CAST(l_quantity AS INTEGER) AS l_quantity, l_returnflag FROM lineitem")
+@query("rows_explicit_schema", "SELECT l_orderkey, CAST(l_quantity AS DOUBLE) AS l_quantity, l_returnflag FROM lineitem")
 def rows_explicit_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = StructType(
         [
             StructField("l_orderkey", LongType()),
-            StructField("l_quantity", IntegerType()),
+            StructField("l_quantity", DoubleType()),
             StructField("l_returnflag", StringType()),
         ]
     )
     rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_quantity")
-    return rows.withColumn("l_quantity", F.col("l_quantity").cast("int")).to(schema)
+    return rows.withColumn("l_quantity", F.col("l_quantity").cast("double")).to(schema)
 
 
 @query("rows_inferred_schema", with_inputs("SELECT ip, host FROM crawl_pages", crawl_pages=inputs.CRAWL_PAGES))
@@ -146,15 +166,14 @@ def rows_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "tsv_to_parquet",
-    "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag "
-    "FROM lineitem",
+    "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag, "
+    "CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem",
 )
 def tsv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_dir(spark, "tsv"), scratch_dir(spark, "parquet")
-    rows = inputs.derived(spark, sf_dir, _ORDER_LINES).drop("l_quantity")
-    tabular.write_tsv(rows, source)
+    tabular.write_tsv(inputs.derived(spark, sf_dir, _ORDER_LINES), source)
     tabular.convert_tsv_to_parquet(spark, source, target)
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).withColumn("l_quantity", F.col("l_quantity").cast("double"))
 
 
 def _name(prefix: str) -> str:

@@ -11,10 +11,8 @@ from __future__ import annotations
 from functools import cache
 from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from pageloom.functions.sql import bind, each, keep, literal
 
@@ -112,14 +110,16 @@ def _text_map(pairs: list[str]) -> str:
     return f"str_to_map({literal(chr(2).join(pairs))}, {literal(chr(2))}, {literal(chr(1))})"
 
 
-_PIECE = r"(?i)&(?:#[0-9]{1,9};?|#x[0-9a-f]{1,8};?|[a-z][a-z0-9]*;)|[^&]+|&"
+_PIECE = r"(?i)&(?:#[0-9]+;?|#x[0-9a-f]+;?|[a-z][a-z0-9]*;)|[^&]+|&"
 
 
 @cache
 def _decoded(text: str) -> str:
     """SQL for ``text`` with its character references replaced."""
-    number = r"regexp_extract(p, '(?i)&#x?([0-9a-f]+)', 1)"
-    code = f"IF(lower(substring(p, 3, 1)) = 'x', try_cast(conv({number}, 16, 10) AS bigint), try_cast({number} AS bigint))"
+    # Leading zeros mean nothing, and a number of more digits than these is beyond all characters.
+    number = r"regexp_extract(p, '(?i)&#x?0*([0-9a-f]*)', 1)"
+    code = f"""CASE WHEN length({number}) > 10 THEN 1114112L WHEN {number} = '' THEN 0L
+        WHEN lower(substring(p, 3, 1)) = 'x' THEN try_cast(conv({number}, 16, 10) AS bigint) ELSE try_cast({number} AS bigint) END"""
     valid = "c BETWEEN 1 AND 1114111 AND NOT c BETWEEN 55296 AND 57343"
     char = f"decode(unhex(lpad(hex(IF({valid}, c, 65533L)), 8, '0')), 'UTF-32')"
     numeric = (
@@ -167,8 +167,8 @@ def meta_of(tags: Column, meta_name: str) -> Column:
 _AROUND = r"""\A["']|["']\z"""
 
 
-# Fixed value: a whole e-mail address, optionally as a mailto link.
-EMAIL = r"(?i)\A(mailto:)?[a-z0-9_.+-]+@[a-z0-9-]+\.[a-z0-9.-]+\z"
+# Fixed value: an e-mail address, optionally as a mailto link; the anchors say that it is the whole value.
+EMAIL = r"(?i)\A(mailto:)?([a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+)\z"
 
 
 def emails_of(tags: Column) -> Column:
@@ -189,25 +189,21 @@ def script_types_of(tags: Column) -> Column:
     return attributes(tags, "script", "type")
 
 
-def _repair(text: str | None) -> str | None:
-    if text is None:
-        return None
-    try:
-        return text.encode("utf-8").decode("unicode_escape").encode("latin-1").decode("utf-8", errors="replace")
-    except (UnicodeDecodeError, UnicodeEncodeError):
-        return text
-
-
-@F.pandas_udf(StringType())
-def _repair_batch(values: pd.Series) -> pd.Series:
-    return values.map(_repair, na_action="ignore")
+_ESCAPES = r"\\x[0-9a-fA-F]{2}|\\[nrt\\'\"]|[^\\]+|\\"
+# The characters that a printed byte string escapes by a letter or sign of their own.
+_ESCAPED = {"n": "0A", "r": "0D", "t": "09", "\\": "5C", "'": "27", '"': "22"}
 
 
 def unescape_bytes(text: Column) -> Column:
-    r"""Undo ``\xNN`` escapes of older tables and read the bytes as UTF-8.
+    r"""Undo the escapes of printed byte strings (``\xNN``, ``\n``, ``\'`` …) and read the bytes as UTF-8.
 
-    Text that cannot be repaired stays as it is. Only values with a backslash or
-    a non-ASCII character are handed to Python; all others are already right.
+    Each piece of the text becomes the hexadecimal form of its bytes; these are joined, and
+    what is no UTF-8 becomes U+FFFD. Text with an ``\x`` that lacks its digits, or that ends
+    inside an escape, cannot be repaired and stays as it is.
     """
-    needed = text.rlike(r"[\\\x{80}-\x{10FFFF}]")
-    return F.when(needed, _repair_batch(F.when(needed, text))).otherwise(text)
+    signs = " ".join(f"WHEN p = {literal(chr(92) + sign)} THEN '{code}'" for sign, code in _ESCAPED.items())
+    piece = f"CASE WHEN p RLIKE {literal(r'\A\\x[0-9a-fA-F]{2}\z')} THEN substring(p, 3) {signs} ELSE hex(p) END"
+    pieces = f"regexp_extract_all(x, {literal(_ESCAPES)}, 0)"
+    repaired = f"make_valid_utf8(CAST(unhex(array_join(transform({pieces}, p -> {piece}), '')) AS string))"
+    broken = literal(r"(?s)\A(?:[^\\]|\\[^x]|\\x[0-9a-fA-F]{2})*+\\(?:\z|x)")
+    return bind(text, f"IF(contains(x, {literal(chr(92))}) AND NOT x RLIKE {broken}, {repaired}, x)")

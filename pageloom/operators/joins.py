@@ -1,61 +1,43 @@
-"""Joins that keep their balance when one key holds a large share of the rows."""
+"""Joins that keep their balance when one key holds a large share of the rows.
+
+A plain equi-join is left to adaptive execution, which splits what it finds to be skewed
+while the join runs. Where that is not enough, the caller names the hot keys and gets the
+salted form. No function here reads data while a plan is built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1024
-HOT_ROWS = 1_000_000
 SALTS = 64
-# Of inputs below this no key can have enough rows to matter.
-SMALL_BYTES = 64 << 20
+HOWS = ("inner", "left", "left_semi", "left_anti")
 
-_HASH = "_key_hash"
 _SALT = "_salt"
 
 
-def largest_input_bytes(df: DataFrame) -> int | None:
-    """Size of the largest table a DataFrame reads, None where the session cannot tell."""
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    except AttributeError:
-        return None
-    return max(sizes, default=0)
-
-
-def key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the most frequent keys with at least ``min_rows`` rows.
-
-    At most ``MAX_HOT_KEYS`` longs reach the driver, whatever the input; any key
-    with more than 1/1024 of all rows is among them. Only the key columns are
-    read, and the counts are combined before the shuffle.
-    """
-    counts = df.groupBy(key_hash(keys).alias(_HASH)).agg(F.count("*").alias("_rows"))
-    top = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), _HASH).limit(MAX_HOT_KEYS)
-    return [row[_HASH] for row in top.collect()]
-
-
 def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, hot: list[int], salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    hot: Column | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join that spreads the keys with the given hashes over ``salts`` tasks.
+    """Equi-join that spreads the rows of hot keys over ``salts`` tasks.
 
-    Rows of a hot key get a salt on the left, and the right rows of hot keys are
-    repeated once per salt, so each pair still meets exactly once. The salt depends
-    on the task a row comes from and on nothing else: a task that runs again chooses
-    the same, copies of a row spread like all others, and no column has to be read
-    for it.
+    ``hot`` is a condition on the key columns; without one every key is spread. A hot row
+    of the left gets a salt from a hash of all its columns, so that it does not matter how
+    the left is partitioned or sorted and a task that runs again chooses the same; only rows
+    that are equal in every column stay together. Right rows of hot keys are repeated once
+    per salt, so each pair still meets exactly once.
     """
-    is_hot = key_hash(on).isin(hot)
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    all_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if how not in HOWS:
+        raise ValueError(f"unsupported join type: {how}")
+    is_hot = F.lit(True) if hot is None else F.coalesce(hot, F.lit(False))
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     salted_left = left.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
+    all_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.withColumn(_SALT, F.explode(all_salts))
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
 
@@ -65,19 +47,13 @@ def skew_join(
     right: DataFrame,
     on: list[str],
     how: str = "inner",
-    min_rows: int = HOT_ROWS,
-    small_bytes: int = SMALL_BYTES,
+    hot: Column | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join (inner, left, left_semi, left_anti) that splits the hot keys of ``left``.
-
-    ``left`` is first asked for its hot keys, by a count over its key columns. Without
-    any, or if ``left`` comes from small tables only, this is the plain join.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    """Equi-join (inner, left, left_semi, left_anti), salted where the caller names ``hot`` keys."""
+    if how not in HOWS:
         raise ValueError(f"unsupported join type: {how}")
-    size = largest_input_bytes(left)
-    hot = [] if size is not None and size < small_bytes else hot_keys(left, on, min_rows)
-    return salted_join(left, right, on, how, hot) if hot else left.join(right, on, how)
+    return left.join(right, on, how) if hot is None else salted_join(left, right, on, how, hot, salts)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pageloom.operators.joins import skew_join
+from pageloom.streaming.ledger import completed
 
 _BUCKET_DIGITS = 3
 _RUN = 4096
@@ -87,6 +88,5 @@ def present_paths(manifest: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def pending_parts(parts: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Parts without a complete success in the ledger (see ``streaming.ledger``)."""
-    done = ledger.where(F.col("status") == "success").select("part").distinct()
-    return parts.join(done, "part", "left_anti")
+    """Parts (year, part, …) that the ledger of tasks does not have complete (see ``streaming.ledger``)."""
+    return parts.join(completed(ledger), ["year", "part"], "left_anti")

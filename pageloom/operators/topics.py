@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from pageloom.operators.joins import skew_join
 
-# Fixed value: a longer word is not looked up and counts as unknown.
-MAX_WORD = 100
-
 
 def _accents() -> tuple[str, str]:
     """Accented Latin letters and their base letters, by Unicode decomposition."""
@@ -31,17 +28,20 @@ def domain_words(domain: Column) -> Column:
     return F.regexp_extract_all(F.lower(domain), F.lit(r"\b[a-z]+\b"), F.lit(0))
 
 
-def word_heads(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def word_heads(words: DataFrame, vocabulary: DataFrame, max_word: int | None = None) -> DataFrame:
     """First vocabulary piece of each distinct ``word``, by greedy longest match.
 
     ``vocabulary`` has one ``token`` per row; tokens after the first piece of a word
     start with ``##``. A word that cannot be covered to its end has no pieces and is
     left out. All pieces of a word that are in the vocabulary come from one
-    equi-join; the greedy walk over them is an expression on at most 100 positions.
+    equi-join; the greedy walk over them is an expression on the positions of the word.
+    Words longer than ``max_word``, if one is given, count as unknown.
     """
     tokens = vocabulary.select("token").distinct()
     longest = F.coalesce(tokens.agg(F.max(F.length("token"))).scalar(), F.lit(0))
-    distinct = words.select("word").distinct().where(F.length("word").between(1, MAX_WORD))
+    distinct = words.select("word").distinct().where(F.length("word") >= 1)
+    if max_word is not None:
+        distinct = distinct.where(F.length("word") <= max_word)
     size = F.length("word")
     starts = distinct.withColumn("_start", F.explode(F.sequence(F.lit(0), size - 1)))
     ends = starts.withColumn(

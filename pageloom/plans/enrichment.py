@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators.geo import GEO_13, GEO_18, lookup_ips
@@ -36,12 +36,15 @@ def ip_geo_table(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, year
     return table.select(*_JOIN_KEYS, *tag, "ip_info.*").dropna("all")
 
 
-def join_script_geo(features: DataFrame, geo: DataFrame, how: str = "inner", null_safe: bool = False) -> DataFrame:
+def join_script_geo(
+    features: DataFrame, geo: DataFrame, how: str = "inner", null_safe: bool = False, hot: Column | None = None
+) -> DataFrame:
     """Page features with the address table on ip, host and server, key columns once.
 
-    A NULL server matches nothing unless ``null_safe``.
+    A NULL server matches nothing unless ``null_safe``. ``hot`` names keys whose rows are
+    to be spread over salts (see ``operators.joins``).
     """
     right = geo.drop("year") if "year" in features.columns else geo
     if null_safe:
         return null_safe_join(features, right, _JOIN_KEYS, how)
-    return skew_join(features, right, _JOIN_KEYS, how)
+    return skew_join(features, right, _JOIN_KEYS, how, hot)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,6 +19,9 @@ def local_session(cores: int | str = "*", app: str = "pageloom", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
     )
+    if "spark.checkpoint.dir" not in conf:
+        # one machine, so any folder of it is shared; a cluster sets its own
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pageloom-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -28,15 +30,13 @@ def local_session(cores: int | str = "*", app: str = "pageloom", **conf: str) ->
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 
-    Executors read and write it, so on a cluster it must be the shared folder the
-    cluster names. Only where the setting is absent (a local test session) is a
-    temporary folder chosen and recorded in the session.
+    Executors and driver read and write it, so it is the folder the cluster names. Where
+    the setting is absent there is no folder that all of them see, and this is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="pageloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

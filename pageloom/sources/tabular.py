@@ -40,11 +40,15 @@ def read_csv_tolerant(
     """Well-formed rows, and the text of the lines that do not fit the schema.
 
     A line with too few or too many fields, or with a field that is not of its type,
-    does not fit. A header line is known by the column names.
+    does not fit. With ``header`` every file begins with the column names: one line that reads
+    like them is left out of each file, and further ones are data.
     """
     lines = spark.read.text(path).where(F.col("value") != "")
     if header:
-        lines = lines.where(F.col("value") != sep.join(schema.names))
+        named = F.col("value") == sep.join(schema.names)
+        counted = lines.where(named).groupBy("value", "_metadata.file_path").agg(F.count("*").alias("_n"))
+        again = counted.where("_n > 1").select("value", F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("_k"))
+        lines = lines.where(~named).select("value").unionByName(again.select("value"))
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
     with_corrupt = ", ".join([*columns, f"{CORRUPT} string"])
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -85,9 +89,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     pipe_arrays(df).write.mode(mode).option("header", True).csv(path)
 
 
-def convert_tsv_to_parquet(spark: SparkSession, source: str, target: str, files: int = 10) -> None:
-    """Tab-separated text to that many Parquet files."""
-    read_tsv(spark, source).repartition(files).write.mode("append").parquet(target)
+def convert_tsv_to_parquet(spark: SparkSession, source: str, target: str, max_rows_per_file: int = 5_000_000) -> None:
+    """Tab-separated text to Parquet, task by task: as many tasks as the text has splits, and no shuffle."""
+    read_tsv(spark, source).write.mode("append").option("maxRecordsPerFile", max_rows_per_file).parquet(target)
 
 
 def create_table_if_absent(df: DataFrame, table: str, path: str | None = None) -> None:

@@ -1,9 +1,13 @@
 """WARC archives as a Spark data source: ``spark.read.format("warc")``.
 
 One task reads one byte range of one archive and hands over Arrow batches that are
-bounded by bytes. A range of a plain archive is found by hopping from header to header,
-a range of a gzip archive by the first gzip member in it; an archive that is one single
-member is read by one task.
+bounded by bytes. A range begins at the first record (plain archives) or gzip member that
+starts in it and whose length leads to a next one; an archive that is one single member is
+read by one task. An uncompressed archive inside a record of a plain one looks the same.
+
+Damage is an error that names file, place and reason. With ``onError=reject`` reading goes on
+at the next sound record or member instead, and each lost stretch is a row with ``path``,
+``record_offset`` and ``error`` alone.
 
 Options
     ``path``            file, folder or glob; ``manifest`` instead names a text file
@@ -16,6 +20,7 @@ Options
     ``headers``         "false" leaves the two header maps out
     ``maxSplitBytes``   size of a byte range
     ``batchBytes``      target size of an Arrow batch
+    ``onError``         "fail" (default) or "reject"
 """
 
 from __future__ import annotations
@@ -53,6 +58,7 @@ WARC_SCHEMA = StructType(
         StructField("http_status", StringType()),
         StructField("http_headers", _TEXT_MAP),
         StructField("payload", BinaryType()),
+        StructField("error", StringType()),
     ]
 )
 
@@ -66,6 +72,7 @@ _ARROW_TYPES = {
     "http_status": pa.string(),
     "http_headers": _ARROW_MAP,
     "payload": pa.binary(),
+    "error": pa.string(),
 }
 
 _CHUNK = 1 << 20
@@ -75,7 +82,6 @@ _ZIPPED_PIECE = 1 << 16
 _GZIP = b"\x1f\x8b\x08"
 _RECORD = b"WARC/"
 _PROOF = 1 << 17
-_LONGEST_LINE = 1 << 20
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -92,9 +98,16 @@ class ArchiveSplit(InputPartition):
     end: int
 
 
-class _Truncated(Exception):
+class _Damaged(Exception):
+    """What stands here is no record, or not a whole one."""
+
+
+class _Truncated(_Damaged):
     """The archive ends inside a record."""
 
+    def __str__(self) -> str:
+        return "the archive ends inside a record"
+
 
 class _GzipStream(io.RawIOBase):
     """Reads concatenated gzip members as one stream, and notes where members start."""
@@ -122,12 +135,15 @@ class _GzipStream(io.RawIOBase):
                 self._pending = self._raw.read(_ZIPPED_PIECE)
                 self._read_to += len(self._pending)
             if not self._pending:
+                if self._read_to > self.members[-1][1] and not self._inflate.eof:
+                    raise _Truncated
                 return 0
             try:
                 out = self._inflate.decompress(self._pending, len(buffer))
-            except zlib.error:
-                # Bytes that are not a gzip member, or a damaged one: the rest is lost.
-                return 0
+            except zlib.error as broken:
+                if not self._pending.strip(b"\0") and not any(self._raw.read(_CHUNK).strip(b"\0") for _ in range(2)):
+                    return 0  # zeros may pad the end of a file
+                raise _Damaged(f"gzip member: {broken}") from None
             self._pending = self._inflate.unconsumed_tail
             if out:
                 buffer[: len(out)] = out
@@ -141,42 +157,62 @@ class _GzipStream(io.RawIOBase):
         return self.members[0]
 
 
-def _members_follow(raw, offset: int) -> bool:
-    """Whether a gzip member with a record starts here, and whole members follow it.
-
-    A compressed archive inside a record can hold the same bytes, but only in stored
-    pieces of at most 64 KiB with marks in between, so that its members do not follow
-    one another for ``_PROOF`` bytes.
-    """
+def _member_end(raw, offset: int) -> int | None:
+    """Where the gzip member that starts here ends, if it is whole and begins with a record."""
     raw.seek(offset)
-    inflate = zlib.decompressobj(31)
-    head = data = b""
-    while True:
-        data = data or raw.read(_ZIPPED_PIECE)
+    inflate, head = zlib.decompressobj(31), b""
+    while not inflate.eof:
+        data = inflate.unconsumed_tail or raw.read(_ZIPPED_PIECE)
         if not data:
-            return head == _RECORD
+            return None
         try:
             out = inflate.decompress(data, _CHUNK)
         except zlib.error:
-            return False
+            return None
         head += out[: len(_RECORD) - len(head)]
         if not _RECORD.startswith(head):
-            return False
-        data = inflate.unconsumed_tail
-        if inflate.eof:
-            data = inflate.unused_data
-            if raw.tell() - len(data) - offset >= _PROOF:
-                return head == _RECORD
-            if len(data) < len(_GZIP):
-                data += raw.read(_ZIPPED_PIECE)
-            if data and not data.startswith(_GZIP):
-                # Zeros may pad the end of a file.
-                return head == _RECORD and not data.strip(b"\0")
-            inflate = zlib.decompressobj(31)
+            return None
+    return raw.tell() - len(inflate.unused_data) if head == _RECORD else None
 
 
-def _first_member(raw, start: int, end: int) -> int | None:
-    """Offset of the first member with a record that starts in [start, end)."""
+def _members_follow(raw, offset: int) -> bool | None:
+    """Whether a gzip member with a record starts here, and whole members follow it.
+
+    A compressed archive inside a record can hold the same bytes, but only in stored
+    pieces of at most 64 KiB with marks in between, so that its members do not follow
+    one another for ``_PROOF`` bytes. None if they end earlier, which damage may also do.
+    """
+    at = offset
+    while at - offset < _PROOF:
+        end = _member_end(raw, at)
+        if end is None:
+            return False if at == offset else None
+        at = end
+        raw.seek(at)
+        ahead = raw.read(len(_GZIP))
+        if ahead != _GZIP:
+            # Zeros may pad the end of a file.
+            return True if not ahead.strip(b"\0") else None
+    return True
+
+
+def _by_walking(raw, start: int, end: int) -> int | None:
+    """The first whole member in [start, end) found from the file's beginning, passing damaged ones by."""
+    at = 0
+    while at < end:
+        after = _member_end(raw, at)
+        if after is not None and at >= start:
+            return at
+        if after is None:
+            after = _candidate(raw, at + 1, 1 << 62)
+            if after is None:
+                return None
+        at = after
+    return None
+
+
+def _candidate(raw, start: int, end: int) -> int | None:
+    """The first place in [start, end) where a whole member with a record starts."""
     position, kept = start, b""
     while position < end:
         raw.seek(position)
@@ -186,7 +222,7 @@ def _first_member(raw, start: int, end: int) -> int | None:
         base = position - len(kept)
         found = window.find(_GZIP)
         while found >= 0 and base + found < end:
-            if _members_follow(raw, base + found):
+            if _member_end(raw, base + found) is not None:
                 return base + found
             found = window.find(_GZIP, found + 1)
         position = base + len(window)
@@ -194,16 +230,72 @@ def _first_member(raw, start: int, end: int) -> int | None:
     return None
 
 
+def _first_member(raw, start: int, end: int) -> int | None:
+    """Offset of the first whole member with a record that starts in [start, end)."""
+    at = start
+    while (at := _candidate(raw, at, end)) is not None:
+        follows = _members_follow(raw, at)
+        if follows:
+            return at
+        if follows is None:  # damage or a stored archive: only the way from the beginning tells
+            return _by_walking(raw, start, end)
+        at += 1
+    return None
+
+
+def _record_end(raw, offset: int, size: int) -> int | None:
+    """Where the record that starts here ends, if a record or the end of the file follows."""
+    raw.seek(offset)
+    source = io.BufferedReader(raw, 1 << 14)
+    stream = _ByteStream(source)
+    try:
+        if not stream.line().startswith(_RECORD):
+            return None
+        headers = _header_lines(stream)
+        end = offset + stream.position + _length(headers)
+    except _Damaged:
+        return None
+    finally:
+        source.detach()
+    if "content-length" not in headers or end > size:
+        return None
+    raw.seek(end)
+    ahead = raw.read(16).lstrip(b"\r\n\0")
+    return end if not ahead or ahead.startswith(_RECORD[: len(ahead)]) else None
+
+
+def _first_record(raw, start: int, end: int, size: int) -> int | None:
+    """Offset of the first sound record of a plain archive that starts in [start, end)."""
+    mark = b"\n" + _RECORD
+    position, kept = max(0, start - 1), b""
+    if start == 0 and _record_end(raw, 0, size) is not None:
+        return 0
+    while position < min(end, size):
+        raw.seek(position)
+        window = kept + raw.read(min(1 << 16, end - position + len(mark)))
+        if len(window) <= len(kept):
+            return None
+        base = position - len(kept)
+        found = window.find(mark)
+        while found >= 0 and base + found + 1 < end:
+            if _record_end(raw, base + found + 1, size) is not None:
+                return base + found + 1
+            found = window.find(mark, found + 1)
+        position = base + len(window)
+        kept = window[-(len(mark) - 1) :]
+    return None
+
+
 class _ByteStream:
     """Counts what is read; skips by seeking where the size of the file is known."""
 
-    def __init__(self, handle, size: int | None = None) -> None:
+    def __init__(self, handle, size: int | None = None, position: int = 0) -> None:
         self._handle = handle
         self._size = size
-        self.position = 0
+        self.position = position
 
     def line(self) -> bytes:
-        data = self._handle.readline(_LONGEST_LINE)
+        data = self._handle.readline()
         self.position += len(data)
         return data
 
@@ -238,13 +330,13 @@ def _text(raw: bytes) -> str:
     return raw.decode("utf-8", errors="replace")
 
 
-def _header_lines(stream: _ByteStream) -> dict[str, str]:
-    """Header block up to its blank line; the first of repeated names counts."""
+def _header_lines(stream: _ByteStream, until_end: bool = False) -> dict[str, str]:
+    """Header block up to its blank line, or to the end; the first of repeated names counts."""
     headers: dict[str, str] = {}
     name = ""
     while True:
         line = stream.line()
-        if not line:
+        if not line and not until_end:
             raise _Truncated
         if not line.strip():
             return headers
@@ -263,10 +355,7 @@ def _split_http(block: bytes) -> tuple[str | None, dict[str, str] | None, bytes]
     inner = io.BytesIO(block)
     stream = _ByteStream(inner)
     status = _text(stream.line().strip()).split(" ", 2)
-    try:
-        headers = _header_lines(stream)
-    except _Truncated:
-        return (status[1] if len(status) > 1 else None), {}, b""
+    headers = _header_lines(stream, until_end=True)
     return (status[1] if len(status) > 1 else None), headers, block[stream.position :]
 
 
@@ -277,83 +366,122 @@ def _is_http(rec_type: str | None, headers: dict[str, str]) -> bool:
 _HTTP_HEAD = 1 << 16
 
 
+def _length(headers: dict[str, str]) -> int:
+    text = headers.get("content-length") or "0"
+    if not (text.isascii() and text.isdigit()):
+        raise _Damaged(f"Content-Length is {text!r}")
+    return int(text)
+
+
+def _read_record(stream: _ByteStream, rec_type: str | None, payload: bool, headers: bool) -> dict | None:
+    """The record whose first line has been read, or None if it is of another type."""
+    rec_headers = _header_lines(stream)
+    kind = rec_headers.get("warc-type")
+    length = _length(rec_headers)
+    if rec_type is not None and kind != rec_type:
+        stream.skip(length)
+        return None
+    status, http_headers, body = None, None, None
+    http = _is_http(kind, rec_headers)
+    if payload:
+        block = stream.read(length)
+        status, http_headers, body = _split_http(block) if http else (None, None, block)
+    elif headers and http:
+        head = stream.read(min(length, _HTTP_HEAD))
+        if b"\r\n\r\n" not in head and length > _HTTP_HEAD:
+            head += stream.read(length - _HTTP_HEAD)
+        else:
+            stream.skip(length - len(head))
+        status, http_headers, _ = _split_http(head)
+    else:
+        stream.skip(length)
+    return {
+        "rec_type": kind,
+        "content_type": rec_headers.get("content-type"),
+        "rec_headers": list(rec_headers.items()) if headers else None,
+        "http_status": status,
+        "http_headers": list(http_headers.items()) if headers and http_headers is not None else None,
+        "payload": body,
+        "error": None,
+    }
+
+
 def read_records(
-    path: str, start: int, end: int, rec_type: str | None, payload: bool, headers: bool
+    path: str, start: int, end: int, rec_type: str | None, payload: bool, headers: bool, on_error: str = "fail"
 ) -> Iterator[dict]:
-    """Records of an archive that begin in [start, end); a cut-off last record is left out.
+    """Records of an archive that begin in [start, end).
 
     Of a gzip archive these are the records from the first member in the range up to the
     first one beyond it. A record's offset is its place in the file; in a gzip member of
-    several records it is the member's place plus the inflated distance.
+    several records it is the member's place plus the inflated distance. Whoever reads up to
+    the end of a range also looks whether the next range begins soundly, as that range only
+    sees what is sound.
     """
     file_system_, inner = file_system(path)
     with file_system_.open_input_file(inner) as raw:
-        zipped = None
-        if raw.read(2) == _GZIP[:2]:
-            first = 0 if start == 0 else _first_member(raw, start, end)
-            if first is None:
-                return
-            zipped = _GzipStream(raw, first)
-            source = io.BufferedReader(zipped, _CHUNK)
+        size = raw.size()
+        is_zipped = raw.read(2) == _GZIP[:2]
+        if is_zipped:
+            place = 0 if start == 0 else _first_member(raw, start, end)
         else:
-            raw.seek(0)
+            place = 0 if start == 0 else _first_record(raw, start, end, size)
+        while place is not None and place < min(end, max(size, 1)):
+            zipped = _GzipStream(raw, place) if is_zipped else None
+            if zipped is None:
+                raw.seek(place)
             # A small buffer suits hopping from header to header.
-            source = io.BufferedReader(raw, 1 << 16)
-        stream = _ByteStream(source, None if zipped else raw.size())
-        try:
-            while True:
-                offset = stream.position
-                line = stream.line()
-                if not line:
-                    return
-                if not line.startswith(_RECORD):
-                    continue
-                if zipped:
-                    member, place = zipped.member_at(offset)
-                    if place >= end and member == offset:
+            source = io.BufferedReader(zipped, _CHUNK) if zipped else io.BufferedReader(raw, 1 << 16)
+            stream = _ByteStream(source, None if zipped else size, 0 if zipped else place)
+            at = place
+            try:
+                while True:
+                    offset = stream.position
+                    if zipped:
+                        member, at = zipped.member_at(offset)
+                        offset += at - member
+                    else:
+                        at = offset
+                    line = stream.line()
+                    if not line:
+                        return
+                    if not line.strip(b"\r\n\0"):
+                        continue
+                    if zipped:  # reading the line may have gone on to the next member
+                        member, at = zipped.member_at(stream.position - len(line))
+                        offset = at + stream.position - len(line) - member
+                    if at >= end and (zipped is None or offset == at):
+                        sound = _member_end(raw, at) if zipped else _record_end(raw, at, size)
+                        if sound is None:
+                            raise _Damaged("no whole record starts here")
                         return
-                    offset = place + offset - member
-                elif offset >= end:
+                    if not line.startswith(_RECORD):
+                        raise _Damaged("no record starts here")
+                    found = _read_record(stream, rec_type, payload, headers)
+                    if found is not None:
+                        yield {"path": path, "record_offset": offset, **found}
+            except _Damaged as damage:
+                if zipped:
+                    at = zipped.members[-1][1]
+                if on_error != "reject":
+                    raise OSError(f"{path}: damaged at byte {at}: {damage}") from None
+                yield {**dict.fromkeys(_ARROW_TYPES), "path": path, "record_offset": at, "error": str(damage)}
+                if at >= end:
                     return
-                rec_headers = _header_lines(stream)
-                kind = rec_headers.get("warc-type")
-                length = int(rec_headers.get("content-length") or 0)
-                before = zipped is None and offset < start
-                if before or (rec_type is not None and kind != rec_type):
-                    stream.skip(length)
-                    continue
-                status, http_headers, body = None, None, None
-                http = _is_http(kind, rec_headers)
-                if payload:
-                    block = stream.read(length)
-                    status, http_headers, body = _split_http(block) if http else (None, None, block)
-                elif headers and http:
-                    head = stream.read(min(length, _HTTP_HEAD))
-                    if b"\r\n\r\n" not in head and length > _HTTP_HEAD:
-                        head += stream.read(length - _HTTP_HEAD)
-                    else:
-                        stream.skip(length - len(head))
-                    status, http_headers, _ = _split_http(head)
-                else:
-                    stream.skip(length)
-                yield {
-                    "path": path,
-                    "record_offset": offset,
-                    "rec_type": kind,
-                    "content_type": rec_headers.get("content-type"),
-                    "rec_headers": list(rec_headers.items()) if headers else None,
-                    "http_status": status,
-                    "http_headers": list(http_headers.items()) if headers and http_headers is not None else None,
-                    "payload": body,
-                }
-        except (_Truncated, ValueError):
-            return
+                place = _candidate(raw, at + 1, end) if is_zipped else _first_record(raw, at + 1, end, size)
+            finally:
+                source.detach()
 
 
 def _visible(path: str) -> bool:
     return posixpath.basename(path)[:1] not in "._"
 
 
+def _matches(path: str, pattern: str) -> bool:
+    """Whether a path fits a glob, segment by segment: a star does not cross folders."""
+    names, globs = path.split("/"), pattern.split("/")
+    return len(names) == len(globs) and all(fnmatch.fnmatchcase(n, g) for n, g in zip(names, globs))
+
+
 def _listed(path: str) -> list[tuple[str, int]]:
     """Files and sizes of a path, folder or glob; names starting with '.' or '_' are hidden."""
     system, inner = file_system(path)
@@ -362,7 +490,7 @@ def _listed(path: str) -> list[tuple[str, int]]:
     if wild:
         base = posixpath.dirname(inner[: min(wild)])
         found = system.get_file_info(pafs.FileSelector(base, recursive=True))
-        found = [f for f in found if fnmatch.fnmatch(f.path, inner)]
+        found = [f for f in found if _matches(f.path, inner)]
     else:
         found = [system.get_file_info(inner)]
         if found[0].type == pafs.FileType.Directory:
@@ -406,6 +534,9 @@ class WarcReader(DataSourceReader):
         self._headers = options.get("headers", "true").lower() == "true"
         self._split_bytes = int(options.get("maxsplitbytes", 256 << 20))
         self._batch_bytes = int(options.get("batchbytes", 8 << 20))
+        self._on_error = options.get("onerror", "fail").lower()
+        if self._on_error not in ("fail", "reject"):
+            raise ValueError(f"onError is fail or reject, not {self._on_error}")
 
     def partitions(self) -> list[ArchiveSplit]:
         if self._manifest:
@@ -426,7 +557,7 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         size = 0
         for row in read_records(
-            partition.path, partition.start, partition.end, self._rec_type, self._payload, self._headers
+            partition.path, partition.start, partition.end, self._rec_type, self._payload, self._headers, self._on_error
         ):
             rows.append(row)
             size += 512 + len(row["payload"] or b"")

@@ -1,6 +1,7 @@
 """Skew-aware joins against the plain ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import joins
 
@@ -20,34 +21,40 @@ def rows(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain(sides, how):
+@pytest.mark.parametrize("hot", ["k = 'hot'", None])
+def test_salted_join_equals_plain(sides, how, hot):
     left, right = sides
-    hot = joins.hot_keys(left, ["k"], min_rows=50)
-    assert len(hot) == 1
-    salted = joins.salted_join(left, right, ["k"], how, hot, salts=4)
-    assert rows(salted) == rows(left.join(right, ["k"], how))
+    assert rows(joins.salted_join(left, right, ["k"], how, hot and F.expr(hot), salts=4)) == rows(left.join(right, ["k"], how))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_skew_join_salts_large_inputs(sides, how):
+def test_skew_join_salts_on_request_only(sides, how):
     left, right = sides
-    joined = joins.skew_join(left, right, ["k"], how, min_rows=50, small_bytes=0)
-    assert rows(joined) == rows(left.join(right, ["k"], how))
-    assert "spark_partition_id" in joined._jdf.queryExecution().toString().lower()
+    plain = joins.skew_join(left, right, ["k"], how)
+    salted = joins.skew_join(left, right, ["k"], how, F.col("k") == "hot")
+    assert rows(plain) == rows(salted) == rows(left.join(right, ["k"], how))
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_hot_rows_spread_over_tasks(spark, sides):
-    left, right = sides
-    salted = joins.salted_join(left, right, ["k"], "inner", joins.hot_keys(left, ["k"], 50), salts=4)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+def test_clustered_hot_key_spreads_over_tasks(spark):
+    """All rows of the key lie in one partition, as behind a shuffle or in a sorted table."""
+    left = spark.range(100_000).selectExpr("CASE WHEN id < 99999 THEN 'hot' ELSE 'k' END AS k", "id").repartition(1)
+    right = spark.createDataFrame([("hot", 1), ("k", 2)], "k string, v int")
+    salted = joins.salted_join(left, right, ["k"], "inner", F.col("k") == "hot")
+    assert salted.count() == 100_000
+    salts = left.select(F.pmod(F.xxhash64("k", "id"), F.lit(joins.SALTS)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) >= 32 and max(r["count"] for r in salts) < 2_500
 
 
-def test_small_inputs_join_plainly(spark, tables):
-    orders = spark.read.parquet(f"{tables}/orders.parquet")
-    assert 0 < joins.largest_input_bytes(orders) < joins.SMALL_BYTES
-    joined = joins.skew_join(orders, orders.select("o_orderkey"), ["o_orderkey"])
-    assert "_salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
+def test_no_job_while_a_plan_is_built(spark, sides):
+    """A source that fails as soon as it is read must not be noticed."""
+    left, right = sides
+    broken = left.withColumn("k", F.coalesce("k", F.raise_error(F.lit("read"))))
+    for how in joins.HOWS:
+        joins.skew_join(broken, right, ["k"], how)
+        joins.salted_join(broken, right, ["k"], how)
+    joins.null_safe_join(broken, right, ["k"])
 
 
 def test_null_safe_join(spark):

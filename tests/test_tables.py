@@ -22,6 +22,16 @@ def test_tolerant_csv(spark, tmp_path):
     assert rejected.count() == 3
 
 
+def test_a_line_like_the_header_is_data(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "a.tsv").write_text("a\tb\n1\t2\na\tb\n")
+    (path / "b.tsv").write_text("a\tb\n3\t4\n")
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    good, rejected = tabular.read_csv_tolerant(spark, str(path), schema)
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "2"), ("3", "4"), ("a", "b")] and rejected.count() == 0
+
+
 def test_create_and_rewrite_table(spark, tmp_path):
     name, staging = f"t_{uuid.uuid4().hex}", f"s_{uuid.uuid4().hex}"
     df = spark.createDataFrame([(1, "a.js|data:x|b.js"), (2, "data:y"), (3, "")], "id int, srcs string")
