@@ -87,15 +87,17 @@ def _probes(ips: DataFrame, networks: DataFrame) -> DataFrame:
     )
 
 
-def match_ips(ips: DataFrame, blocks: DataFrame, all_matches: bool = False) -> DataFrame:
+def match_ips(ips: DataFrame, blocks: DataFrame, all_matches: bool = False, unique: bool = False) -> DataFrame:
     """Distinct addresses of ``ips`` that lie in a block, with the block's columns.
 
+    ``unique`` says that no address is there twice, so that they are not made distinct again.
+
     The longest prefix wins, and among equal networks the least row. With
     ``all_matches`` every containing block gives a row, as a range join would.
     """
     networks = _networks(blocks)
     columns = [c for c in blocks.columns if c != "ip"]
-    probes = _probes(ips.select("ip").distinct(), networks)
+    probes = _probes(ips.select("ip") if unique else ips.select("ip").distinct(), networks)
     matched = skew_join(probes, networks, _NET)
     if all_matches:
         return matched.select("ip", *columns)
@@ -128,10 +130,10 @@ def geo_columns(df: DataFrame, fields: dict[str, DataType]) -> DataFrame:
 
 
 def lookup_ips(
-    ips: DataFrame, blocks: DataFrame, locations: DataFrame, fields: dict[str, DataType] = GEO_13
+    ips: DataFrame, blocks: DataFrame, locations: DataFrame, fields: dict[str, DataType] = GEO_13, unique: bool = False
 ) -> DataFrame:
     """One row of lookup columns per distinct matched address."""
-    return geo_columns(match_ips(ips, with_locations(blocks, locations)), fields)
+    return geo_columns(match_ips(ips, with_locations(blocks, locations), unique=unique), fields)
 
 
 def enrich_by_ip(

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.js import js_lib_names
 from pageloom.functions.url import url_domain
 from pageloom.operators.joins import skew_join
-from pageloom.session import written
 
 
 def domain_lib_pairs(pages: DataFrame, drop_empty_domain: bool = False) -> DataFrame:
@@ -47,9 +46,8 @@ def _spread(df: DataFrame, *columns: str) -> DataFrame:
 def _pairs_of_small_domains(pairs: DataFrame, domains: DataFrame) -> DataFrame:
     """Pairs within each domain of bounded size, out of its sorted list of libraries.
 
-    The list is made where the join already brought its domain together. Many domains
-    load the same libraries, so each different list is paired up once, with the number
-    of domains that have it as its weight.
+    Many domains load the same libraries, so each different list is paired up once, with
+    the number of domains that have it as its weight.
     """
     lists = (
         skew_join(pairs, domains.select("domain"), ["domain"])
@@ -96,23 +94,25 @@ def _pairs_of_large_domains(pairs: DataFrame, domains: DataFrame, block_libs: in
     )
 
 
-def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512) -> DataFrame:
+def cooccurrence(pairs: DataFrame, min_domains: int | Column = 1, block_libs: int = 512) -> DataFrame:
     """Ordered pairs of different libraries and the number of domains having both.
 
-    ``min_domains`` keeps the pairs on at least that many domains; libraries on
-    fewer domains cannot be in one and leave before the join. Each unordered pair is
-    met once and mirrored at the end. ``pairs`` is read several times: pass a stored
-    table (``session.written``) if it is costly to compute.
+    ``min_domains``, a number or a scalar subquery, keeps the pairs on at least that many
+    domains; libraries on fewer domains cannot be in one and leave before the join. Each
+    unordered pair is met once and mirrored at the end. ``pairs`` is read several times: pass
+    a stored table (``session.written``) if it is costly to compute.
     """
-    if min_domains > 1:
+    every = isinstance(min_domains, int) and min_domains <= 1
+    if not every:
         frequent = lib_domain_counts(pairs).where(F.col("domain_count") >= min_domains).select("js_lib")
-        pairs = written(skew_join(pairs, frequent, ["js_lib"], "left_semi"), "frequent-libs")
+        pairs = pairs.join(frequent, "js_lib", "left_semi")
     domains = pairs.groupBy("domain").agg(F.count("*").alias("n_libs")).where(F.col("n_libs") > 1)
     small = _pairs_of_small_domains(pairs, domains.where(F.col("n_libs") <= block_libs))
     large = _pairs_of_large_domains(pairs, domains.where(F.col("n_libs") > block_libs), block_libs)
     met = small.unionByName(large)
     counted = met.groupBy("_a", "_b").agg(F.sum("weight").alias("domain_count"))
-    counted = counted.where(F.col("domain_count") >= min_domains)
+    if not every:
+        counted = counted.where(F.col("domain_count") >= min_domains)
     both = F.array(
         F.struct(F.col("_a").alias("js_lib1"), F.col("_b").alias("js_lib2")),
         F.struct(F.col("_b").alias("js_lib1"), F.col("_a").alias("js_lib2")),
@@ -120,19 +120,26 @@ def cooccurrence(pairs: DataFrame, min_domains: int = 1, block_libs: int = 512)
     return counted.select(F.explode(both).alias("_pair"), "domain_count").select("_pair.*", "domain_count")
 
 
+def _bound(pairs: DataFrame, k: int, probe_libs: int) -> DataFrame:
+    """One row: a number of domains that the k best ordered pairs reach, from the most frequent libraries.
+
+    A domain has at most ``probe_libs`` of these, so its list of them is bounded.
+    """
+    probe = lib_domain_counts(pairs).orderBy(F.desc("domain_count"), "js_lib").limit(probe_libs).select("js_lib")
+    lists = pairs.join(F.broadcast(probe), "js_lib", "left_semi").groupBy("domain").agg(F.array_sort(F.collect_list("js_lib")).alias("_libs"))
+    placed = lists.select("_libs", F.posexplode("_libs").alias("_i", "_a"))
+    met = placed.select("_a", F.explode(F.slice("_libs", F.col("_i") + 2, F.size("_libs"))).alias("_b"))
+    best = met.groupBy("_a", "_b").agg(F.count("*").alias("domain_count")).orderBy(F.desc("domain_count")).limit(-(-k // 2))
+    return best.agg(F.when(F.count("*") * 2 >= k, F.min("domain_count")).otherwise(F.lit(1)).alias("bound"))
+
+
 def top_cooccurrence(pairs: DataFrame, k: int = 50, probe_libs: int = 64) -> DataFrame:
     """The k library pairs on most domains, without counting all pairs.
 
-    The pairs among the ``probe_libs`` most frequent libraries are counted first.
-    Their k-th best count bounds the k-th best of all from below, and a library on
-    fewer domains than that cannot be in one of the top pairs. ``pairs`` is read
-    several times, as for ``cooccurrence``.
+    The pairs among the ``probe_libs`` most frequent libraries are counted first, as a scalar
+    subquery of the same plan. Their k-th best count bounds the k-th best of all from below,
+    and a library on fewer domains than that cannot be in one of the top pairs. ``pairs`` is
+    read several times, as for ``cooccurrence``.
     """
-    counts = lib_domain_counts(pairs)
-    probe = counts.orderBy(F.desc("domain_count"), "js_lib").limit(probe_libs).select("js_lib")
-    probed = cooccurrence(pairs.join(F.broadcast(probe), "js_lib", "left_semi"))
-    best = probed.orderBy(F.desc("domain_count")).limit(k)
-    enough = F.when(F.count("*") == k, F.min("domain_count")).otherwise(F.lit(1))
-    bound = best.agg(enough.alias("bound")).first()["bound"]
-    found = cooccurrence(pairs, min_domains=bound) if bound > 1 else cooccurrence(pairs)
+    found = cooccurrence(pairs, min_domains=_bound(pairs, k, probe_libs).scalar())
     return found.orderBy(F.desc("domain_count"), "js_lib1", "js_lib2").limit(k)

@@ -12,8 +12,8 @@ from pageloom.operators.profile import dedupe_by_ip
 _JOIN_KEYS = ["ip", "host", "server"]
 
 
-def _lookup_struct(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, fields: dict) -> DataFrame:
-    found = lookup_ips(hosts, blocks, locations, fields)
+def _lookup_struct(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, fields: dict, unique: bool = False) -> DataFrame:
+    found = lookup_ips(hosts, blocks, locations, fields, unique)
     packed = found.select("ip", F.struct(*fields).alias("ip_info"))
     return skew_join(hosts, packed, ["ip"], "left")
 
@@ -31,7 +31,7 @@ def ip_geo_table(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, year
     shuffled once.
     """
     hosts = dedupe_by_ip(hosts.select(*_JOIN_KEYS))
-    table = _lookup_struct(hosts, blocks, locations, GEO_13)
+    table = _lookup_struct(hosts, blocks, locations, GEO_13, unique=True)
     tag = [] if year is None else [F.lit(year).alias("year")]
     return table.select(*_JOIN_KEYS, *tag, "ip_info.*").dropna("all")
 
