@@ -31,9 +31,8 @@ FROM ledger GROUP BY year, part
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.lit("2024-09-01 00:00:00").cast("timestamp")
     rows = inputs.derived(spark, sf_dir, inputs.LEDGER)
-    return rows.withColumn("started_at", start).withColumn(
-        "finished_at", F.timestamp_seconds(F.unix_seconds(start) + F.col("took"))
-    )
+    rows = rows.withColumns({"attempt": F.lit("1"), "started_at": start})
+    return rows.withColumn("finished_at", F.timestamp_seconds(F.unix_seconds(start) + F.col("took")))
 
 
 @query("ledger_status", with_inputs(_STATUS, **_LEDGER))

@@ -89,4 +89,4 @@ def present_paths(manifest: DataFrame, present: DataFrame) -> DataFrame:
 
 def pending_parts(parts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Parts (year, part, …) that the ledger of tasks does not have complete (see ``streaming.ledger``)."""
-    return parts.join(completed(ledger), ["year", "part"], "left_anti")
+    return parts.join(completed(ledger).select("year", "part"), ["year", "part"], "left_anti")

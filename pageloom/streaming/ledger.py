@@ -10,40 +10,41 @@ TASKS = ("geo", "script")
 
 LEDGER_SCHEMA = (
     "task string, status string, error string, batch_id bigint, "
-    "started_at timestamp, finished_at timestamp, year string, part string"
+    "started_at timestamp, finished_at timestamp, year string, part string, attempt string"
 )
 
 
 def append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Write the rows of one part; a replay replaces them."""
-    (
-        spark.createDataFrame(rows, LEDGER_SCHEMA)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .partitionBy("year", "part")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    """Add the rows of one attempt at a part; earlier attempts stay."""
+    spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").partitionBy("year", "part").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
-def ledger_status(ledger: DataFrame) -> DataFrame:
-    """Per part: success only if every task is there and none failed; errors and seconds."""
+def attempts(ledger: DataFrame) -> DataFrame:
+    """Per attempt at a part: success only if every task is there and none failed; errors and seconds."""
     complete = (F.count_distinct(F.when(F.col("task").isin(*TASKS), F.col("task"))) == len(TASKS)) & F.bool_and(
         F.col("status") == "success"
     )
     elapsed = F.unix_micros("finished_at") - F.unix_micros("started_at")
-    return ledger.groupBy("year", "part").agg(
+    return ledger.groupBy("year", "part", "attempt").agg(
         F.when(complete, "success").otherwise("failed").alias("status"),
         F.count("*").alias("n_tasks"),
         F.min("error").alias("error"),
         (F.sum(elapsed) / 1_000_000).alias("seconds"),
+        F.max("finished_at").alias("finished_at"),
     )
 
 
+def ledger_status(ledger: DataFrame) -> DataFrame:
+    """Per part, its last attempt."""
+    last = F.max(F.struct("finished_at", "attempt", "status", "n_tasks", "error", "seconds")).alias("last")
+    by_part = attempts(ledger).groupBy("year", "part").agg(last)
+    return by_part.select("year", "part", *[F.col(f"last.{c}").alias(c) for c in ("status", "n_tasks", "error", "seconds")])
+
+
 def ledger_summary(ledger: DataFrame) -> DataFrame:
     """Parts per year and status, with their run time."""
     return (
@@ -54,5 +55,6 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 
 
 def completed(ledger: DataFrame) -> DataFrame:
-    """(year, part) of the parts that are complete."""
-    return ledger_status(ledger).where(F.col("status") == "success").select("year", "part")
+    """(year, part, attempt): for each part that was ever complete, the last attempt that was."""
+    done = attempts(ledger).where(F.col("status") == "success").groupBy("year", "part")
+    return done.agg(F.max(F.struct("finished_at", "attempt")).alias("last")).select("year", "part", F.col("last.attempt").alias("attempt"))

@@ -1,15 +1,16 @@
 """Incremental publishing: manifests stream in, parts come out whole or not at all.
 
-Each manifest file is one part. Its page features and its address table are written
-under ``year=/part=`` and the ledger rows follow last. A part counts as published
-only when the ledger has both tasks as successes, so a half-written part is never
-seen, and since every write replaces its own partitions a replay changes nothing.
+Each manifest file is one part. Every attempt at it writes its page features and its
+address table under ``year=/part=/attempt=``, an attempt of its own name, and the ledger
+rows follow last. Readers see of each part the last attempt that the ledger has with both
+tasks as successes: a half-written or failed attempt is never seen, and takes nothing away.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -26,7 +27,8 @@ from pageloom.plans.extraction import responses, script_extraction
 from pageloom.sources.tabular import write_parquet
 from pageloom.streaming import ledger
 
-_PARTITIONS = "year string, part string"
+_PARTITIONS = "year string, part string, attempt string"
+_KEYS = ["year", "part", "attempt"]
 FEATURES_SCHEMA = (
     f"ip string, host string, server string, emails array<string>, script_src_attrs array<string>, {_PARTITIONS}"
 )
@@ -99,22 +101,24 @@ class Publisher:
         self._source = {"root": archive_root} if archive_root else {}
         self._parallel_parts = parallel_parts
 
-    def _write_features(self, manifest: str, year: str, part: str) -> None:
+    def _write_features(self, manifest: str, year: str, part: str, attempt: str) -> None:
         records = responses(self._spark, manifest=manifest, **self._source)
-        rows = script_extraction(records, year).withColumn("part", F.lit(part))
-        write_parquet(rows, self._outputs.features, "overwrite", ["year", "part"])
+        rows = script_extraction(records, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
+        write_parquet(rows, self._outputs.features, "append", _KEYS)
 
-    def _write_geo(self, manifest: str, year: str, part: str) -> None:
+    def _write_geo(self, manifest: str, year: str, part: str, attempt: str) -> None:
         # The addresses come from the table just written: archives are read once.
-        hosts = read_features(self._spark, self._outputs).where((F.col("year") == year) & (F.col("part") == part))
-        rows = ip_geo_table(hosts, self._blocks, self._locations, year).withColumn("part", F.lit(part))
-        write_parquet(rows, self._outputs.geo, "overwrite", ["year", "part"])
+        own = (F.col("year") == year) & (F.col("part") == part) & (F.col("attempt") == attempt)
+        hosts = read_features(self._spark, self._outputs).where(own)
+        rows = ip_geo_table(hosts, self._blocks, self._locations, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
+        write_parquet(rows, self._outputs.geo, "append", _KEYS)
 
     def publish_part(self, manifest: str, batch_id: int = 0) -> None:
         """Both tasks of one part, then its ledger rows; a failed task ends the part."""
         part, year = part_of(manifest, self._default_year)
+        attempt = f"{batch_id}-{uuid.uuid4().hex}"
         rows = []
-        tasks: list[tuple[str, Callable[[str, str, str], None]]] = [
+        tasks: list[tuple[str, Callable[[str, str, str, str], None]]] = [
             ("script", self._write_features),
             ("geo", self._write_geo),
         ]
@@ -122,11 +126,11 @@ class Publisher:
             started = datetime.now(timezone.utc)
             error = None
             try:
-                run(manifest, year, part)
+                run(manifest, year, part, attempt)
             except Exception as failure:  # any failure of a part belongs in the ledger
                 error = str(failure)
             status = "success" if error is None else "failed"
-            rows.append((task, status, error, batch_id, started, datetime.now(timezone.utc), year, part))
+            rows.append((task, status, error, batch_id, started, datetime.now(timezone.utc), year, part, attempt))
             if error is not None:
                 break
         ledger.append(self._spark, self._outputs.ledger, rows)
@@ -158,10 +162,10 @@ def read_geo(spark: SparkSession, outputs: Outputs) -> DataFrame:
 
 
 def published(spark: SparkSession, table: DataFrame, outputs: Outputs) -> DataFrame:
-    """Rows of ``table`` that belong to complete parts.
+    """Rows of ``table`` that belong to complete parts, each of its last complete attempt.
 
     The ledger has two rows per part, so its list of parts is small by construction;
     Spark prunes the partitions of all other parts.
     """
     done = ledger.completed(ledger.read(spark, outputs.ledger))
-    return table.join(done, ["year", "part"], "left_semi")
+    return table.join(done, _KEYS, "left_semi").drop("attempt")

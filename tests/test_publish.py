@@ -63,8 +63,20 @@ def test_replay_of_a_part_changes_nothing(spark, crawl):
     geo = publish.read_geo(spark, outputs).count()
     make().publish_part(manifest, batch_id=1)
     assert hosts(spark, outputs) == first
-    assert publish.read_geo(spark, outputs).count() == geo
-    assert ledger.read(spark, outputs.ledger).count() == 2
+    assert publish.published(spark, publish.read_geo(spark, outputs), outputs).count() == geo
+    assert ledger.read(spark, outputs.ledger).count() == 4
+
+
+def test_failing_replay_leaves_the_part_readable(spark, crawl):
+    _, manifests, outputs, make = crawl
+    manifest = f"{manifests}/warc_part_001_2024.txt"
+    make().publish_part(manifest)
+    first = hosts(spark, outputs)
+    broken = spark.createDataFrame([("10.0.0.0/16", 1)], "network string, geoname_id int")
+    make(broken.selectExpr("network", "CAST(raise_error('no lookup') AS int) AS geoname_id")).publish_part(manifest, batch_id=1)
+    assert first and hosts(spark, outputs) == first
+    status = ledger.ledger_status(ledger.read(spark, outputs.ledger)).first()
+    assert status.status == "failed" and "no lookup" in status.error
 
 
 def test_failed_second_task_hides_the_part_until_it_is_repaired(spark, crawl):
@@ -93,13 +105,13 @@ def test_ledger_needs_both_tasks(spark):
     t = datetime.datetime(2024, 9, 1)
     later = t + datetime.timedelta(seconds=90)
     rows = [
-        ("geo", "success", None, 0, t, later, "2024", "p1"),
-        ("script", "success", None, 0, t, later, "2024", "p1"),
-        ("geo", "success", None, 0, t, later, "2024", "p2"),
-        ("geo", "failed", "boom", 1, t, later, "2024", "p3"),
-        ("script", "success", None, 1, t, later, "2024", "p3"),
-        ("other", "success", None, 1, t, later, "2024", "p4"),
-        ("geo", "success", None, 1, t, later, "2024", "p4"),
+        ("geo", "success", None, 0, t, later, "2024", "p1", "1"),
+        ("script", "success", None, 0, t, later, "2024", "p1", "1"),
+        ("geo", "success", None, 0, t, later, "2024", "p2", "1"),
+        ("geo", "failed", "boom", 1, t, later, "2024", "p3", "1"),
+        ("script", "success", None, 1, t, later, "2024", "p3", "1"),
+        ("other", "success", None, 1, t, later, "2024", "p4", "1"),
+        ("geo", "success", None, 1, t, later, "2024", "p4", "1"),
     ]
     table = spark.createDataFrame(rows, ledger.LEDGER_SCHEMA)
     status = {r.part: (r.status, r.error, r.seconds) for r in ledger.ledger_status(table).collect()}
