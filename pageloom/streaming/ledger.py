@@ -15,8 +15,18 @@ LEDGER_SCHEMA = (
 
 
 def append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Add the rows of one attempt at a part; earlier attempts stay."""
-    spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").partitionBy("year", "part").parquet(path)
+    """Add the rows of one attempt at a part; earlier attempts stay.
+
+    Only the attempt's own partition is met, and several parts may be written at a time.
+    """
+    (
+        spark.createDataFrame(rows, LEDGER_SCHEMA)
+        .coalesce(1)
+        .write.mode("overwrite")
+        .partitionBy("year", "part", "attempt")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -104,14 +104,14 @@ class Publisher:
     def _write_features(self, manifest: str, year: str, part: str, attempt: str) -> None:
         records = responses(self._spark, manifest=manifest, **self._source)
         rows = script_extraction(records, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
-        write_parquet(rows, self._outputs.features, "append", _KEYS)
+        write_parquet(rows, self._outputs.features, "overwrite", _KEYS)
 
     def _write_geo(self, manifest: str, year: str, part: str, attempt: str) -> None:
         # The addresses come from the table just written: archives are read once.
         own = (F.col("year") == year) & (F.col("part") == part) & (F.col("attempt") == attempt)
         hosts = read_features(self._spark, self._outputs).where(own)
         rows = ip_geo_table(hosts, self._blocks, self._locations, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
-        write_parquet(rows, self._outputs.geo, "append", _KEYS)
+        write_parquet(rows, self._outputs.geo, "overwrite", _KEYS)
 
     def publish_part(self, manifest: str, batch_id: int = 0) -> None:
         """Both tasks of one part, then its ledger rows; a failed task ends the part."""
