@@ -36,7 +36,7 @@ PART, CHUNK = 40, 32
 K1, B, REACH = 1.2, 0.75, 0.5
 #: Parts of a block of the index, and the share of its threshold that a part's weakest terms may add up to.
 BLOCK, WEAK = 8, 0.5
-#: Words of a shingle for verifying, and the shares of question and answer that a text must hold.
+#: Words of a shingle for verifying (all words of a question or answer with fewer), and the shares of question and answer that a text must hold.
 SHINGLE, QUESTION, ANSWER = 3, 0.6, 0.6
 #: Bytes of benchmark text in one shard of the index.
 SHARD_BYTES = 8 << 20
@@ -79,7 +79,8 @@ class Index:
             grams = []
             for half in (question, answer):
                 w = _words(pa.array([half])).hashes
-                grams.append(np.unique(windows(w, min(SHINGLE, len(w)))) if len(w) else np.zeros(0, np.uint64))
+                size = min(SHINGLE, len(w))
+                grams.append((np.unique(windows(w, size)) if size else np.zeros(0, np.uint64), size))
             self.checks.append(tuple(grams))
         words = _words(pa.array([t for _, t in items], pa.string()))
         part_of, terms = [], []
@@ -193,12 +194,12 @@ def _leaks(index: Index, texts: pa.Array) -> dict[int, dict[int, tuple]]:
     for (r, k), s in sorted(best.items()):
         own = words.hashes[words.first[r] : words.first[r + 1]]
         shares = []
-        for check, size in zip(index.checks[k], (SHINGLE, SHINGLE)):
+        for check, size in index.checks[k]:
             if len(check) == 0:
                 shares.append(1.0)
                 continue
             if (r, size) not in grams:
-                grams[r, size] = windows(own, min(size, len(own)))
+                grams[r, size] = windows(own, size)
             shares.append(float(np.isin(check, grams[r, size]).mean()))
         if shares[0] >= QUESTION and shares[1] >= ANSWER:
             out.setdefault(r, {})[index.items[k]] = (s, *shares)

@@ -41,6 +41,23 @@ def test_changed_case_and_signs_and_long_items(spark):
     assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in rows} == {1: [1], 2: [], 3: [], 4: [], 5: []}
 
 
+@pytest.mark.parametrize("item", [
+    "Which town is the capital of France and its largest? Paris", "How many roads must one walk down before noon? 42",
+    "Is the sum of two odd numbers always an even one? Answer: yes", "Why? Because the sky scatters blue light most", "zebra quokka",
+    "zebra quokka numbat", "zebra quokka numbat wombat dingo",
+])
+def test_short_questions_and_answers(spark, item):
+    bench = spark.createDataFrame([(1, item), (2, "Which planet has rings of ice around it? Saturn of course")], "item_id long, text string")
+    filler = " ".join(f"other{k}" for k in range(100))
+    short = item.rsplit(" ", 1)[0] if len(item.split()) < 9 else item[: item.rfind("?") + 1]
+    docs = spark.createDataFrame([(1, f"{filler} {item} {filler}"), (2, filler), (3, item), (4, f"{filler} {short}")], "doc_id long, text string")
+    found = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in dc.search(docs, bench).collect()}
+    assert found[1] == found[3] == [1] and found[2] == []
+    if "?" in item and len(item) - item.rfind("?") < 15:
+        assert found[4] == []
+    assert [r["doc_id"] for r in dc.clean(docs, bench).orderBy("doc_id").collect()][:1] == [2]
+
+
 @pytest.mark.parametrize("shard", [1 << 23, 500])
 def test_shards_do_not_matter(spark, sf, shard, monkeypatch):
     monkeypatch.setattr(dc, "SHARD_BYTES", shard)
