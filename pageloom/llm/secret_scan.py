@@ -41,9 +41,15 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]+", 0, 32),
 )
+#: A private key from its first marker to its last; without that to the end of its lines, of which the first has 20 characters at
+#: least. The counts keep the depth of a match small: lines with hyphens before the last marker, and key lines if it is missing.
+_PEM = (
+    "-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:\s*[A-Za-z-]+:\x20[^\n]*){0,9}[\s\\]*[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=]*(?:\x20[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=]*){0,40}"
+    r"(?:[\x20\t\r]*[\n\\][\s\\]*[A-Za-z0-9+/=]+){0,200}|)")
 #: Kinds beyond the base, listed after it.
 MORE = (
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _PEM, version=2),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),

@@ -79,6 +79,26 @@ def test_redaction(spark):
     assert rows == {1: ("é [SECRET]' x [SECRET] [SECRET] end", 35), 2: (None, 0), 3: ("nothing", 7), 4: ("[SECRET]", 8), 5: ("", 0)}
 
 
+def test_private_keys_go_whole(spark):
+    lines = [hashlib.sha512(str(k).encode()).hexdigest().upper().translate(str.maketrans("0123456789", "ghijklmnop"))[:64] for k in range(60)] + ["Zm9vYg=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    pem = "\n".join([head, *lines, end])
+    coded = "\n".join([head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-256-CBC,0A1B", "", *lines])
+    texts = [
+        f"before\n{pem}\nafter", f"before\n{pem}\n{pem}\nafter", "before\n" + pem.replace("\n", "\r\n    ") + "\nafter", f"before {pem!r} after",
+        "before\n" + pem.replace("\n", " ") + "\nafter", f"before\n{coded}\n{end}\nafter", f"before\n{coded}\n", "before\n" + coded.replace("\n", "\n\t"),
+        "before\n" + "\n".join([head, *lines]) + "\n(after)", "before\n" + "\\n".join([head, *lines]) + "\n(after)",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.redact(docs).collect():
+        left = r["text"]
+        assert not any(k in left for k in [*lines, "KEY-----", "DEK-Info"]) and left.startswith("before") and "[SECRET]" in left, left
+        assert ("after" in left) == ("after" in texts[r["doc_id"]]), left
+    plain = f"{head} begins a key. A line -----\nof signs, and {end} ends it."
+    kept = secret_scan.redact(spark.createDataFrame([(1, plain), (2, head + "\na-b" * 50_000)], "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {1: plain.replace(head, "[SECRET]"), 2: "[SECRET]" + "\na-b" * 50_000}
+
+
 def test_odd_rows(spark, odd_docs, empty_docs):
     assert secret_scan.redact(odd_docs.drop("blob")).count() == odd_docs.count()
     findings, entries = secret_scan.scan(empty_docs)
