@@ -1,6 +1,8 @@
 """Main text of web pages by tree scoring.
 
-Elements that are never part of an article are left out while the page is read. Each block of
+Elements that are never part of an article are left out while the page is read. Those whose name
+alone speaks against them are read, and left out after that unless they hold the article or most
+of the text; if little is left, the names are not asked. Each block of
 text that is left gives points for its length and its commas to its container, half of them to
 the next one above and less further up; a container's points are discounted by the share of its
 text that is in links. The best container, or the article element around it, is kept together
@@ -26,7 +28,8 @@ from pageloom.llm.words import slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr".split())
+    "time tt u var wbr maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
 CLOSES = {
     "li": ("li", frozenset(("ul", "ol", "menu"))), "dt": ("dd dt", frozenset(("dl",))), "dd": ("dd dt", frozenset(("dl",))),
     "tr": ("tr td th", frozenset(("table",))), "td": ("td th", frozenset(("tr", "table"))), "th": ("td th", frozenset(("tr", "table"))),
@@ -36,7 +39,7 @@ CLOSES = {tag: (frozenset(ends.split()), stops) for tag, (ends, stops) in CLOSES
 #: Elements and roles that hold no article text.
 LEFT_OUT = frozenset(
     "head title script style noscript template iframe svg canvas object audio video map nav footer aside form button select textarea input fieldset "
-    "dialog menu applet math".split())
+    "dialog menu applet annotation annotation-xml".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Words in class and id names that tell what a container is for.
 UNLIKELY = re.compile(
@@ -45,6 +48,9 @@ UNLIKELY = re.compile(
     r"notices|notification|overlay|pager|pagination|popup|promo|promotion|recommended|related|replies|respond|share|sharing|shoutbox|sidebar|sidebars|"
     r"signup|skyscraper|social|sponsor|sponsored|subscribe|supplemental|tagcloud|toolbar|widget|widgets)(?:$|[^a-z])")
 LIKELY = re.compile(r"(?:^|[^a-z])(?:article|body|content|entry|hentry|main|page|post|story|text|blog)(?:$|[^a-z])")
+#: What a name says of what stands beside or around something, and words at the end of a name of something that holds others.
+STATE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|hide|hides)-[^\s]*")
+AROUND = re.compile(r"(?:wrap|wrapper|wrapping|container|layout|area|inner|outer|row|grid|holder)$")
 _UNENDED = re.compile("<[a-zA-Z/!?]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -52,13 +58,29 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 LEAST, NAMED = 25, 25.0
 #: A sibling is kept from this share of the best container's score on.
 SIBLING = 0.2
+#: Fewer characters are little, if this many times as many in long blocks were left out for a name.
+LITTLE, TIMES = 250, 4
+
+
+def _likely(named: str) -> bool:
+    """Whether a name that speaks against an element speaks for it, too: a part of it does so alone, or it is that of something around."""
+    for part in named.split():
+        if LIKELY.search(part):
+            against = UNLIKELY.search(part)
+            if not against or (AROUND.search(part) and against.start() > 0):
+                return True
+    return False
 
 
 class _Page(HTMLParser):
     """Reads a page into blocks of text, each with the element that holds it."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
+        self.against: dict[int, bool] = {}  # elements whose name speaks against them, and whether it speaks for them, too
+        self.mains: list[int] = []  # main and article elements
+        self.only: set[int] = set()  # main elements
         self.tags, self.parent, self.first, self.last, self.bonus = ["#page"], [-1], [0], [0], [0.0]
         self.stack, self.open = [0], Counter()
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
@@ -125,8 +147,14 @@ class _Page(HTMLParser):
             return True
         if "none" in (style := (attrs.get("style") or "").lower()) and re.search(r"display\s*:\s*none", style):
             return True
-        named = _CAMEL.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
-        return tag not in ("article", "main", "h1") and bool(UNLIKELY.search(named))
+        return tag in INLINE and self._against(tag, attrs) is not None
+
+    def _against(self, tag: str, attrs: dict[str, str | None]) -> bool | None:
+        """None, or whether a name that speaks against the element speaks for it, too."""
+        if not self.by_name or not attrs or tag in ("html", "body", "article", "main", "h1"):
+            return None
+        named = STATE.sub("", _CAMEL.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower())
+        return _likely(named) if UNLIKELY.search(named) else None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.skip:
@@ -150,6 +178,12 @@ class _Page(HTMLParser):
         if tag not in INLINE:
             self.flush()
         node = len(self.tags)
+        if (against := self._against(tag, found)) is not None:
+            self.against[node] = against
+        if tag in ("article", "main") or found.get("role") in ("main", "article"):
+            self.mains.append(node)
+            if tag == "main" or found.get("role") == "main":
+                self.only.add(node)
         named = f"{found.get('class') or ''} {found.get('id') or ''}".lower() if found else ""
         self.tags.append(tag)
         self.parent.append(self.stack[-1])
@@ -209,11 +243,65 @@ class _Page(HTMLParser):
         self.last[0] = len(self.blocks)
 
 
+    def leave_out(self) -> int:
+        """Leave out the elements that names speak against; returns the characters in long blocks that go.
+
+        While no main or article element is left, one stays if it holds the main element, or most of the text and
+        either a single article element or a name that speaks for it, too. Text under such a name is not counted for it.
+        """
+        if not self.against:
+            return 0
+        owner = [-1] * len(self.tags)  # the next element around whose name is against it
+        for node in range(1, len(self.tags)):
+            owner[node] = node if node in self.against else owner[self.parent[node]]
+        chars: Counter = Counter()
+        for holder, text, in_links in self.blocks:
+            if len(text) >= LEAST and in_links * 2 <= len(text):
+                chars[owner[holder]] += len(text)
+        articles: dict[int, list[int]] = {}
+        for node in self.mains:
+            if self.last[node] > self.first[node]:
+                articles.setdefault(owner[node], []).append(node)
+        inside = {node: set() for node in self.against}  # owners of articles in each of them
+        for at in articles:
+            around = at
+            while around >= 0:
+                inside[around].add(at)
+                around = owner[self.parent[around]]
+        left = {-1}
+        found = -1 in articles
+        for node in sorted(self.against):
+            if owner[self.parent[node]] in left and not found:
+                held = [n for at in inside[node] for n in articles[at]]
+                most = sum(chars[n] for n in inside[node] | {node}) - sum(chars[n] for n in left)
+                if any(n in self.only for n in held) or (most > 0 and self.against[node]) or (most >= 0 and len(held) == 1):
+                    left.add(node)
+                    found = node in articles
+        kept, at = [], [0]
+        for block in self.blocks:
+            if owner[block[0]] in left:
+                kept.append(block)
+            at.append(len(kept))
+        self.first, self.last, self.blocks = [at[k] for k in self.first], [at[k] for k in self.last], kept
+        return sum(n for node, n in chars.items() if node not in left)
+
+
 def main_text(html: str) -> str:
     """The article of a page: its blocks in page order, parted by an empty line."""
     page = _Page()
     page.feed(html)
     page.finish()
+    gone = page.leave_out()
+    text = _best(page)
+    if len(text) < LITTLE and len(text) * TIMES < gone and not any(page.last[n] > page.first[n] for n in page.mains):
+        page = _Page(by_name=False)
+        page.feed(html)
+        page.finish()
+        text = max(text, _best(page), key=len)
+    return text
+
+
+def _best(page: _Page) -> str:
     blocks = page.blocks
     if not blocks:
         return ""

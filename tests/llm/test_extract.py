@@ -40,6 +40,37 @@ def test_pages(page, want):
     assert extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "site-content has-sidebar", "main-content no-comments"])
+@pytest.mark.parametrize("holder", ["article", "main", "section", "div"])
+def test_wrappers_around_the_article(name, holder):
+    noise = f"<div class='comments'><div class=comment-content><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></div>"
+    page = f"<body><div class='top'>All rights are with the owner of the site.</div><div class='{name}'><{holder}>" + f"<p>{LONG}</p>" * 5
+    want = "\n\n".join([LONG] * 5)
+    assert extract.main_text(f"{page}</{holder}></div></body>") == want
+    assert extract.main_text(f"{page}</{holder}{'>' + noise}</div></body>") == want
+    assert extract.main_text(f"{page}</{holder}></div>{noise}</body>") == want
+
+
+def test_names_are_not_asked_when_little_is_left():
+    page = "<div class='community-notice'>" + f"<p>{LONG}</p>" * 9 + "</div><div>All rights are with the owner of the site.</div>"
+    assert extract.main_text(page) == "\n\n".join([LONG] * 9)
+
+
+def test_comments_and_related_articles_go():
+    article = f"<article><p>{LONG}</p><p>{LONG}</p></article>"
+    for name in ("comments", "related-posts", "sidebar"):
+        noise = f"<div class='{name}'>" + f"<article class='comment-body'><p>{LONG} no</p></article>" * 9 + "</div>"
+        for page in (f"{article}{noise}", f"{noise}{article}", f"<div class='content-sidebar-wrap'>{noise}{article}{noise}</div>", f"<main>{article}{noise}</main>"):
+            assert extract.main_text(page) == f"{LONG}\n\n{LONG}"
+        page = f"<div id=content><p>{LONG}</p><p>{LONG}</p></div>{noise}"
+        assert extract.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+def test_formulas_stay():
+    formula = "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow><annotation>E = mc^2</annotation></semantics></math>"
+    assert extract.main_text(f"<article><p>{LONG} Then {formula} holds.</p></article>") == f"{LONG} Then E=mc2 holds."
+
+
 def test_broken_markup_does_not_fail():
     draw = random.Random(3)
     parts = ["<", "</", ">", "p", "div", "b", "article", "!--", "-->", "![", "[", "]]>", "!", "?", "&", "#", "x", "; ", " class=ad", "a", "li", "script", '"', "'", "=", "/", "nav", "text, text"]
