@@ -13,7 +13,7 @@ import io
 import numpy as np
 
 #: Numbers of states a direction has, and of kinds of characters.
-HIDDEN, SIGNS = 12, 132
+HIDDEN, SIGNS = 8, 132
 _NAMES = ("in_ahead", "up_ahead", "in_back", "up_back", "out", "bias", "steps")
 
 
@@ -58,24 +58,27 @@ class Net:
         return net
 
     def scores(self, signs: np.ndarray) -> np.ndarray:
-        """Scores (characters, windows, labels) of windows given as columns of ``signs``."""
+        """Scores (characters, labels, windows) of windows given as columns of ``signs``."""
         w = self.weights
         ahead, _ = _run(signs, w["in_ahead"], w["up_ahead"], False)
         back, _ = _run(signs[::-1], w["in_back"], w["up_back"], False)
-        flat = ahead.reshape(-1, HIDDEN) @ w["out"][:HIDDEN] + back[::-1].reshape(-1, HIDDEN) @ w["out"][HIDDEN:] + w["bias"]
-        return flat.reshape(*signs.shape, -1)
+        out = np.ascontiguousarray(w["out"].T)
+        found = np.matmul(out[:, :HIDDEN], ahead)
+        found += np.matmul(out[:, HIDDEN:], back)[::-1]
+        found += w["bias"][:, None]
+        return found
 
     def loss(self, signs: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the labels of windows (as columns), and its gradient."""
         w = self.weights
         ahead, kept_ahead = _run(signs, w["in_ahead"], w["up_ahead"], True)
         back, kept_back = _run(signs[::-1], w["in_back"], w["up_back"], True)
-        both = np.concatenate([ahead, back[::-1]], axis=2)
+        both = np.concatenate([ahead, back[::-1]], axis=1).transpose(0, 2, 1)
         value, by_score, by_step = _likelihood(both @ w["out"] + w["bias"], w["steps"], labels)
-        by_both = by_score @ w["out"].T
+        by_both = (by_score @ w["out"].T).transpose(0, 2, 1)
         grown = {"out": np.tensordot(both, by_score, ((0, 1), (0, 1))), "bias": by_score.sum(axis=(0, 1)), "steps": by_step}
-        grown["in_ahead"], grown["up_ahead"] = _run_back(signs, w["up_ahead"], kept_ahead, by_both[:, :, :HIDDEN])
-        grown["in_back"], grown["up_back"] = _run_back(signs[::-1], w["up_back"], kept_back, by_both[::-1, :, HIDDEN:])
+        grown["in_ahead"], grown["up_ahead"] = _run_back(signs, w["up_ahead"], kept_ahead, by_both[:, :HIDDEN])
+        grown["in_back"], grown["up_back"] = _run_back(signs[::-1], w["up_back"], kept_back, by_both[::-1, HIDDEN:])
         return value, grown
 
     def train(self, signs: np.ndarray, labels: np.ndarray, rounds: int, batch: int = 250, rate: float = 0.03, seed: int = 9) -> float:
@@ -108,26 +111,27 @@ class Net:
         Windows where no label but 0 can pay for its transitions at any character are 0 throughout.
         """
         steps = self.weights["steps"]
-        count, windows, labels = scores.shape
+        count, labels, windows = scores.shape
         out = np.zeros((count, windows), dtype=np.int8)
         if not count:
             return out
-        gain = (scores - scores[:, :, :1]).max(axis=0)[:, 1:] + (steps - steps[0, 0]).max(axis=0)[1:].clip(min=0.0)
+        into = (steps - steps[0, 0]).max(axis=0)[1:].clip(min=0.0)
+        gain = (scores[:, 1:] - scores[:, :1]).max(axis=0) + into[:, None]
         close = max(0.0, float((steps[1:, 0] - steps[0, 0]).max())) if labels > 1 else 0.0
-        live = np.flatnonzero((gain + close > 0).any(axis=1))
+        live = np.flatnonzero((gain + close > 0).any(axis=0))
         if not len(live):
             return out
-        some = scores[:, live]
-        best, back = some[0], np.zeros((count, len(live), labels), dtype=np.int8)
+        some = scores[:, :, live]
+        best, back = some[0], np.zeros((count, labels, len(live)), dtype=np.int8)
         for t in range(1, count):
-            ways = best[:, :, None] + steps
-            back[t] = ways.argmax(axis=1)
-            best = ways.max(axis=1) + some[t]
-        at = best.argmax(axis=1)
+            ways = best[:, None, :] + steps[:, :, None]
+            back[t] = ways.argmax(axis=0)
+            best = ways.max(axis=0) + some[t]
+        at = best.argmax(axis=0)
         every = np.arange(len(live))
         for t in range(count - 1, -1, -1):
             out[t, live] = at
-            at = back[t, every, at]
+            at = back[t, at, every]
         return out
 
 
@@ -139,28 +143,32 @@ def _bend(values: np.ndarray, room: np.ndarray) -> None:
 
 
 def _run(signs: np.ndarray, first: np.ndarray, up: np.ndarray, keep: bool):
-    """States of one direction; with ``keep``, all that its gradient needs."""
+    """States (characters, states, windows) of one direction; with ``keep``, all that its gradient needs."""
     count, windows = signs.shape
-    states = np.empty((count, windows, HIDDEN), dtype=first.dtype)
-    gates = np.empty((count if keep else 1, windows, 4 * HIDDEN), dtype=first.dtype)
-    cells = np.zeros((count + 1 if keep else 1, windows, HIDDEN), dtype=first.dtype)
-    cell, state = cells[0], np.zeros((windows, HIDDEN), dtype=first.dtype)
+    first, up = np.ascontiguousarray(first.T), np.ascontiguousarray(up.T)
+    states = np.empty((count, HIDDEN, windows), dtype=first.dtype)
+    gates = np.empty((count if keep else 1, 4 * HIDDEN, windows), dtype=first.dtype)
+    cells = np.zeros((count + 1 if keep else 1, HIDDEN, windows), dtype=first.dtype)
+    cell, state = np.zeros_like(cells[0]), np.zeros_like(cells[0])
     wide, narrow = np.empty_like(gates[0]), np.empty_like(cell)
     for t in range(count):
         z = gates[t if keep else 0]
-        np.dot(state, up, out=z)
-        z += first[signs[t]]
+        np.dot(up, state, out=z)
+        np.take(first, signs[t], axis=1, out=wide, mode="clip")
+        z += wide
         _bend(z, wide)
-        opened = z[:, : 3 * HIDDEN]  # these lie between 0 and 1
+        opened = z[: 3 * HIDDEN]  # these lie between 0 and 1
         opened += 1.0
         opened *= 0.5
-        cell = z[:, HIDDEN : 2 * HIDDEN] * cell + z[:, :HIDDEN] * z[:, 3 * HIDDEN :]
-        state = states[t]
+        cell *= z[HIDDEN : 2 * HIDDEN]
+        np.multiply(z[:HIDDEN], z[3 * HIDDEN :], out=narrow)
+        cell += narrow
         if keep:
             cells[t + 1] = cell
+        state = states[t]
         state[...] = cell
         _bend(state, narrow)
-        state *= z[:, 2 * HIDDEN : 3 * HIDDEN]
+        state *= z[2 * HIDDEN : 3 * HIDDEN]
     return states, (gates, cells, states)
 
 
@@ -176,23 +184,23 @@ def _run_back(signs: np.ndarray, up: np.ndarray, kept, by_state: np.ndarray) ->
     by_cell = np.zeros_like(cells[0])
     carried = np.zeros_like(cells[0])
     for t in range(len(signs) - 1, -1, -1):
-        i, f, o, g = np.split(gates[t], 4, axis=1)
+        i, f, o, g = np.split(gates[t], 4)
         slack = 1.0 / (1.0 + np.abs(cells[t + 1]))
         change = by_state[t] + carried
         by_cell = by_cell + change * o * slack * slack
         z = by_z[t]
-        z[:, :HIDDEN] = by_cell * g * _slope(i)
-        z[:, HIDDEN : 2 * HIDDEN] = by_cell * cells[t] * _slope(f)
-        z[:, 2 * HIDDEN : 3 * HIDDEN] = change * cells[t + 1] * slack * _slope(o)
-        z[:, 3 * HIDDEN :] = by_cell * i * (1 - np.abs(g)) ** 2
+        z[:HIDDEN] = by_cell * g * _slope(i)
+        z[HIDDEN : 2 * HIDDEN] = by_cell * cells[t] * _slope(f)
+        z[2 * HIDDEN : 3 * HIDDEN] = change * cells[t + 1] * slack * _slope(o)
+        z[3 * HIDDEN :] = by_cell * i * (1 - np.abs(g)) ** 2
         by_cell = by_cell * f
-        carried = z @ up.T
-    by_up = np.tensordot(states[:-1], by_z[1:], ((0, 1), (0, 1)))
+        carried = up @ z
+    by_up = np.tensordot(states[:-1], by_z[1:], ((0, 2), (0, 2)))
     flat = signs.ravel()
     order = np.argsort(flat, kind="stable")
     seen, begin = np.unique(flat[order], return_index=True)
-    by_first = np.zeros((SIGNS, by_z.shape[2]), dtype=by_z.dtype)
-    by_first[seen] = np.add.reduceat(by_z.reshape(-1, by_z.shape[2])[order], begin, axis=0)
+    by_first = np.zeros((SIGNS, by_z.shape[1]), dtype=by_z.dtype)
+    by_first[seen] = np.add.reduceat(by_z.transpose(0, 2, 1).reshape(-1, by_z.shape[1])[order], begin, axis=0)
     return by_first, by_up
 
 

@@ -34,7 +34,7 @@ SAMPLE_DOCS, WINDOWS_OF_TEXT = 2_000, 6
 #: Windows the net is trained on, their characters, and rounds of training.
 TRAINED, TRAINED_SIZE, ROUNDS = 4_000, 56, 14
 #: Characters of a window and how many of them the next window sees again; windows that are run at a time.
-WINDOW, OVERLAP, TOGETHER = 128, 32, 1_024
+WINDOW, OVERLAP, TOGETHER = 256, 32, 1_024
 #: The log-odds over "no span" that an added span must have.
 LEAST_ODDS = 4.0
 
@@ -268,7 +268,7 @@ def proposals(net: Net, texts: list[str]) -> list[list[tuple[int, int, int, floa
                 k = int(row[low])
                 if not k:
                     continue
-                odds = float((scores[low:high, n, k] - scores[low:high, n, 0]).sum(dtype=np.float64)) + (high - low - 1) * (steps[k, k] - steps[0, 0])
+                odds = float((scores[low:high, k, n] - scores[low:high, 0, n]).sum(dtype=np.float64)) + (high - low - 1) * (steps[k, k] - steps[0, 0])
                 odds += (steps[0, k] - steps[0, 0]) * (low > 0) + (steps[k, 0] - steps[0, 0]) * (high < len(row))
                 w, first = int(text[some[n]]), int(start[some[n]])
                 out[w].append((k - 1, first + low, first + high, odds, low == 0 and first > 0, high == len(row) and first + high < lengths[w]))

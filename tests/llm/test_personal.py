@@ -79,7 +79,7 @@ def test_likelihood_and_best_path_by_all_paths():
         net.weights["steps"] = steps
         value = {p: sum(scores[t, 0, k] for t, k in enumerate(p)) + sum(steps[a, b] for a, b in zip(p, p[1:])) for p in itertools.product(range(3), repeat=5)}
         best = max(value, key=value.get)
-        assert tuple(net.decode(scores)[:, 0].tolist()) == best
+        assert tuple(net.decode(scores.transpose(0, 2, 1))[:, 0].tolist()) == best
         whole = np.log(sum(np.exp(v) for v in value.values()))
         labels = np.array(best)[:, None]
         assert abs(_likelihood(scores, steps, labels)[0] - (whole - value[best])) < 1e-9
