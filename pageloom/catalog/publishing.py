@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import posixpath
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pageloom.operators.joins import skew_join
 from pageloom.operators.manifest import pending_parts
 from pageloom.session import scratch_dir
 from pageloom.sources.tabular import pipe_arrays, write_parquet
-from pageloom.streaming import ledger
+from pageloom.streaming import addresses, ledger, upkeep
 from pageloom.streaming.publish import Outputs, Publisher, manifest_stream, published, read_features, read_geo
 
 _LEDGER = {"ledger": inputs.LEDGER}
@@ -94,23 +95,21 @@ def stream_manifest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PARTS = 4
+_PUBLISHED = features_oracle(
+    f"SELECT '2024' AS year, concat('warc_part_00', CAST(f.page_id % {ARCHIVES} // {ARCHIVES // _PARTS} + 1 AS VARCHAR)) AS part, f.ip, f.host, f.server, {piped('emails')} AS emails, "
+    f"{piped('kept_srcs')} AS script_src_attrs, country_name FROM features f LEFT JOIN best USING (ip)",
+    blocks=inputs.GEO_BLOCKS,
+    locations=inputs.GEO_LOCATIONS,
+    ranges=RANGES,
+    best="SELECT ip, country_name FROM (SELECT ip, geoname_id, row_number() OVER (PARTITION BY ip "
+    "ORDER BY cidr_end - cidr_start) AS nth FROM (SELECT ip, " + IP_INT + " AS ip_int FROM "
+    "(SELECT DISTINCT ip FROM features)) JOIN ranges ON ip_int BETWEEN cidr_start AND cidr_end) "
+    "LEFT JOIN locations USING (geoname_id) WHERE nth = 1",
+)
 
 
-@query(
-    "publish_atomic",
-    features_oracle(
-        f"SELECT '2024' AS year, concat('warc_part_00', CAST(f.page_id % {ARCHIVES} // {ARCHIVES // _PARTS} + 1 AS VARCHAR)) AS part, f.ip, f.host, f.server, {piped('emails')} AS emails, "
-        f"{piped('kept_srcs')} AS script_src_attrs, country_name FROM features f LEFT JOIN best USING (ip)",
-        blocks=inputs.GEO_BLOCKS,
-        locations=inputs.GEO_LOCATIONS,
-        ranges=RANGES,
-        best="SELECT ip, country_name FROM (SELECT ip, geoname_id, row_number() OVER (PARTITION BY ip "
-        "ORDER BY cidr_end - cidr_start) AS nth FROM (SELECT ip, " + IP_INT + " AS ip_int FROM "
-        "(SELECT DISTINCT ip FROM features)) JOIN ranges ON ip_int BETWEEN cidr_start AND cidr_end) "
-        "LEFT JOIN locations USING (geoname_id) WHERE nth = 1",
-    ),
-)
-def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _publisher(spark: SparkSession, sf_dir: str) -> tuple[Publisher, Outputs, str]:
+    """A publisher of the crawl archives, its target, and a folder with manifests of sound and of broken parts."""
     folder, paths = crawl_archives(spark, sf_dir)
     manifests = scratch_dir(spark, "manifests")
     size = len(paths) // _PARTS
@@ -123,17 +122,60 @@ def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
     # And one has archives with a damaged record in each.
     _, damaged = crawl_archives(spark, sf_dir, "page_id % 8 = page_id % 25")
     write_lines(posixpath.join(manifests, f"warc_part_{_PARTS + 2:03d}_2024.txt"), damaged)
-
     outputs = Outputs(scratch_dir(spark, "published"))
     geo_inputs = inputs.blocks(spark, sf_dir), inputs.locations(spark, sf_dir)
-    publisher = Publisher(spark, outputs, *geo_inputs, default_year="2024", archive_root=folder)
-    publisher.run(manifests, files_per_batch=_PARTS).awaitTermination()
+    return Publisher(spark, outputs, *geo_inputs, default_year="2024", archive_root=folder), outputs, manifests
+
 
+def _with_countries(spark: SparkSession, outputs: Outputs) -> DataFrame:
     features = published(spark, read_features(spark, outputs), outputs)
     countries = published(spark, read_geo(spark, outputs), outputs).select("year", "part", "ip", "country_name")
     return pipe_arrays(skew_join(features, countries, ["year", "part", "ip"], "left"))
 
 
+@query("publish_atomic", _PUBLISHED)
+def publish_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    publisher, outputs, manifests = _publisher(spark, sf_dir)
+    publisher.run(manifests).awaitTermination()
+    return _with_countries(spark, outputs)
+
+
+@query("publish_upkeep", _PUBLISHED)
+def publish_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows after parts were published twice, their files merged, and all other attempts removed."""
+    publisher, outputs, manifests = _publisher(spark, sf_dir)
+    publisher.run(manifests).awaitTermination()
+    publisher.publish([posixpath.join(manifests, f"warc_part_{i:03d}_2024.txt") for i in (1, 2)], batch_id=1)
+    upkeep.compact(spark, outputs)
+    upkeep.clean_up(spark, outputs, timedelta(0))
+    return _with_countries(spark, outputs)
+
+
+@query("published_layout", features_oracle(
+    "SELECT kind, '2024' AS year, concat('warc_part_00', CAST(part AS VARCHAR)) AS part, 1 AS n_attempts, 1 AS n_files, 1 AS n_read "
+    f"FROM (SELECT DISTINCT page_id % {ARCHIVES} // {ARCHIVES // _PARTS} + 1 AS part FROM features), (VALUES ('features'), ('geo')) AS kinds (kind)"))
+def published_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the folders after upkeep: of each part one attempt, and one file of it."""
+    publisher, outputs, manifests = _publisher(spark, sf_dir)
+    publisher.run(manifests).awaitTermination()
+    upkeep.compact(spark, outputs)
+    upkeep.clean_up(spark, outputs, timedelta(0))
+    return upkeep.layout(spark, outputs).withColumns({c: F.col(c).cast("int") for c in ("n_attempts", "n_files", "n_read")})
+
+
+@query("published_addresses", features_oracle(
+    "SELECT ip, host, server FROM (SELECT ip, host, server, row_number() OVER (PARTITION BY ip ORDER BY host, server NULLS FIRST) AS nth "
+    "FROM features) WHERE nth = 1"))
+def published_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per address of pages that came in five batches, each merged into a kept table."""
+    path = scratch_dir(spark, "addresses")
+    rows = inputs.pages(spark, sf_dir).select("page_id", "ip", "host", "server")
+    for batch in range(5):
+        addresses.merge(spark, path, rows.where(F.col("page_id") % 5 == batch))
+    addresses.fold(spark, path, files=4, older_than=timedelta(0))
+    return addresses.addresses(spark, path)
+
+
 @query(
     "year_partitioned_scan",
     features_oracle(

@@ -46,16 +46,17 @@ def record_profile(records: DataFrame) -> DataFrame:
     return records.groupBy("rec_type", "content_type").agg(F.count("*").alias("n_records"))
 
 
-def dedupe_by_ip(df: DataFrame) -> DataFrame:
-    """One row per ``ip``: the least by host, server and the remaining columns.
+def dedupe_by_ip(df: DataFrame, *by: str) -> DataFrame:
+    """One row per ``ip``, of each ``by`` if given: the least by host, server and the remaining columns.
 
     A minimum over structs combines before the shuffle, so an address with very
     many rows sends one row per task.
     """
+    keys = [*by, "ip"]
     others = [c for c in ("host", "server") if c in df.columns]
-    others += [c for c in df.columns if c not in ("ip", "host", "server")]
-    least = df.groupBy("ip").agg(F.min(F.struct(*others)).alias("_row"))
-    return least.select("ip", "_row.*").select(*df.columns)
+    others += [c for c in df.columns if c not in (*keys, "host", "server")]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    return least.select(*keys, "_row.*").select(*df.columns)
 
 
 def topic_count(df: DataFrame, column: str, topic: str) -> DataFrame:

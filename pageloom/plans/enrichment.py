@@ -24,16 +24,17 @@ def ip_geo_full(hosts: DataFrame, blocks: DataFrame, locations: DataFrame) -> Da
     return looked_up.select(*hosts.columns, "ip_info.*")
 
 
-def ip_geo_table(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, year: str | None = None) -> DataFrame:
+def ip_geo_table(hosts: DataFrame, blocks: DataFrame, locations: DataFrame, year: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``ip`` of (ip, host, server) with the 13 lookup columns, and ``year`` if given.
 
     Rows are reduced to one per address first, so each address is looked up and
-    shuffled once.
+    shuffled once. With ``by``, columns of ``hosts``, there is one row per address for each of
+    their values, and an address that several of them have is still looked up once.
     """
-    hosts = dedupe_by_ip(hosts.select(*_JOIN_KEYS))
-    table = _lookup_struct(hosts, blocks, locations, GEO_13, unique=True)
+    hosts = dedupe_by_ip(hosts.select(*by, *_JOIN_KEYS), *by)
+    table = _lookup_struct(hosts, blocks, locations, GEO_13, unique=not by)
     tag = [] if year is None else [F.lit(year).alias("year")]
-    return table.select(*_JOIN_KEYS, *tag, "ip_info.*").dropna("all")
+    return table.select(*by, *_JOIN_KEYS, *tag, "ip_info.*").dropna("all")
 
 
 def join_script_geo(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions import html
@@ -53,10 +53,10 @@ def responses(spark: SparkSession, payload: bool = True, **options: str) -> Data
     return reader.options(**options).load()
 
 
-def script_extraction(records: DataFrame, year: str) -> DataFrame:
-    """(year, ip, host, server, emails, script_src_attrs) of response records."""
+def script_extraction(records: DataFrame, year: str | Column, *kept: Column) -> DataFrame:
+    """(year, ip, host, server, emails, script_src_attrs) of response records, and other columns of them."""
     pages = records.select(
-        F.lit(year).alias("year"), *record_columns(), html.payload_text(F.col("payload")).alias("html")
+        F.lit(year).alias("year"), *kept, *record_columns(), html.payload_text(F.col("payload")).alias("html")
     )
     return script_features(pages)
 

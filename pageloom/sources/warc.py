@@ -11,8 +11,11 @@ at the next sound record or member instead, and each lost stretch is a row with
 
 Options
     ``path``            file, folder or glob; ``manifest`` instead names a text file
-                        (or folder of them) with one archive path per line
+                        (or folder of them) with one archive path per line; several names are
+                        parted by line feeds
     ``root``            folder put before relative manifest paths
+    ``tagManifest``     "true" adds the column ``manifest``, the name of the file that lists the
+                        archive; one that two manifests list is read for each
     ``recType``         only records of this type
     ``pushdown``        "true" also takes the type from a filter on ``rec_type``; the session needs
                         ``spark.sql.python.filterPushdown.enabled``
@@ -20,7 +23,7 @@ Options
     ``headers``         "false" leaves the two header maps out
     ``maxSplitBytes``   size of a byte range
     ``batchBytes``      target size of an Arrow batch
-    ``onError``         "fail" (default) or "reject"
+    ``onError``         "fail" (default) or "reject"; then a missing archive is a row as well
 """
 
 from __future__ import annotations
@@ -96,6 +99,8 @@ class ArchiveSplit(InputPartition):
     path: str
     start: int
     end: int
+    manifest: str | None = None
+    error: str | None = None
 
 
 class _Damaged(Exception):
@@ -500,28 +505,27 @@ def _listed(path: str) -> list[tuple[str, int]]:
     return [(prefix + f.path, f.size) for f in found if f.is_file and _visible(f.path)]
 
 
-def _manifest_paths(manifest: str, root: str | None) -> list[str]:
+def _manifest_paths(manifest: str, root: str | None) -> list[tuple[str, str]]:
+    """(manifest file, archive path) of one manifest, or of all manifests of a folder."""
     paths = []
-    for name, _ in _listed(manifest):
+    names = [name for name, _ in _listed(manifest)]
+    for name in names:
         system, inner = file_system(name)
         with system.open_input_stream(inner) as stream:
             lines = stream.read().decode("utf-8").splitlines()
         for line in filter(None, (line.strip() for line in lines)):
             relative = root and "://" not in line and not line.startswith("/")
-            paths.append(posixpath.join(root, line) if relative else line)
+            paths.append((manifest if len(names) == 1 else name, posixpath.join(root, line) if relative else line))
     return paths
 
 
-def _sized(paths: list[str]) -> list[tuple[str, int]]:
-    """Paths with sizes, asked for in one call; a missing one is an error."""
+def _sized(paths: list[str]) -> list[int | None]:
+    """Sizes of files, asked for in one call; None for one that is not there."""
     if not paths:
         return []
     system, _ = file_system(paths[0])
     infos = system.get_file_info([file_system(p)[1] for p in paths])
-    for path, info in zip(paths, infos):
-        if not info.is_file:
-            raise FileNotFoundError(path)
-    return [(path, info.size) for path, info in zip(paths, infos)]
+    return [info.size if info.is_file else None for info in infos]
 
 
 class WarcReader(DataSourceReader):
@@ -535,35 +539,46 @@ class WarcReader(DataSourceReader):
         self._split_bytes = int(options.get("maxsplitbytes", 256 << 20))
         self._batch_bytes = int(options.get("batchbytes", 8 << 20))
         self._on_error = options.get("onerror", "fail").lower()
+        self._tag = options.get("tagmanifest", "false").lower() == "true"
         if self._on_error not in ("fail", "reject"):
             raise ValueError(f"onError is fail or reject, not {self._on_error}")
 
     def partitions(self) -> list[ArchiveSplit]:
         if self._manifest:
-            listed = _sized(_manifest_paths(self._manifest, self._root))
+            named = [pair for m in self._manifest.split("\n") if m for pair in _manifest_paths(m, self._root)]
+            listed = [(m, p, size) for (m, p), size in zip(named, _sized([p for _, p in named]))]
         else:
-            listed = _listed(self._path)
+            listed = [(None, path, size) for path, size in _listed(self._path)]
         splits = []
-        for path, size in listed:
+        for manifest, path, size in listed:
+            if size is None:
+                if self._on_error != "reject":
+                    raise FileNotFoundError(path)
+                splits.append(ArchiveSplit(path, 0, 0, manifest, "no such archive"))
+                continue
             # The last range may be half as long again as the others, and is open-ended.
             count = max(1, round(size / self._split_bytes))
             bounds = [i * self._split_bytes for i in range(count)] + [1 << 62]
-            splits += [ArchiveSplit(path, *bound) for bound in zip(bounds, bounds[1:])]
+            splits += [ArchiveSplit(path, *bound, manifest) for bound in zip(bounds, bounds[1:])]
         return splits or [ArchiveSplit("", 0, 0)]
 
     def read(self, partition: ArchiveSplit) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
+        tag = {"manifest": partition.manifest} if self._tag else {}
         rows: list[dict] = []
         size = 0
-        for row in read_records(
-            partition.path, partition.start, partition.end, self._rec_type, self._payload, self._headers, self._on_error
-        ):
-            rows.append(row)
-            size += 512 + len(row["payload"] or b"")
-            if size >= self._batch_bytes:
-                yield _batch(rows)
-                rows, size = [], 0
+        if partition.error:
+            rows.append({**dict.fromkeys(_ARROW_TYPES), "path": partition.path, "record_offset": 0, "error": partition.error, **tag})
+        else:
+            for row in read_records(
+                partition.path, partition.start, partition.end, self._rec_type, self._payload, self._headers, self._on_error
+            ):
+                rows.append({**row, **tag})
+                size += 512 + len(row["payload"] or b"")
+                if size >= self._batch_bytes:
+                    yield _batch(rows)
+                    rows, size = [], 0
         if rows:
             yield _batch(rows)
 
@@ -580,8 +595,9 @@ class PushdownWarcReader(WarcReader):
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
-    arrays = [pa.array([row[name] for row in rows], type=kind) for name, kind in _ARROW_TYPES.items()]
-    return pa.RecordBatch.from_arrays(arrays, names=list(_ARROW_TYPES))
+    kinds = {**_ARROW_TYPES, "manifest": pa.string()} if "manifest" in rows[0] else _ARROW_TYPES
+    arrays = [pa.array([row[name] for row in rows], type=kind) for name, kind in kinds.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
 
 
 class WarcDataSource(DataSource):
@@ -590,7 +606,8 @@ class WarcDataSource(DataSource):
         return "warc"
 
     def schema(self) -> StructType:
-        return WARC_SCHEMA
+        tagged = str(self.options.get("tagManifest", "false")).lower() == "true"
+        return StructType([*WARC_SCHEMA.fields, StructField("manifest", StringType())]) if tagged else WARC_SCHEMA
 
     def reader(self, schema: StructType) -> WarcReader:
         options = {key.lower(): value for key, value in self.options.items()}

@@ -13,20 +13,12 @@ LEDGER_SCHEMA = (
     "started_at timestamp, finished_at timestamp, year string, part string, attempt string"
 )
 
+LEDGER_COLUMNS = ["task", "status", "error", "batch_id", "started_at", "finished_at", "year", "part", "attempt"]
 
-def append(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Add the rows of one attempt at a part; earlier attempts stay.
 
-    Only the attempt's own partition is met, and several parts may be written at a time.
-    """
-    (
-        spark.createDataFrame(rows, LEDGER_SCHEMA)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .partitionBy("year", "part", "attempt")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows of attempts at parts, as one file; earlier attempts stay."""
+    rows.select(*LEDGER_COLUMNS).coalesce(1).write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -34,12 +26,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def attempts(ledger: DataFrame) -> DataFrame:
-    """Per attempt at a part: success only if every task is there and none failed; errors and seconds."""
+    """Per attempt at a part: success only if every task is there and none failed; errors and seconds.
+
+    The rows are dealt out by part, so what is asked about parts needs no other exchange and,
+    the attempts of a part being sorted next to one another, no other sort.
+    """
     complete = (F.count_distinct(F.when(F.col("task").isin(*TASKS), F.col("task"))) == len(TASKS)) & F.bool_and(
         F.col("status") == "success"
     )
     elapsed = F.unix_micros("finished_at") - F.unix_micros("started_at")
-    return ledger.groupBy("year", "part", "attempt").agg(
+    return ledger.repartition("year", "part").groupBy("year", "part", "attempt").agg(
         F.when(complete, "success").otherwise("failed").alias("status"),
         F.count("*").alias("n_tasks"),
         F.min("error").alias("error"),
@@ -65,6 +61,6 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 
 
 def completed(ledger: DataFrame) -> DataFrame:
-    """(year, part, attempt): for each part that was ever complete, the last attempt that was."""
+    """(year, part, attempt, finished_at): for each part that was ever complete, the last attempt that was."""
     done = attempts(ledger).where(F.col("status") == "success").groupBy("year", "part")
-    return done.agg(F.max(F.struct("finished_at", "attempt")).alias("last")).select("year", "part", F.col("last.attempt").alias("attempt"))
+    return done.agg(F.max(F.struct("finished_at", "attempt")).alias("last")).select("year", "part", "last.attempt", "last.finished_at")

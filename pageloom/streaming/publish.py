@@ -1,9 +1,11 @@
 """Incremental publishing: manifests stream in, parts come out whole or not at all.
 
-Each manifest file is one part. Every attempt at it writes its page features and its
-address table under ``year=/part=/attempt=``, an attempt of its own name, and the ledger
-rows follow last. Readers see of each part the last attempt that the ledger has with both
-tasks as successes: a half-written or failed attempt is never seen, and takes nothing away.
+Each manifest file is one part. All manifests of a micro-batch are one attempt: one job reads
+their archives and writes the page features of all parts, one writes the address tables of the
+parts that were read without damage, and the ledger rows follow last. Damage is a row of the
+part it belongs to and fails that part alone. Tables lie under ``attempt=/year=/part=``.
+Readers see of each part the last attempt that the ledger has with both tasks as successes: a
+half-written or failed attempt is never seen, and takes nothing away.
 """
 
 from __future__ import annotations
@@ -11,12 +13,11 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileType
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.streaming import StreamingQuery
@@ -25,13 +26,15 @@ from pageloom.operators.geo import GEO_13
 from pageloom.plans.enrichment import ip_geo_table
 from pageloom.plans.extraction import responses, script_extraction
 from pageloom.sources.tabular import write_parquet
+from pageloom.sources.warc import file_system
 from pageloom.streaming import ledger
 
-_PARTITIONS = "year string, part string, attempt string"
-_KEYS = ["year", "part", "attempt"]
+_PARTITIONS = "attempt string, year string, part string"
+_KEYS = ["attempt", "year", "part"]
 FEATURES_SCHEMA = (
     f"ip string, host string, server string, emails array<string>, script_src_attrs array<string>, {_PARTITIONS}"
 )
+_WRITTEN_SCHEMA = f"error string, {FEATURES_SCHEMA}"
 _PART_NAME = re.compile(r"(?P<part>.+?)(?:_(?P<year>[0-9]{4}))?\.txt")
 
 
@@ -72,6 +75,14 @@ def part_of(manifest: str, default_year: str) -> tuple[str, str]:
     return match["part"], match["year"] or default_year
 
 
+def _part_columns(manifest: Column, default_year: str) -> tuple[Column, Column]:
+    """``part_of`` of a column."""
+    name = F.regexp_extract(manifest, "[^/]*$", 0)
+    fits = f"^{_PART_NAME.pattern.replace('?P<', '?<')}$"
+    part, year = F.regexp_extract(name, fits, 1), F.regexp_extract(name, fits, 2)
+    return F.when(part == "", name).otherwise(part), F.when(year == "", F.lit(default_year)).otherwise(year)
+
+
 def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """Stream of (path, manifest) over the manifest files of a folder."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(folder)
@@ -81,7 +92,7 @@ def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int = 1)
 
 
 class Publisher:
-    """Runs both tasks for every part and keeps the ledger."""
+    """Runs both tasks for the parts of a batch and keeps the ledger."""
 
     def __init__(
         self,
@@ -91,7 +102,6 @@ class Publisher:
         locations: DataFrame,
         default_year: str,
         archive_root: str | None = None,
-        parallel_parts: int = 4,
     ) -> None:
         self._spark = spark
         self._outputs = outputs
@@ -99,50 +109,60 @@ class Publisher:
         self._locations = locations
         self._default_year = default_year
         self._source = {"root": archive_root} if archive_root else {}
-        self._parallel_parts = parallel_parts
 
-    def _write_features(self, manifest: str, year: str, part: str, attempt: str) -> None:
-        records = responses(self._spark, manifest=manifest, **self._source)
-        rows = script_extraction(records, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
-        write_parquet(rows, self._outputs.features, "overwrite", _KEYS)
+    def _write_features(self, manifests: list[str], attempt: str) -> None:
+        records = responses(self._spark, manifest="\n".join(manifests), tagManifest="true", onError="reject", **self._source)
+        part, year = _part_columns(F.col("manifest"), self._default_year)
+        where = F.concat(F.col("path"), F.lit(": "), F.col("error"), F.lit(", byte "), F.col("record_offset"))
+        rows = script_extraction(records, year, part.alias("part"), F.lit(attempt).alias("attempt"), where.alias("error"))
+        write_parquet(rows, self._outputs.features, "append", _KEYS)
 
-    def _write_geo(self, manifest: str, year: str, part: str, attempt: str) -> None:
+    def _damaged(self, attempt: str) -> dict[tuple[str, str], str]:
+        """The first error of each part that has one."""
+        errors = _own(self._spark, self._outputs.features, _WRITTEN_SCHEMA, attempt).where("error IS NOT NULL")
+        found = errors.groupBy("year", "part").agg(F.min("error").alias("error")).collect()
+        return {(r.year, r.part): r.error for r in found}
+
+    def _write_geo(self, sound: list[tuple[str, str]], attempt: str) -> None:
         # The addresses come from the table just written: archives are read once.
-        own = (F.col("year") == year) & (F.col("part") == part) & (F.col("attempt") == attempt)
-        hosts = read_features(self._spark, self._outputs).where(own)
-        rows = ip_geo_table(hosts, self._blocks, self._locations, year).withColumns({"part": F.lit(part), "attempt": F.lit(attempt)})
-        write_parquet(rows, self._outputs.geo, "overwrite", _KEYS)
-
-    def publish_part(self, manifest: str, batch_id: int = 0) -> None:
-        """Both tasks of one part, then its ledger rows; a failed task ends the part."""
-        part, year = part_of(manifest, self._default_year)
+        hosts = _own(self._spark, self._outputs.features, FEATURES_SCHEMA, attempt).where(_among(sound, "year", "part"))
+        rows = ip_geo_table(hosts, self._blocks, self._locations, by=("year", "part")).withColumn("attempt", F.lit(attempt))
+        write_parquet(rows, self._outputs.geo, "append", _KEYS)
+
+    def publish(self, manifests: list[str], batch_id: int = 0) -> None:
+        """Both tasks for all manifests, then their ledger rows; a part that fails the first has no second."""
         attempt = f"{batch_id}-{uuid.uuid4().hex}"
-        rows = []
-        tasks: list[tuple[str, Callable[[str, str, str, str], None]]] = [
-            ("script", self._write_features),
-            ("geo", self._write_geo),
-        ]
-        for task, run in tasks:
-            started = datetime.now(timezone.utc)
-            error = None
+        parts = sorted({part_of(m, self._default_year)[::-1] for m in manifests})
+        rows: list[tuple] = []
+
+        def note(task: str, started: datetime, errors: dict[tuple[str, str], str | None]) -> None:
+            ended = datetime.now(timezone.utc)
+            rows.extend((task, "failed" if e else "success", e, batch_id, started, ended, *key, attempt) for key, e in errors.items())
+
+        started = datetime.now(timezone.utc)
+        try:
+            self._write_features(sorted(set(manifests)), attempt)
+            damaged = self._damaged(attempt)
+        except Exception as failure:  # what fails the whole batch belongs in the ledger for each of its parts
+            damaged = dict.fromkeys(parts, str(failure))
+        note("script", started, {p: damaged.get(p) for p in parts})
+        sound = [p for p in parts if p not in damaged]
+        if sound:
+            started, error = datetime.now(timezone.utc), None
             try:
-                run(manifest, year, part, attempt)
-            except Exception as failure:  # any failure of a part belongs in the ledger
+                self._write_geo(sound, attempt)
+            except Exception as failure:
                 error = str(failure)
-            status = "success" if error is None else "failed"
-            rows.append((task, status, error, batch_id, started, datetime.now(timezone.utc), year, part, attempt))
-            if error is not None:
-                break
-        ledger.append(self._spark, self._outputs.ledger, rows)
+            note("geo", started, dict.fromkeys(sound, error))
+        ledger.append(self._spark.createDataFrame(rows, ledger.LEDGER_SCHEMA), self._outputs.ledger)
 
     def publish_batch(self, lines: DataFrame, batch_id: int) -> None:
         """All manifests of a micro-batch; their number is bounded by the stream's setting."""
         manifests = [row.manifest for row in lines.select("manifest").distinct().collect()]
-        with ThreadPoolExecutor(self._parallel_parts) as pool:
-            for done in [pool.submit(self.publish_part, m, batch_id) for m in sorted(manifests)]:
-                done.result()
+        if manifests:
+            self.publish(manifests, batch_id)
 
-    def run(self, manifest_folder: str, files_per_batch: int = 1) -> StreamingQuery:
+    def run(self, manifest_folder: str, files_per_batch: int = 1_000) -> StreamingQuery:
         """Publish the manifests that are there and not yet done, then stop."""
         return (
             manifest_stream(self._spark, manifest_folder, files_per_batch)
@@ -153,8 +173,24 @@ class Publisher:
         )
 
 
+def _among(keys: list[tuple], *columns: str) -> Column:
+    """Whether the columns have one of the keys; over partition columns it chooses the folders that are read."""
+    joined = F.concat_ws("\n", *columns)
+    return joined.isin(["\n".join(key) for key in keys])
+
+
+def _own(spark: SparkSession, folder: str, schema: str, attempt: str) -> DataFrame:
+    """The rows of one attempt; only its folder is listed."""
+    own = os.path.join(folder, f"attempt={attempt}")
+    system, inner = file_system(own)
+    if system.get_file_info(inner).type == FileType.NotFound:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", folder).parquet(own)
+
+
 def read_features(spark: SparkSession, outputs: Outputs) -> DataFrame:
-    return spark.read.schema(FEATURES_SCHEMA).parquet(outputs.features)
+    written = spark.read.schema(_WRITTEN_SCHEMA).parquet(outputs.features)
+    return written.where("error IS NULL").drop("error")
 
 
 def read_geo(spark: SparkSession, outputs: Outputs) -> DataFrame:
@@ -164,8 +200,8 @@ def read_geo(spark: SparkSession, outputs: Outputs) -> DataFrame:
 def published(spark: SparkSession, table: DataFrame, outputs: Outputs) -> DataFrame:
     """Rows of ``table`` that belong to complete parts, each of its last complete attempt.
 
-    The ledger has two rows per part, so its list of parts is small by construction;
-    Spark prunes the partitions of all other parts.
+    The ledger has two rows per part, so its list of parts is small by construction. It
+    chooses folders when the plan is made: files of other attempts are never opened.
     """
-    done = ledger.completed(ledger.read(spark, outputs.ledger))
-    return table.join(done, _KEYS, "left_semi").drop("attempt")
+    done = ledger.completed(ledger.read(spark, outputs.ledger)).select(*_KEYS).collect()
+    return table.where(_among([tuple(key) for key in done], *_KEYS)).drop("attempt")
