@@ -1,14 +1,19 @@
 """Flat files, table rewrites and profiles."""
 
+import datetime
+import random
 import uuid
 
+import pandas as pd
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql.catalog import Catalog
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from pageloom.functions import js
 from pageloom.operators import profile
-from pageloom.sources import tabular
+from pageloom.sources import records, tabular
 
 
 def test_tolerant_csv(spark, tmp_path):
@@ -33,16 +38,149 @@ def test_a_line_like_the_header_is_data(spark, tmp_path):
 
 
 def test_create_and_rewrite_table(spark, tmp_path):
-    name, staging = f"t_{uuid.uuid4().hex}", f"s_{uuid.uuid4().hex}"
+    name = f"t_{uuid.uuid4().hex}"
     df = spark.createDataFrame([(1, "a.js|data:x|b.js"), (2, "data:y"), (3, "")], "id int, srcs string")
     tabular.create_table_if_absent(df, name, str(tmp_path / "t"))
     tabular.create_table_if_absent(df.limit(0), name, str(tmp_path / "u"))
     assert spark.table(name).count() == 3
-    tabular.rewrite_table(spark, name, {"srcs": js.drop_data_uris(F.col("srcs"))}, staging, str(tmp_path / "s"))
-    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "a.js|b.js"), (2, ""), (3, "")]
+    planned = spark.table(name)
+    tabular.rewrite_table(spark, name, {"srcs": js.drop_data_uris(F.col("srcs"))}, str(tmp_path / "s"))
+    want = [(1, "a.js|b.js"), (2, ""), (3, "")]
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == want
+    assert planned.count() == 3
     names = {r.tableName for r in tabular.list_tables(spark).collect()}
-    assert name in names and staging not in names
+    assert name in names
     assert tabular.empty_clone(df).schema == df.schema and tabular.empty_clone(df).count() == 0
+    # again, from the table itself; then versions that nothing points to go, once they are old
+    tabular.rewrite_table(spark, name, {"id": F.col("id") + 1}, str(tmp_path / "s"))
+    assert tabular.drop_versions(spark, name, str(tmp_path / "s")) == 0
+    later = datetime.datetime.now(datetime.timezone.utc) + datetime.timedelta(days=2)
+    assert tabular.drop_versions(spark, name, str(tmp_path / "s"), now=later) == 1
+    assert sorted(r.id for r in spark.table(name).collect()) == [2, 3, 4]
+
+
+def test_a_rewrite_that_breaks_off_leaves_a_whole_table(spark, tmp_path, monkeypatch):
+    """Whichever call fails, the name leads to the old rows or to the new ones."""
+    rows = [(k, "data:x") for k in range(100)]
+    old, new = [(k, "data:x") for k in range(100)], [(k, "") for k in range(100)]
+
+    class Killed(Exception):
+        pass
+
+    def killer(real, step, count):
+        def call(*args, **kwargs):
+            count[0] += 1
+            if count[0] == step:
+                raise Killed
+            return real(*args, **kwargs)
+        return call
+
+    seen = []
+    for step in range(1, 8):
+        name = f"t_{uuid.uuid4().hex}"
+        tabular.create_table_if_absent(spark.createDataFrame(rows, "id int, srcs string"), name, str(tmp_path / name))
+        count = [0]
+        with monkeypatch.context() as patch:
+            for owner, method in ((DataFrameWriter, "parquet"), (type(spark), "sql"), (type(spark), "table"), (Catalog, "refreshTable")):
+                patch.setattr(owner, method, killer(getattr(owner, method), step, count))
+            try:
+                tabular.rewrite_table(spark, name, {"srcs": js.drop_data_uris(F.col("srcs"))}, str(tmp_path / "versions"))
+                killed = False
+            except Killed:
+                killed = True
+        got = sorted(tuple(r) for r in spark.table(name).collect())
+        assert got == new if not killed else got in (old, new)
+        seen.append((killed, got == new))
+    assert (True, False) in seen and (False, True) in seen
+
+
+AWKWARD = [
+    "a\nb", " lead ", "\ttab\t", 'q"q', '"', '""', "", "back\\slash", "\\", "\r", "x\r", "\r\ny", "#c", None, "a\tb", "'", "\\N", "null", 'a\\"b', "\n", "\n\n", "é\u2028", "a,b", " ",
+    '","', '"\n"', 'say "x", "y"\n"', "end\n",
+]
+
+
+@pytest.mark.parametrize("kind", ["tsv", "csv"])
+def test_every_text_comes_back_as_written(spark, tmp_path, kind):
+    rows = [(i, v, AWKWARD[(i * 7) % len(AWKWARD)]) for i, v in enumerate(AWKWARD * 3)] + [(None, None, None)]
+    schema = StructType([StructField("id", LongType()), StructField("v", StringType()), StructField("w\nx", StringType())])
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    path = str(tmp_path / kind)
+    (tabular.write_tsv if kind == "tsv" else tabular.write_csv)(df, path)
+    read = tabular.read_tsv if kind == "tsv" else tabular.read_csv
+    key = lambda r: tuple((x is not None, x or "") if not isinstance(x, int) else (True, f"{x:09d}") for x in r)
+    assert sorted((tuple(r) for r in read(spark, path, schema).collect()), key=key) == sorted(rows, key=key)
+    back = read(spark, path)
+    assert back.columns == schema.names and back.count() == len(rows)
+    good, rejected = tabular.read_csv_tolerant(spark, path, schema, sep="\t" if kind == "tsv" else ",")
+    assert sorted((tuple(r) for r in good.collect()), key=key) == sorted(rows, key=key) and rejected.count() == 0
+    one = spark.createDataFrame([(v,) for v in AWKWARD if v is not None], "v string")
+    tabular.write_tsv(one, str(tmp_path / "one"))
+    assert sorted(r.v for r in tabular.read_tsv(spark, str(tmp_path / "one")).collect()) == sorted(v for v in AWKWARD if v is not None)
+    with pytest.raises(Exception, match="cannot hold a NULL"):
+        tabular.write_tsv(spark.createDataFrame([(None,)], "v string"), str(tmp_path / "null"))
+
+
+def whole(data, sep):
+    """Records by reading a file from its beginning, character by character."""
+    out, start, state = [], 0, "start"
+    k = 0
+    while k < len(data):
+        c = data[k]
+        if state in ("start", "plain", "behind") and c == "\n":
+            out.append((start, data[start:k], True))
+            start, state = k + 1, "start"
+        elif state in ("start", "plain", "behind") and c == sep:
+            state = "start"
+        elif state == "start":
+            state = "quoted" if c == '"' else "plain"
+        elif state == "quoted" and c == '"':
+            state = "behind"
+        elif state == "behind":
+            state = "quoted" if c == '"' else "plain"
+        k += 1
+        if k == len(data) and state == "quoted":  # nothing closes it: one line is a reject
+            stop = data.find("\n", start)
+            stop = len(data) if stop < 0 else stop
+            out.append((start, data[start:stop], False))
+            k, start, state = stop + 1, stop + 1, "start"
+    if start < len(data):
+        out.append((start, data[start:], True))
+    return [(s, t.removesuffix("\r"), c) for s, t, c in out]
+
+
+def test_records_by_ranges_of_every_size(tmp_path):
+    draw = random.Random(1)
+    path = str(tmp_path / "f")
+    for n in range(400):
+        data = "".join(draw.choice(['"', '"', ",", "\n", "a", "b", '""', '"x"', ',"', '",', '"\n', "\r\n"]) for _ in range(draw.randint(1, 60)))
+        with open(path, "wb") as out:
+            out.write(data.encode())
+        size = draw.randint(1, 25)
+        bounds = [(s, min(len(data), s + size)) for s in range(0, len(data), size)]
+        grammar = records.Grammar(",")
+        told = [grammar.outcomes(data[s:e].encode()) for s, e in bounds]
+        frame = pd.DataFrame({"path": path, "start": [s for s, _ in bounds], "end": [e for _, e in bounds], "ends": [t[0] for t in told], "closed": [t[1] for t in told]})
+        states = records._followed(frame)
+        got = [r for s in states.to_dict("records") for r in records.records_of(path, s["start"], s["end"], s["state"], s["closed_later"], ",")]
+        assert got == whole(data, ","), (n, data, size)
+
+
+def test_records_of_many_ranges(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t"
+    path.mkdir()
+    draw = random.Random(2)
+    want = []
+    for f in range(3):
+        text = ""
+        for k in range(300):
+            record = ",".join('"' + "x\n" * draw.randint(0, 40) + '""z"' if draw.random() < 0.4 else "y" * draw.randint(0, 9) for _ in range(3))
+            want.append((f, len(text), record))
+            text += record + "\n"
+        (path / f"{f}.csv").write_bytes(text.encode())
+    got = records.read_records(spark, str(path), ",", range_bytes=100).collect()
+    assert sorted((int(r.path[-5]), r.place, r.record) for r in got) == want and all(r.closed for r in got)
+    assert records.read_records(spark, str(path), ",").count() == len(want)
 
 
 def test_partition_overwrite_replaces_only_what_is_met(spark, tmp_path):
