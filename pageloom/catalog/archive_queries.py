@@ -13,6 +13,7 @@ from pageloom.functions.headers import content_columns, record_columns
 from pageloom.functions.html import payload_text
 from pageloom.operators.profile import record_profile
 from pageloom.plans.extraction import responses, script_extraction, wide_extraction
+from pageloom.session import scratch_dir
 from pageloom.sources import warc
 from pageloom.sources.tabular import pipe_arrays
 
@@ -84,6 +85,30 @@ def warc_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses(spark, payload=False, path=folder).select(host, ip).orderBy("host", "ip").limit(20)
 
 
+@query(
+    "warc_first_records",
+    with_inputs(
+        f"SELECT host, nullif(ip, '-') AS ip FROM crawl_pages ORDER BY page_id % {ARCHIVES}, page_id LIMIT 40", **_CRAWL),
+)
+def warc_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 40 responses by archive and place; no archive behind them is opened."""
+    folder, _ = crawl_archives(spark, sf_dir)
+    ip, host, _ = record_columns(default=None)
+    return responses(spark, payload=False, path=folder, firstRecords="40").select(host, ip)
+
+
+@query("warc_stream", with_inputs("SELECT host, nullif(ip, '-') AS ip FROM crawl_pages", **_CRAWL))
+def warc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of archives that are read as a stream, three archives at a time."""
+    folder, _ = crawl_archives(spark, sf_dir)
+    target = scratch_dir(spark, "streamed")
+    ip, host, _ = record_columns(default=None)
+    rows = warc.record_stream(spark, folder, 3, recType="response", payload="false").select(host, ip)
+    writer = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(target)
+
+
 @query(
     "header_projection",
     with_inputs(

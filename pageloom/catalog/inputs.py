@@ -121,6 +121,14 @@ SELECT concat('10.', CAST(p_partkey % 30 AS STRING), '.', CAST(p_partkey % 256 A
 FROM part WHERE p_partkey % 3 = 0 GROUP BY p_partkey % 30, p_partkey % 256, p_partkey % 16
 """
 
+# Spans of addresses that are no networks: odd ends, nested, touching, over several /24 networks.
+PART_SPANS = """
+SELECT p_partkey, concat('10.', CAST(p_partkey % 30 AS STRING), '.', CAST(p_partkey % 254 AS STRING), '.', CAST(p_size AS STRING)) AS start_ip,
+       concat('10.', CAST(p_partkey % 30 AS STRING), '.', CAST(p_partkey % 254 + p_partkey % 3 AS STRING), '.', CASE WHEN p_partkey % 3 = 0
+              THEN CAST(p_size + p_partkey % 200 AS STRING) ELSE CAST(p_partkey * 7 % 256 AS STRING) END) AS end_ip
+FROM part
+"""
+
 GEO_LOCATIONS = """
 SELECT n_nationkey AS geoname_id, substr(r_name, 1, 2) AS continent_code, r_name AS continent_name,
        substr(n_name, 1, 2) AS country_iso_code, n_name AS country_name,

@@ -59,6 +59,43 @@ def ip_range_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.ip_range_join(facts, inputs.derived(spark, sf_dir, inputs.PART_BLOCKS), all_matches=True)
 
 
+def _as_int(column: str) -> str:
+    return "(" + " + ".join(f"CAST(split_part({column}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4)) + ")"
+
+
+_SPAN_INPUTS = {
+    "line_ips": inputs.LINE_IPS,
+    "distinct_ips": _LINE_INPUTS["distinct_ips"],
+    "spans": inputs.PART_SPANS,
+    "held": f"SELECT ip, p_partkey, start_ip, end_ip, {_as_int('end_ip')} - {_as_int('start_ip')} AS width FROM distinct_ips "
+    f"JOIN spans ON ip_int BETWEEN {_as_int('start_ip')} AND {_as_int('end_ip')}",
+}
+
+
+@query(
+    "ip_span_join",
+    _oracle(
+        "SELECT l_orderkey, l_linenumber, line_ips.ip, p_partkey, start_ip, end_ip FROM line_ips LEFT JOIN (SELECT * FROM held "
+        "QUALIFY row_number() OVER (PARTITION BY ip ORDER BY width, p_partkey) = 1) USING (ip)",
+        **_SPAN_INPUTS,
+    ),
+)
+def ip_span_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.ip_span_join(inputs.derived(spark, sf_dir, inputs.LINE_IPS), inputs.derived(spark, sf_dir, inputs.PART_SPANS))
+
+
+@query(
+    "ip_span_join_all",
+    _oracle(
+        "SELECT l_orderkey, l_linenumber, line_ips.ip, p_partkey, start_ip, end_ip FROM line_ips LEFT JOIN held USING (ip)",
+        **_SPAN_INPUTS,
+    ),
+)
+def ip_span_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = inputs.derived(spark, sf_dir, inputs.PART_SPANS)
+    return geo.ip_span_join(inputs.derived(spark, sf_dir, inputs.LINE_IPS), spans, all_matches=True)
+
+
 @query(
     "geo_location_join",
     _oracle(

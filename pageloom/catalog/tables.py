@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pageloom.functions import js
 from pageloom.operators import profile
 from pageloom.plans.extraction import wide_features
 from pageloom.session import scratch_dir
-from pageloom.sources import tabular
+from pageloom.sources import rows, tabular
 
 _FLAT_ORACLE = features_oracle(
     f"SELECT page_id, ip, host, server, {piped('emails')} AS emails, {piped('kept_srcs')} AS script_src_attrs "
@@ -204,24 +205,70 @@ def csv_tolerant_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(rejected, allowMissingColumns=True)
 
 
+_LINE_SCHEMA = StructType(
+    [
+        StructField("l_orderkey", LongType(), False),
+        StructField("l_quantity", DoubleType()),
+        StructField("l_returnflag", StringType()),
+    ]
+)
+
+
+def _line_rows(line: dict) -> Iterator[tuple | dict]:
+    """A line as a row, and for some lines a row that does not fit as well."""
+    number, flag = line["l_orderkey"], line["l_returnflag"]
+    yield number, float(line["l_quantity"]), flag
+    if number % 10 == 0:
+        yield number, "many", flag
+    if number % 10 == 1:
+        yield {"l_orderkey": number, "l_color": "red"}
+    if number % 10 == 2:
+        yield None, 1.0, flag
+    if number % 10 == 3:
+        yield number, 1.0
+
+
 @query("rows_explicit_schema", "SELECT l_orderkey, CAST(l_quantity AS DOUBLE) AS l_quantity, l_returnflag FROM lineitem")
 def rows_explicit_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = StructType(
-        [
-            StructField("l_orderkey", LongType()),
-            StructField("l_quantity", DoubleType()),
-            StructField("l_returnflag", StringType()),
-        ]
-    )
-    rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_quantity")
-    return rows.withColumn("l_quantity", F.col("l_quantity").cast("double")).to(schema)
+    """Rows made in Python, typed by a declared schema; those that do not fit it stay out."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    return rows.declared_rows(lines, _line_rows, _LINE_SCHEMA)[0]
+
+
+@query(
+    "rows_schema_rejects",
+    "SELECT 1::BIGINT AS place, CASE l_orderkey % 10 WHEN 0 THEN 'row.l_quantity: str for double' WHEN 1 THEN 'row: no such field l_color' "
+    "WHEN 2 THEN 'row.l_orderkey: missing' ELSE 'row: 2 values for 3 fields' END AS reason, count(*) AS n_rows "
+    "FROM lineitem WHERE l_orderkey % 10 < 4 GROUP BY ALL",
+)
+def rows_schema_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
+    rejected = rows.declared_rows(lines, _line_rows, _LINE_SCHEMA)[1]
+    return rejected.groupBy("place", "reason").agg(F.count("*").alias("n_rows"))
 
 
 @query("rows_inferred_schema", with_inputs("SELECT ip, host FROM crawl_pages", crawl_pages=inputs.CRAWL_PAGES))
 def rows_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "rows")
-    inputs.pages(spark, sf_dir).select("ip", "host").write.json(path)
-    return spark.read.json(path)
+    loose = inputs.pages(spark, sf_dir).select(F.to_variant_object(F.struct("ip", "host")).alias("row"))
+    return rows.loose_rows(loose, "row").select("ip", "host")
+
+
+@query(
+    "rows_merged_schema",
+    "SELECT o_orderkey AS key, CASE o_orderkey % 4 WHEN 0 THEN o_orderstatus WHEN 1 THEN CAST(o_custkey AS VARCHAR) END AS note, "
+    "CASE WHEN o_orderkey % 4 = 2 THEN 1::BIGINT END AS a, CASE WHEN o_orderkey % 4 = 3 THEN o_orderstatus END AS b FROM orders",
+)
+def rows_merged_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON objects whose keys and types differ from row to row, under the one schema that holds them all."""
+    kinds = {
+        0: F.struct(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("note")),
+        1: F.struct(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("note")),
+        2: F.struct(F.col("o_orderkey").alias("key"), F.struct(F.lit(1).alias("a")).alias("more")),
+        3: F.struct(F.col("o_orderkey").alias("key"), F.struct(F.array("o_orderstatus").alias("b")).alias("more")),
+    }
+    row = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == k, F.to_json(kind)) for k, kind in kinds.items()])
+    merged = rows.loose_rows(inputs.table(spark, sf_dir, "orders").select(row.alias("row")), "row")
+    return merged.select("key", "note", F.col("more.a").alias("a"), F.col("more.b")[0].alias("b"))
 
 
 @query(

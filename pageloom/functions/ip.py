@@ -8,8 +8,12 @@ address gives NULL, never an error.
 
 from __future__ import annotations
 
+import ipaddress
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from pageloom.functions.sql import bind, literal
 
@@ -126,3 +130,38 @@ def cidr_to_range(network: Column) -> Column:
 def broadcast_address(network: Column) -> Column:
     """Last address of an IPv4 CIDR block as dotted text."""
     return int_to_ip(cidr_to_range(network)["end_ip"])
+
+
+def _number(text: str | None) -> tuple[int, int] | None:
+    try:
+        address = ipaddress.ip_address(text) if text else None
+    except ValueError:
+        return None
+    return (address.version, int(address)) if address else None
+
+
+def cover(first: str | None, last: str | None) -> list[str] | None:
+    """The fewest networks that hold the addresses from ``first`` to ``last`` and no other; None if that is no range."""
+    low, high = _number(first), _number(last)
+    if low is None or high is None or low[0] != high[0] or low[1] > high[1]:
+        return None
+    bits = 32 if low[0] == 4 else 128
+    kind = ipaddress.IPv4Address if bits == 32 else ipaddress.IPv6Address
+    out, at = [], low[1]
+    while at <= high[1]:
+        # as large as its first address and what is left allow
+        size = min((at & -at).bit_length() - 1 if at else bits, (high[1] - at + 1).bit_length() - 1)
+        out.append(f"{kind(at)}/{bits - size}")
+        at += 1 << size
+    return out
+
+
+_COVER = StructType([StructField("networks", ArrayType(StringType())), StructField("width", StringType())])
+
+
+@F.pandas_udf(_COVER)
+def range_cover(first: pd.Series, last: pd.Series) -> pd.DataFrame:
+    """``cover`` of columns, and the number of addresses as text that sorts like the number."""
+    found = [cover(a, b) for a, b in zip(first, last)]
+    width = [None if n is None else f"{_number(b)[1] - _number(a)[1]:032x}" for n, a, b in zip(found, first, last)]
+    return pd.DataFrame({"networks": pd.Series(found, dtype=object), "width": pd.Series(width, dtype=object)})

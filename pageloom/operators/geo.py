@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     StringType,
 )
 
-from pageloom.functions.ip import cidr_key, ip_key, mask
+from pageloom.functions.ip import cidr_key, ip_key, mask, range_cover
 from pageloom.operators.joins import skew_join
 
 # The result columns of a lookup, in order.
@@ -112,6 +112,34 @@ def ip_range_join(facts: DataFrame, blocks: DataFrame, all_matches: bool = False
     return skew_join(facts, match_ips(facts, blocks, all_matches), ["ip"], "left")
 
 
+def match_spans(ips: DataFrame, spans: DataFrame, first: str = "start_ip", last: str = "end_ip", all_matches: bool = False) -> DataFrame:
+    """Distinct addresses of ``ips`` that lie in a span of addresses, with the span's columns.
+
+    A span need not be a network: it is taken apart into the fewest networks that make it up (62
+    at most for IPv4, 254 for IPv6), which meet the addresses as in ``match_ips``. They do not overlap, so a span is met
+    once. The narrowest span wins, and among equally wide ones the least row; with ``all_matches``
+    every span that holds the address gives a row, as a range join would. What is no span is in ``span_rejects``.
+    """
+    columns = [c for c in spans.columns if c != "ip"]
+    covered = spans.select(*columns, range_cover(F.col(first), F.col(last)).alias("_cover"))
+    row = F.struct(F.col("_cover.width").alias("_width"), *columns).alias("_span")
+    networks = covered.select(row, F.explode("_cover.networks").alias("network"))
+    matched = match_ips(ips, networks, all_matches=True)
+    if not all_matches:
+        matched = matched.groupBy("ip").agg(F.min("_span").alias("_span"))
+    return matched.select("ip", *[F.col(f"_span.{c}").alias(c) for c in columns])
+
+
+def ip_span_join(facts: DataFrame, spans: DataFrame, first: str = "start_ip", last: str = "end_ip", all_matches: bool = False) -> DataFrame:
+    """All rows of ``facts`` with the span that holds their ``ip``, or NULLs."""
+    return skew_join(facts, match_spans(facts, spans, first, last, all_matches), ["ip"], "left")
+
+
+def span_rejects(spans: DataFrame, first: str = "start_ip", last: str = "end_ip") -> DataFrame:
+    """Rows whose ends are no addresses, are of two families, or stand in the wrong order."""
+    return spans.where(range_cover(F.col(first), F.col(last))["networks"].isNull())
+
+
 def with_locations(blocks: DataFrame, locations: DataFrame) -> DataFrame:
     """Blocks with the columns of their location, matched on ``geoname_id``; unmatched kept."""
     return skew_join(blocks, locations, ["geoname_id"], "left")

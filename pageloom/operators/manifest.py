@@ -41,8 +41,11 @@ def shuffled(manifest: DataFrame, seed: str = "") -> DataFrame:
 
 
 def sample_manifest(manifest: DataFrame, n: int, seed: str = "") -> DataFrame:
-    """n paths at random, the same ones for the same seed."""
-    return shuffled(manifest, seed).where(F.col("rank") <= n).select("path")
+    """n paths at random, the same ones for the same seed: the first n of ``shuffled``.
+
+    Each task keeps its n least keys and sends on no more than those.
+    """
+    return manifest.select("path").orderBy(_order_key(seed), "path").limit(n)
 
 
 def sample_share(manifest: DataFrame, share_of: int = 100, seed: str = "") -> DataFrame:

@@ -23,6 +23,8 @@ Options
     ``headers``         "false" leaves the two header maps out
     ``maxSplitBytes``   size of a byte range
     ``batchBytes``      target size of an Arrow batch
+    ``firstRecords``    only so many records, the first by path and place; one task opens one archive
+                        after the other until it has them
     ``onError``         "fail" (default) or "reject"; then a missing archive is a row as well
 """
 
@@ -35,10 +37,13 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 from pyspark.sql.types import (
     BinaryType,
@@ -101,6 +106,7 @@ class ArchiveSplit(InputPartition):
     end: int
     manifest: str | None = None
     error: str | None = None
+    following: tuple[ArchiveSplit, ...] = ()
 
 
 class _Damaged(Exception):
@@ -539,6 +545,7 @@ class WarcReader(DataSourceReader):
         self._split_bytes = int(options.get("maxsplitbytes", 256 << 20))
         self._batch_bytes = int(options.get("batchbytes", 8 << 20))
         self._on_error = options.get("onerror", "fail").lower()
+        self._first = int(options["firstrecords"]) if "firstrecords" in options else None
         self._tag = options.get("tagmanifest", "false").lower() == "true"
         if self._on_error not in ("fail", "reject"):
             raise ValueError(f"onError is fail or reject, not {self._on_error}")
@@ -560,25 +567,30 @@ class WarcReader(DataSourceReader):
             count = max(1, round(size / self._split_bytes))
             bounds = [i * self._split_bytes for i in range(count)] + [1 << 62]
             splits += [ArchiveSplit(path, *bound, manifest) for bound in zip(bounds, bounds[1:])]
+        if self._first is not None and splits:
+            splits.sort(key=lambda split: (split.path, split.start))
+            return [ArchiveSplit("", 0, 0, following=tuple(splits))]
         return splits or [ArchiveSplit("", 0, 0)]
 
+    def _rows(self, split: ArchiveSplit) -> Iterator[dict]:
+        tag = {"manifest": split.manifest} if self._tag else {}
+        if split.error:
+            yield {**dict.fromkeys(_ARROW_TYPES), "path": split.path, "record_offset": 0, "error": split.error, **tag}
+        elif split.path:
+            for row in read_records(split.path, split.start, split.end, self._rec_type, self._payload, self._headers, self._on_error):
+                yield {**row, **tag}
+        for later in split.following:
+            yield from self._rows(later)
+
     def read(self, partition: ArchiveSplit) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
-        tag = {"manifest": partition.manifest} if self._tag else {}
         rows: list[dict] = []
         size = 0
-        if partition.error:
-            rows.append({**dict.fromkeys(_ARROW_TYPES), "path": partition.path, "record_offset": 0, "error": partition.error, **tag})
-        else:
-            for row in read_records(
-                partition.path, partition.start, partition.end, self._rec_type, self._payload, self._headers, self._on_error
-            ):
-                rows.append({**row, **tag})
-                size += 512 + len(row["payload"] or b"")
-                if size >= self._batch_bytes:
-                    yield _batch(rows)
-                    rows, size = [], 0
+        for row in islice(self._rows(partition), self._first):
+            rows.append(row)
+            size += 512 + len(row["payload"] or b"")
+            if size >= self._batch_bytes:
+                yield _batch(rows)
+                rows, size = [], 0
         if rows:
             yield _batch(rows)
 
@@ -618,3 +630,26 @@ class WarcDataSource(DataSource):
 def register(spark: SparkSession) -> None:
     """Make ``format("warc")`` known to the session."""
     spark.dataSource.register(WarcDataSource)
+
+
+def _stream_rows(options: dict[str, str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reader = WarcReader(options)
+    for batch in batches:
+        for path, start, end in zip(*(column.to_pylist() for column in batch.columns)):
+            yield from reader.read(ArchiveSplit(path, start, end))
+
+
+def record_stream(spark: SparkSession, folder: str, files_per_batch: int = 100, **options: str) -> DataFrame:
+    """Stream of the records of archives that arrive in a folder; options as for the source.
+
+    Which archives a batch has is in the checkpoint of the query that reads the stream, so a query
+    that starts again gives every record once. An archive must have its name only when it is complete.
+    """
+    lowered = {key.lower(): str(value) for key, value in options.items()}
+    size = int(lowered.get("maxsplitbytes", 256 << 20))
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    files = files.option("maxFilesPerTrigger", files_per_batch).load(folder).select("path", "length")
+    count = F.greatest(F.lit(1), F.round(F.col("length") / size)).cast("long")
+    ranges = files.select("path", count.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("k"))
+    ranges = ranges.select("path", (F.col("k") * size).alias("start"), F.when(F.col("k") == F.col("n") - 1, 1 << 62).otherwise((F.col("k") + 1) * size).alias("end"))
+    return ranges.repartition("path", "start").mapInArrow(partial(_stream_rows, lowered), WARC_SCHEMA)

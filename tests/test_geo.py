@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from pageloom.functions.ip import cover
 from pageloom.operators import geo
 
 
@@ -77,3 +78,39 @@ def test_schemas(spark, world):
 def test_rejects(world):
     facts, _ = world
     assert {(r.ip, r.n_rows) for r in geo.ip_rejects(facts).collect()} == {("-", 1), (None, 1)}
+
+
+def test_spans_as_by_comparing_every_pair(spark):
+    draw = random.Random(4)
+    spans, ips = [], []
+    for k in range(120):
+        low = draw.randrange(1 << 12) + (10 << 24)
+        spans.append((k, str(ipaddress.IPv4Address(low)), str(ipaddress.IPv4Address(low + draw.choice([0, 1, 5, 255, 256, draw.randrange(900)])))))
+        six = (0x20010DB8 << 96) + (draw.randrange(4) << 62) + draw.randrange(1 << 10)
+        spans.append((1000 + k, str(ipaddress.IPv6Address(six)), str(ipaddress.IPv6Address(six + draw.choice([0, 7, 1 << 63, (1 << 64) - 1, draw.randrange(1 << 66)])))))
+        ips += [(str(ipaddress.IPv4Address(draw.randrange(1 << 12) + (10 << 24))),), (str(ipaddress.IPv6Address(six + draw.randrange(-9, 1 << 64))),)]
+    spans += [(2000, "0.0.0.0", "255.255.255.255"), (2001, "::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff"), (3000, "10.0.0.9", "10.0.0.1"),
+              (3001, "10.0.0.1", "::1"), (3002, None, "10.0.0.1"), (3003, "x", "y")]
+    facts = spark.createDataFrame(ips + [("-",), (None,), ips[0]], "ip string")
+    table = spark.createDataFrame(spans, "id int, start_ip string, end_ip string")
+
+    def number(text):
+        return (ipaddress.ip_address(text).version, int(ipaddress.ip_address(text)))
+
+    sound = [s for s in spans if s[0] < 3000]
+    want = [(ip, s[0]) for (ip,) in set(ips) for s in sound if number(s[1])[0] == number(ip)[0] and number(s[1]) <= number(ip) <= number(s[2])]
+    got = [(r.ip, r.id) for r in geo.match_spans(facts, table, all_matches=True).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 300
+    narrow = {r.ip: r.id for r in geo.match_spans(facts, table).collect()}
+    width = {s[0]: number(s[2])[1] - number(s[1])[1] for s in sound}
+    assert narrow == {ip: min((width[i], i) for p, i in want if p == ip)[1] for ip, _ in want}
+    assert geo.ip_span_join(facts, table).count() == facts.count()
+    assert sorted(r.id for r in geo.span_rejects(table).collect()) == [3000, 3001, 3002, 3003]
+
+
+def test_a_cover_is_whole_and_least():
+    for low in range(0, 40):
+        for high in range(low, 40):
+            nets = [ipaddress.ip_network(n) for n in cover(str(ipaddress.IPv4Address(low)), str(ipaddress.IPv4Address(high)))]
+            assert sorted(int(a) for n in nets for a in n) == list(range(low, high + 1))
+            assert nets == list(ipaddress.summarize_address_range(ipaddress.IPv4Address(low), ipaddress.IPv4Address(high)))

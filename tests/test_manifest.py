@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import manifest
 
@@ -61,3 +62,13 @@ def test_audits(paths):
     there = df.where("path LIKE '%3.warc.gz'")
     assert manifest.present_paths(df, there).count() == there.count()
     assert manifest.missing_paths(df, there).count() == 105 - there.count()
+
+
+def test_a_sample_is_the_head_of_the_shuffled_list_without_a_window(spark):
+    rows = [(f"p{k % 700}",) for k in range(1_000)]
+    lines = spark.createDataFrame(rows, "path string").repartition(5)
+    for n in (0, 1, 250, 1_000, 2_000):
+        want = sorted(r.path for r in manifest.shuffled(lines, "s").where(F.col("rank") <= n).collect())
+        assert sorted(r.path for r in manifest.sample_manifest(lines, n, "s").collect()) == want
+    plan = manifest.sample_manifest(lines, 250, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan

@@ -1,13 +1,14 @@
 """The warc source on archives of every shape."""
 
 import gzip
+import os
 import random
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.catalog.archives import write_lines
+from pageloom.catalog.archives import write_archives, write_lines
 from pageloom.plans.extraction import responses, script_extraction, wide_extraction
 from pageloom.sources import warc
 
@@ -259,3 +260,55 @@ def test_manifests_and_globs(spark, folder, tmp_path):
 
 def test_empty_folder(spark, folder):
     assert read(spark, folder).count() == 0
+
+
+def test_first_records_open_no_more_archives_than_needed(spark, tmp_path, monkeypatch):
+    pages = spark.range(300).selectExpr("concat('http://h', id, '/') AS host", "'1.2.3.4' AS ip", "'s' AS server", "'x' AS html", "CAST(id % 60 AS int) AS archive")
+    folder = str(tmp_path / "many")
+    write_archives(pages.repartition(60, "archive").sortWithinPartitions("archive", "host"), folder)
+    options = {"path": folder, "rectype": "response", "payload": "false"}
+    every = [(r["path"], r["record_offset"]) for s in sorted(warc.WarcReader(options).partitions(), key=lambda s: (s.path, s.start))
+             for b in warc.WarcReader(options).read(s) for r in b.to_pylist()]
+    assert len(every) == 300 and every == sorted(every)
+    opened = []
+    real = warc.read_records
+    monkeypatch.setattr(warc, "read_records", lambda path, *rest: (opened.append(path), real(path, *rest))[1])
+    for n in (0, 1, 5, 12, 1_000):
+        opened.clear()
+        reader = warc.WarcReader({**options, "firstrecords": str(n)})
+        (split,) = reader.partitions()
+        got = [(r["path"], r["record_offset"]) for b in reader.read(split) for r in b.to_pylist()]
+        assert got == every[:n] and len(opened) == min(60, -(-n // 5))
+    got = spark.read.format("warc").options(recType="response", payload="false", firstRecords="12").load(folder)
+    assert [(r.path, r.record_offset) for r in got.collect()] == every[:12]
+
+
+def test_a_stream_of_archives_gives_every_record_once(spark, tmp_path):
+    folder, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    pages = spark.range(60).selectExpr("concat('http://h', id, '/') AS host", "'1.2.3.4' AS ip", "'s' AS server", "'x' AS html")
+    write_archives(pages.repartition(6), folder)
+
+    def run(fail_at=None):
+        batches = []
+
+        def keep(rows, number):
+            batches.append(number)
+            if len(batches) == fail_at:
+                raise RuntimeError("stopped")
+            rows.select("path", "record_offset", F.element_at("rec_headers", "warc-target-uri").alias("host")).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+        stream = warc.record_stream(spark, folder, 2, recType="response", maxSplitBytes="2000")
+        query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert fail_at
+        return len(batches)
+
+    assert run(fail_at=2) == 2 and run(fail_at=2) >= 1
+    run()
+    write_archives(pages.limit(5).selectExpr("concat(host, 'new') AS host", "ip", "server", "html").coalesce(1), str(tmp_path / "late"))
+    os.rename(tmp_path / "late" / "part-00000.warc", tmp_path / "in" / "part-99999.warc")
+    run()
+    hosts = sorted(r.host for r in spark.read.parquet(target).collect())
+    assert len(hosts) == len(set(hosts)) == 65
