@@ -12,10 +12,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: An odd multiplier, its inverse modulo 2**64, and the bytes that are hashed at a time.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: An odd number that parts the places within a word, and the groups of eight bytes that are hashed at a time.
+_STEP = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 18
+#: The lowest bits of a group of eight bytes, by how many of the bytes belong to the word.
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 #: Bytes between words: white space, or all ASCII but letters and digits.
 WHITE = np.zeros(256, dtype=bool)
@@ -35,12 +36,6 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.full(count, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
 class Words:
     """The words of a column of texts.
 
@@ -86,23 +81,28 @@ def words_of(texts: pa.Array, between: np.ndarray = WHITE) -> Words:
 
 
 def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A polynomial of each word's bytes, independent of where the word stands."""
+    """A hash of each word's bytes, independent of where the word stands.
+
+    Each group of eight bytes is mixed with its place in the word before the groups are summed up:
+    no regularity of the bytes, such as that of the words of two letters in which every polynomial agrees, survives that.
+    """
+    sizes = ends - starts
+    groups = (sizes + 7) >> 3
+    total = np.concatenate(([0], np.cumsum(groups)))
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))  # eight bytes from each place on
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
-    powers = _powers(_BASE, _CHUNK)
-    back = _powers(_INVERSE, _CHUNK)
     while at < len(starts):
-        low = int(starts[at])
-        stop = max(at + 1, int(np.searchsorted(ends, low + _CHUNK, "right")))
-        high = int(ends[stop - 1])
-        if high - low > len(powers):  # a single word that is longer than a chunk
-            powers, back = _powers(_BASE, high - low), _powers(_INVERSE, high - low)
-        sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * powers[: high - low], out=sums[1:])
-        s, e = starts[at:stop] - low, ends[at:stop] - low
-        out[at:stop] = (sums[e] - sums[s]) * back[s]
+        stop = max(at + 1, int(np.searchsorted(total, total[at] + _CHUNK, "right")) - 1)
+        first = total[at:stop] - total[at]
+        place = np.arange(total[stop] - total[at]) - np.repeat(first, groups[at:stop])
+        left = np.repeat(sizes[at:stop], groups[at:stop]) - 8 * place
+        value = eights[np.repeat(starts[at:stop], groups[at:stop]) + 8 * place] & _LOWEST[np.minimum(left, 8)]
+        value += mix((place.astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP))
+        out[at:stop] = np.add.reduceat(mix(value), first) if len(place) else 0
         at = stop
-    return mix(out)
+    return mix(out + sizes.astype(np.uint64) * np.uint64(_STEP))
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

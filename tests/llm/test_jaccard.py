@@ -110,3 +110,12 @@ def test_components(spark):
     edges = spark.createDataFrame(pairs, "a long, b long")
     found = {r["node"]: r["root"] for r in graph.components(edges, "test").collect()}
     assert all(found.get(x, x) == find(x) for x in parent)
+
+
+def test_words_on_which_polynomials_agree(spark):
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    rows = [(1, " ".join([one] * 9)), (2, " ".join([two] * 9)), (3, " ".join([one] * 8))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {1: (1, 1), 2: (2, 0), 3: (1, 1)}

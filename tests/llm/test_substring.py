@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from pageloom.llm import substring
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -54,3 +57,29 @@ def test_odd_rows(spark, odd_docs, empty_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.select("doc_id", "text").collect()]
     assert got(substring.remove_repeats(odd_docs)) == brute(rows, substring.WINDOW)
     assert substring.remove_repeats(empty_docs).collect() == []
+
+
+def thue_morse():
+    """Two words of 1,024 letters on which every polynomial hash modulo a power of two agrees."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_on_which_polynomials_agree(spark):
+    one, two = thue_morse()
+    filler = [f"w{k}" for k in range(12)]
+    rows = [(1, " ".join([*filler, one])), (2, " ".join([*filler, two])), (3, " ".join([*filler, one]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(substring.remove_repeats(docs)) == brute(rows, substring.WINDOW)
+    assert {r["doc_id"]: r["n_removed"] for r in substring.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_names_only_bring_together(monkeypatch):
+    """If all names were equal, the digests of paths would still be those of their words."""
+    texts = pa.array([" ".join(f"w{k}" for k in range(40)), " ".join(f"w{k}" for k in range(1, 41)), " ".join(f"w{k}" for k in range(40))])
+    monkeypatch.setattr(substring, "windows", lambda hashes, size: np.zeros(max(0, len(hashes) - size + 1), dtype=np.uint64))
+    edges = substring._Edges(texts, 13)
+    first, path = edges.paths()
+    assert len(first) == 3 and (path[0] == path[2]).all() and (path[0] != path[1]).any()
+    digests = edges.digests(np.arange(len(edges.at)))
+    assert (digests[1] == digests[28]).all() and (digests[0] == digests[56]).all() and len(np.unique(digests, axis=0)) == 29
