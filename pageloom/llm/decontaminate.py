@@ -7,10 +7,12 @@ bring a passage to its threshold by half, so a passage must earn the rest from t
 postings lie in blocks with the largest impact of each term, and sums of these bound what a
 passage can score in a block. Only the blocks whose bound reaches a threshold are scored, part
 by part, with all distinct terms of the passage. No passage that reaches a part's threshold is
-lost on the way. What is retrieved is verified against the words of question and answer.
+lost on the way. What is retrieved is verified against the words of question and answer, in the
+passages that retrieved it and as many words around them as the item has.
 
 The index is sent to the executors; a benchmark beyond ``SHARD_BYTES`` is cut into shards by a
-hash of its items, and the texts pass one shard after the other.
+hash of its items. The texts pass one shard after the other and are written in between, so that no
+task holds two shards.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 
 from pageloom.llm.registry import query, table
 from pageloom.llm.words import SIGNS, slices, windows, words_of
+from pageloom.session import written
 
 #: Words of a part, and of a chunk; a passage is two chunks.
 PART, CHUNK = 40, 32
@@ -36,8 +39,11 @@ PART, CHUNK = 40, 32
 K1, B, REACH = 1.2, 0.75, 0.5
 #: Parts of a block of the index, and the share of its threshold that a part's weakest terms may add up to.
 BLOCK, WEAK = 8, 0.5
-#: Words of a shingle for verifying (all words of a question or answer with fewer), and the shares of question and answer that a text must hold.
-SHINGLE, QUESTION, ANSWER = 3, 0.6, 0.6
+#: Words of a shingle for verifying, and the shares of question and answer that a text must hold. A question or answer with
+#: fewer words than a shingle must stand next to the other half, so many words apart at most.
+SHINGLE, QUESTION, ANSWER, APART = 3, 0.6, 0.6, 3
+#: Entries of the index that are worked on at a time, for as many texts as they come from.
+ENTRIES = 1 << 20
 #: Bytes of benchmark text in one shard of the index.
 SHARD_BYTES = 8 << 20
 
@@ -76,12 +82,13 @@ class Index:
         both = [halves(t) for _, t in items]
         self.checks = []
         for question, answer in both:
-            grams = []
+            grams, count = [], 0
             for half in (question, answer):
                 w = _words(pa.array([half])).hashes
                 size = min(SHINGLE, len(w))
+                count += len(w)
                 grams.append((np.unique(windows(w, size)) if size else np.zeros(0, np.uint64), size))
-            self.checks.append(tuple(grams))
+            self.checks.append((*grams, count))
         words = _words(pa.array([t for _, t in items], pa.string()))
         part_of, terms = [], []
         self.item = []
@@ -104,7 +111,6 @@ class Index:
         scale = K1 * (1.0 - B + B * length / max(1.0, length.mean() if parts else 1.0))
         self.impact = idf[term] * tf * (K1 + 1.0) / (tf + scale[part])
         self.part = part
-        self.first = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.reach = REACH * np.bincount(part, weights=self.impact, minlength=parts)
         # the weakest terms of each part, as far as they stay below a share of its threshold
         order = np.lexsort((self.impact, part))
@@ -122,6 +128,9 @@ class Index:
         self.block = both_[edge] % self.blocks
         self.block_impact = np.maximum.reduceat(self.impact[strong], edge) if len(edge) else np.zeros(0)
         self.block_first = np.searchsorted(both_[edge] // self.blocks, np.arange(len(self.terms) + 1))
+        # where the postings of a term in a block begin
+        self.cell, begin = np.unique(term * self.blocks + part // BLOCK, return_index=True)
+        self.cell_first = np.append(begin, len(part))
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """The term of each word, or -1."""
@@ -130,25 +139,38 @@ class Index:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return np.where(self.terms[at] == hashes, at, -1)
 
-    def search(self, term: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All (row, part, score) of a passage and a part whose threshold it reaches; rows' words begin at ``first``."""
-        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        counts = np.diff(first)
-        chunks = -(-counts // CHUNK)
+    def search(self, term: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All (row, part, score, first chunk) of a passage and a part whose threshold it reaches; rows' words begin at ``first``."""
+        chunks = -(-np.diff(first) // CHUNK)
         chunk_first = np.concatenate(([0], np.cumsum(chunks)))
         known = np.flatnonzero(term >= 0)
-        if not len(known):
-            return nothing
         row = np.searchsorted(first, known, "right") - 1
-        chunk = chunk_first[row] + (known - first[row]) // CHUNK
-        term = term[known]
-        entry, source = _spread(self.block_first, term)
-        key = chunk[source] * self.blocks + self.block[entry]
-        order = np.argsort(key)
+        # the distinct terms of each chunk
+        pair = np.unique((chunk_first[row] + (known - first[row]) // CHUNK) * max(1, len(self.terms)) + term[known])
+        chunk, term = pair // max(1, len(self.terms)), pair % max(1, len(self.terms))
+        ends = np.searchsorted(chunk, np.arange(chunk_first[-1] + 1))
+        work = np.concatenate(([0], np.cumsum(self.block_first[term + 1] - self.block_first[term])))[ends] if len(pair) else np.zeros(len(ends), np.int64)
+        out = []
+        low = 0
+        while low < chunk_first[-1]:
+            high = max(low + 1, int(np.searchsorted(work, work[low] + ENTRIES, "right")) - 1)
+            passage, block = self._open(low, high, chunk, term, ends, chunks, chunk_first)
+            out += self._scored(passage, block, term, ends, chunk_first)
+            low = high
+        at, part, score = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        row = np.searchsorted(chunk_first, at, "right") - 1
+        return row, part, score, at - chunk_first[row]
+
+    def _open(self, low: int, high: int, chunk, term, ends, chunks, chunk_first) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, block) whose bound reaches a threshold, of the passages that begin in the chunks from ``low`` up to ``high``."""
+        own = slice(ends[low], ends[min(high + 1, len(ends) - 1)])
+        entry, source = _spread(self.block_first, term[own])
+        key = chunk[own][source] * self.blocks + self.block[entry]
+        order = np.argsort(key, kind="stable")
         key, gain = key[order], self.block_impact[entry][order]
         edge = np.flatnonzero(np.diff(key, prepend=-1))
         if not len(edge):
-            return nothing
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         key, gain = key[edge], np.add.reduceat(gain, edge)
         # the two passages that hold a chunk: it and the next one, it and the one before
         after = np.searchsorted(key, key + self.blocks)
@@ -156,53 +178,94 @@ class Index:
         bound = gain + np.append(gain, 0.0)[after]
         before = np.zeros(len(key))
         before[after[after < len(key)]] = gain[after < len(key)]
-        chunk_row = np.repeat(np.arange(len(counts)), chunks)
         at, block = key // self.blocks, key % self.blocks
-        single = at + 1 >= chunk_first[chunk_row[at] + 1]
-        here = (bound >= self.block_need[block] - 1e-9) & (~single | (chunks[chunk_row[at]] == 1))
-        there = (gain + before >= self.block_need[block] - 1e-9) & (at > chunk_first[chunk_row[at]])
+        row = np.searchsorted(chunk_first, at, "right") - 1
+        single = at + 1 >= chunk_first[row + 1]
+        here = (bound >= self.block_need[block] - 1e-9) & (~single | (chunks[row] == 1))
+        there = (gain + before >= self.block_need[block] - 1e-9) & (at > chunk_first[row])
         open_ = np.unique(np.concatenate((key[here], key[there] - self.blocks)))
-        if not len(open_):
-            return nothing
-        passage = np.unique(open_ // self.blocks)
-        low = np.searchsorted(chunk, passage)
-        last = np.minimum(passage + 2, chunk_first[chunk_row[passage] + 1])
-        high = np.searchsorted(chunk, last)
-        size = high - low
-        word = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-        pair = np.unique(np.repeat(passage, size) * len(self.terms) + term[word])
-        owner, word = pair // len(self.terms), pair % len(self.terms)
-        entry, source = _spread(self.first, word)
-        slot = owner[source] * self.blocks + self.part[entry] // BLOCK
-        inside = open_[np.minimum(np.searchsorted(open_, slot), len(open_) - 1)] == slot
-        entry, source = entry[inside], source[inside]
-        slot, where = np.unique(owner[source] * len(self.item) + self.part[entry], return_inverse=True)
-        score = np.bincount(where, weights=self.impact[entry])
-        found = np.flatnonzero(score >= self.reach[slot % len(self.item)] - 1e-9)
-        return chunk_row[slot[found] // len(self.item)], slot[found] % len(self.item), score[found]
+        passage = open_ // self.blocks
+        inside = (passage >= low) & (passage < high)
+        return passage[inside], open_[inside] % self.blocks
+
+    def _scored(self, passage: np.ndarray, block: np.ndarray, term, ends, chunk_first) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(passage, part, score) of the parts in these blocks whose threshold the passage reaches."""
+        row = np.searchsorted(chunk_first, passage, "right") - 1
+        begin, stop = ends[passage], ends[np.minimum(passage + 2, chunk_first[row + 1])]
+        total = np.concatenate(([0], np.cumsum(stop - begin)))
+        out = []
+        low = 0
+        while low < len(passage):
+            high = max(low + 1, int(np.searchsorted(total, total[low] + ENTRIES // BLOCK, "right")) - 1)
+            size = stop[low:high] - begin[low:high]
+            owner = np.repeat(np.arange(low, high), size)
+            word = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[low:high], size)
+            cell = term[word] * self.blocks + block[owner]
+            at = np.minimum(np.searchsorted(self.cell, cell), len(self.cell) - 1)
+            hit = np.flatnonzero(self.cell[at] == cell)
+            once = np.unique((owner[hit] - low) * len(self.cell) + at[hit])  # a term may stand in both chunks
+            entry, source = _spread(self.cell_first, once % len(self.cell))
+            slot = once[source] // len(self.cell) * BLOCK + self.part[entry] % BLOCK
+            score = np.bincount(slot, weights=self.impact[entry], minlength=(high - low) * BLOCK)
+            which = np.arange(low, high).repeat(BLOCK)
+            part = block[which] * BLOCK + np.tile(np.arange(BLOCK), high - low)
+            good = part < len(self.item)
+            good[good] = (score[good] >= self.reach[part[good]] - 1e-9) & (score[good] > 0)
+            out.append((passage[which[good]], part[good], score[good]))
+            low = high
+        return out
+
+
+def _regions(at: np.ndarray, length: int, words: int) -> Iterator[tuple[int, int]]:
+    """Stretches of a text of ``words`` words, round passages that begin in the chunks ``at``, for an item of so many words."""
+    around = math.ceil(length / CHUNK) + 1
+    low = None
+    for c in at.tolist():
+        if low is not None and c - high > 2 * around:
+            yield max(0, (low - around) * CHUNK), min(words, (high + 2 + around) * CHUNK)
+            low = None
+        low, high = (c if low is None else low), c
+    if low is not None:
+        yield max(0, (low - around) * CHUNK), min(words, (high + 2 + around) * CHUNK)
+
+
+def _shares(own: np.ndarray, question: tuple[np.ndarray, int], answer: tuple[np.ndarray, int], count: int, alone: bool) -> tuple[float, float]:
+    """The shares of a question's and an answer's shingles in a stretch of words."""
+    places, shares = [], []
+    for grams, size in (question, answer):
+        held = windows(own, size) if size else np.zeros(0, np.uint64)
+        places.append(np.flatnonzero(np.isin(held, grams)))
+        shares.append(float(np.isin(grams, held).mean()) if len(grams) else 1.0)
+    if count < 2:  # a single word tells nothing unless the text is that word
+        return (shares[0], shares[1]) if alone and len(own) == count else (0.0, 0.0)
+    if min(question[1], answer[1]) < SHINGLE and question[1] and answer[1]:
+        gap = places[1][None, :] - (places[0][:, None] + question[1])
+        near = bool(((gap >= 0) & (gap <= APART)).any())
+        shares = [x if near or size == SHINGLE else 0.0 for x, (_, size) in zip(shares, (question, answer))]
+    return shares[0], shares[1]
 
 
 def _leaks(index: Index, texts: pa.Array) -> dict[int, dict[int, tuple]]:
     """By row and item: the best score and the verified shares."""
     words = _words(texts)
-    row, part, score = index.search(index.lookup(words.hashes), words.first)
+    row, part, score, at = index.search(index.lookup(words.hashes), words.first)
     out: dict[int, dict[int, tuple]] = {}
-    best: dict[tuple[int, int], float] = {}
-    for r, k, s in zip(row.tolist(), index.item[part].tolist(), score.tolist()):
-        best[r, k] = max(s, best.get((r, k), 0.0))
-    grams: dict[tuple[int, int], np.ndarray] = {}
-    for (r, k), s in sorted(best.items()):
-        own = words.hashes[words.first[r] : words.first[r + 1]]
-        shares = []
-        for check, size in index.checks[k]:
-            if len(check) == 0:
-                shares.append(1.0)
-                continue
-            if (r, size) not in grams:
-                grams[r, size] = windows(own, size)
-            shares.append(float(np.isin(check, grams[r, size]).mean()))
-        if shares[0] >= QUESTION and shares[1] >= ANSWER:
-            out.setdefault(r, {})[index.items[k]] = (s, *shares)
+    if not len(row):
+        return out
+    pair = row * len(index.items) + index.item[part]
+    order = np.lexsort((at, pair))
+    pair, score, at = pair[order], score[order], at[order]
+    edges = np.flatnonzero(np.diff(pair, prepend=-1, append=-1))
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        r, k = divmod(int(pair[low]), len(index.items))
+        question, answer, count = index.checks[k]
+        begin, stop = int(words.first[r]), int(words.first[r + 1])
+        best = (0.0, 0.0)
+        for a, b in _regions(at[low:high], count, stop - begin):
+            found = _shares(words.hashes[begin + a : begin + b], question, answer, count, b - a == stop - begin)
+            best = max(best, found, key=min)
+        if best[0] >= QUESTION and best[1] >= ANSWER:
+            out.setdefault(r, {})[index.items[k]] = (float(score[low:high].max()), *best)
     return out
 
 
@@ -224,7 +287,7 @@ def search(docs: DataFrame, benchmark: DataFrame, into: str = "leaks") -> DataFr
     """``docs`` with a column ``into``: the test items that its ``text`` holds, by item id.
 
     ``benchmark`` has (item_id, text). A null or empty text has no leaks; a null or wordless
-    item is found nowhere, and a repeated one is found once. Other columns stay; one that is
+    item is found nowhere, one of a single word only where it is the whole text, and a repeated one is found once. Other columns stay; one that is
     called like ``into`` is replaced. An empty benchmark leaves every list empty.
     """
     spark = docs.sparkSession
@@ -235,6 +298,7 @@ def search(docs: DataFrame, benchmark: DataFrame, into: str = "leaks") -> DataFr
     for k in range(shards if size else 0):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
         index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
+        docs = written(docs, "decontaminate-shard") if k else docs
         docs = docs.mapInArrow(partial(_search, index), docs.schema)
     return docs
 

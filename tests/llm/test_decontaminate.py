@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -5,19 +7,22 @@ import pytest
 from pageloom.llm import decontaminate as dc
 
 
-def test_search_finds_what_scoring_everything_finds(spark, sf):
+@pytest.mark.parametrize("entries", [1 << 20, 50])
+def test_search_finds_what_scoring_everything_finds(spark, sf, entries, monkeypatch):
+    monkeypatch.setattr(dc, "ENTRIES", entries)
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     index = dc.Index(items)
     texts = pa.array([r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(120).collect()])
     words = dc._words(texts)
     term = index.lookup(words.hashes)
-    rows, parts, _ = index.search(term, words.first)
+    rows, parts, _, _ = index.search(term, words.first)
     want = set()
     for r in range(len(texts)):
         low, high = int(words.first[r]), int(words.first[r + 1])
         for start in range(low, max(low + 1, high - dc.CHUNK), dc.CHUNK) if high > low else []:
             terms = np.unique(term[start : min(start + 2 * dc.CHUNK, high)])
-            entry, _ = dc._spread(index.first, terms[terms >= 0])
+            cells = np.isin(index.cell // index.blocks, terms[terms >= 0])
+            entry, _ = dc._spread(index.cell_first, np.flatnonzero(cells))
             score = np.bincount(index.part[entry], weights=index.impact[entry], minlength=len(index.item))
             want |= {(r, int(p)) for p in np.flatnonzero(score >= index.reach - 1e-9)}
     assert set(zip(rows.tolist(), parts.tolist())) == want and want
@@ -58,6 +63,47 @@ def test_short_questions_and_answers(spark, item):
     assert [r["doc_id"] for r in dc.clean(docs, bench).orderBy("doc_id").collect()][:1] == [2]
 
 
+def test_halves_are_verified_where_they_were_retrieved(spark):
+    bench = spark.createDataFrame(
+        [(1, "zebra quokka"), (2, "Is the sum of two odd numbers always an even one? yes"), (3, "wombat"),
+         (4, "Which of the four great rivers of that valley is longest? The one that flows north")], "item_id long, text string")
+    filler = " ".join(f"other{k}" for k in range(20))
+    far = " ".join(f"word{k}" for k in range(5_000))
+    question, answer = "Which of the four great rivers of that valley is longest?", "The one that flows north"
+    docs = spark.createDataFrame([
+        (1, f"{filler} quokka {filler} zebra {filler}"), (2, f"Is the sum of two odd numbers always an even one? {far} yes"), (3, f"{filler} wombat {filler}"),
+        (4, f"{question} {far} {answer}"), (5, f"{filler} zebra quokka"), (6, f"{far} Is the sum of two odd numbers always an even one? Well, yes {far}"),
+        (7, "Wombat!"), (8, f"{far} {question} {filler} {answer} {far}"), (9, f"{answer} {filler} {far} {question}")], "doc_id long, text string")
+    found = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in dc.search(docs, bench).collect()}
+    assert found == {1: [], 2: [], 3: [], 4: [], 5: [1], 6: [2], 7: [3], 8: [4], 9: []}
+
+
+def test_words_on_which_polynomials_agree(spark):
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    item = " ".join(f"{one} x{k}" for k in range(10))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, " ".join(f"{two} y{k}" for k in range(10)))], "doc_id long, text string")
+    assert {r["doc_id"]: len(r["leaks"]) for r in dc.search(docs, bench).collect()} == {1: 1, 2: 0}
+
+
+def test_a_large_benchmark_needs_little_memory():
+    """Items with the frequencies of words that languages have, against many words of that kind."""
+    draw = np.random.default_rng(1)
+    words = np.array([f"w{k}" for k in range(20_000)])
+
+    def text(count):
+        return " ".join(words[np.minimum(draw.zipf(1.1, count) - 1, len(words) - 1)])
+
+    index = dc.Index([(k, text(45)) for k in range(5_000)])
+    texts = pa.array([text(5_000) for _ in range(4)])
+    tracemalloc.start()
+    dc._leaks(index, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
 @pytest.mark.parametrize("shard", [1 << 23, 500])
 def test_shards_do_not_matter(spark, sf, shard, monkeypatch):
     monkeypatch.setattr(dc, "SHARD_BYTES", shard)
