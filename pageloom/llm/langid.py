@@ -9,8 +9,10 @@ score is the sum over its words. Words of one length are worked on together in n
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from functools import partial
+import sys
+import unicodedata
+from collections.abc import Callable, Iterator
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,8 @@ from pageloom.llm.words import slices
 SAMPLE_DOCS = 2_000
 #: Rounds of expectation-maximisation, and the added count of every piece.
 ROUNDS, SMOOTHING = 2, 0.05
-#: A longer run of letters is cut into parts of this many letters, all of which count.
-LONGEST_RUN = 40
+#: Letters of the longest word that teaches something, and of the longest that is scored together with others.
+LEARNED, TOGETHER = 64, 256
 #: Words whose scores a task remembers; beyond that it forgets all and goes on.
 MEMORY = 300_000
 
@@ -37,15 +39,25 @@ BEGIN, UNKNOWN = "▁", "und"
 #: An odd multiplier for hashing substrings.
 _BASE = 0x9E3779B97F4A7C15
 
-_LETTERS = re.compile(r"[^\W\d_]+").findall
+
+def _class_of(kind: str) -> str:
+    """The characters of a general category, as ranges of a pattern."""
+    codes = np.array([c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == kind])
+    cuts = np.flatnonzero(np.diff(codes) > 1)
+    low, high = codes[np.append(0, cuts + 1)], codes[np.append(cuts, len(codes) - 1)]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(low.tolist(), high.tolist()))
+
+
+@cache
+def _letters() -> Callable[[str], list[str]]:
+    """Finds the runs of letters, each with the marks behind it."""
+    letters = _class_of("L")
+    return re.compile(f"[{letters}][{letters}{_class_of('M')}]*+").findall
 
 
 def words_of(text: str) -> list[str]:
-    """The runs of letters of a text in lower case, long ones in parts."""
-    found = _LETTERS(text.lower())
-    if any(len(w) > LONGEST_RUN for w in found):
-        found = [w[k : k + LONGEST_RUN] for w in found for k in range(0, len(w), LONGEST_RUN)]
-    return found
+    """The runs of letters of a text in lower case; marks belong to the letter before them."""
+    return _letters()(text.lower())
 
 
 class Pieces:
@@ -53,6 +65,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.count = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
         entries: dict[int, int] = {}
         for k, piece in enumerate(pieces):
             h = 0
@@ -126,29 +139,85 @@ class Pieces:
                 yield own, n, cuts
 
 
-def _forward(n: np.ndarray, cuts: list, chance: np.ndarray) -> np.ndarray:
-    """Sums over all segmentations of each word's beginnings: (length + 1, words, languages)."""
+#: Every so many letters, sums that have become smaller than this are scaled up.
+_EVERY, _TINY = 8, 1e-60
+
+
+def _forward(n: np.ndarray, cuts: list, chance: np.ndarray, longest: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all segmentations of each word's beginnings: (length + 1, words, languages), and the logarithm of each word's scale.
+
+    With ``longest``, the letters of the longest piece, sums are scaled where they become tiny: those from the place reached on,
+    beyond which no piece from before leads further than that.
+    """
     alpha = np.zeros((int(n[0]) + 1, len(n), chance.shape[1]))
     alpha[0] = 1.0
+    scale = np.zeros(len(n))
+    at = 0
     for i, j, rows, piece in cuts:
+        if longest and i >= at + _EVERY:
+            at = i
+            top = alpha[i].max(axis=1)
+            low = np.flatnonzero((top < _TINY) & (top > 0) & (n > i))
+            if len(low):
+                alpha[i : i + longest + 1, low] /= top[low][:, None]
+                scale[low] += np.log(top[low])
         alpha[j, rows] += alpha[i, rows] * chance[piece]
-    return alpha
+    return alpha, scale
+
+
+def _alone(pieces: Pieces, chance: np.ndarray, word: str) -> np.ndarray:
+    """The log probability of one very long word, letter by letter, with as many sums as the longest piece has letters."""
+    codes = np.frombuffer((BEGIN + word).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    reach = pieces.longest
+    sums = np.zeros((reach + 1, chance.shape[1]))
+    sums[0] = 1.0
+    scale = 0.0
+    for block in range(0, len(codes), 1 << 16):
+        size = min(1 << 16, len(codes) - block)
+        found = np.full((size, reach), -1, dtype=np.int64)
+        live, h = np.arange(size), np.zeros(size, dtype=np.uint64)
+        for k in range(reach):
+            inside = block + live + k < len(codes)
+            live, h = live[inside], h[inside]
+            if not len(live):
+                break
+            h = h * np.uint64(_BASE) + codes[block + live + k]
+            rows, piece = pieces.find(h)
+            found[live[rows], k] = piece
+            live, h = live[rows], h[rows]
+        found[found[:, 0] < 0, 0] = pieces.count
+        for own in found:
+            k = np.flatnonzero(own >= 0)
+            sums[k + 1] += sums[0] * chance[own[k]]
+            sums[:-1] = sums[1:]
+            sums[-1] = 0.0
+            top = sums[0].max()
+            if top < _TINY:
+                sums /= top
+                scale += np.log(top)
+    with np.errstate(divide="ignore"):
+        return np.log(sums[0]) + scale
 
 
 def log_chances(pieces: Pieces, chance: np.ndarray, words: list[str]) -> np.ndarray:
     """The log probability of each word in each language."""
     out = np.zeros((len(words), chance.shape[1]))
-    for own, n, cuts in pieces.lattice(words):
-        total = _forward(n, cuts, chance)[n, np.arange(len(own))]
-        out[own] = np.log(np.maximum(total, 1e-300))
-    return out
+    short = [k for k, w in enumerate(words) if len(w) <= TOGETHER]
+    for own, n, cuts in pieces.lattice([words[k] for k in short]) if short else ():
+        alpha, scale = _forward(n, cuts, chance, pieces.longest)
+        with np.errstate(divide="ignore"):
+            out[np.array(short)[own]] = np.log(alpha[n, np.arange(len(own))]) + scale[:, None]
+    for k, word in enumerate(words):
+        if len(word) > TOGETHER:
+            out[k] = _alone(pieces, chance, word)
+    return np.maximum(out, -1e300)
 
 
 def expected(pieces: Pieces, chance: np.ndarray, words: list[str], weight: np.ndarray) -> np.ndarray:
     """How often each piece is expected in the words, by language; the last row is unknown letters."""
     out = np.zeros_like(chance)
     for own, n, cuts in pieces.lattice(words):
-        alpha = _forward(n, cuts, chance)
+        alpha, _ = _forward(n, cuts, chance)
         beta = np.zeros_like(alpha)
         beta[n, np.arange(len(own))] = 1.0
         for i, j, rows, piece in reversed(cuts):
@@ -188,7 +257,7 @@ class Model:
 def fit(docs: DataFrame, vocabulary: list[str], sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id") -> Model:
     """Learn from the text and lang of at most about ``sample_docs`` documents of each language.
 
-    Rows without a language, or without letters, teach nothing. Counting words and summing
+    Rows without a language, or without letters, teach nothing, nor do words of more than ``LEARNED`` letters. Counting words and summing
     up expected counts are Spark jobs; per language, only vocabulary-sized results return.
     """
     spark = docs.sparkSession
@@ -222,7 +291,7 @@ def fit(docs: DataFrame, vocabulary: list[str], sample_docs: int = SAMPLE_DOCS,
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            found = [words_of(t) for t in part.column("text").to_pylist()]
+            found = [[w for w in words_of(t) if len(w) <= LEARNED] for t in part.column("text").to_pylist()]
             lang = np.repeat(part.column("lang").to_numpy(zero_copy_only=False), [len(w) for w in found])
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array([w for ws in found for w in ws], pa.string())], ["lang", "word"])
 

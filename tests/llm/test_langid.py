@@ -1,4 +1,6 @@
 import itertools
+import math
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -37,9 +39,38 @@ def test_sums_over_all_segmentations():
     assert np.allclose(counts, sum(brute(w, chance)[1] for w in words))
 
 
-def test_long_runs_are_cut_and_counted_whole():
-    assert "".join(langid.words_of("Ab1 " + "x" * 95)) == "ab" + "x" * 95
-    assert max(map(len, langid.words_of("x" * 95))) == langid.LONGEST_RUN
+def test_runs_of_any_length(monkeypatch):
+    """Sums that no float holds, by exact fractions."""
+    draw = np.random.default_rng(1)
+    chance = draw.random((len(PIECES) + 1, 2)) * 1e-12
+    pieces = langid.Pieces(PIECES)
+    words = ["".join(draw.choice(list("abcz"), n)) for n in (30, 90, 255, 256, 257, 700)]
+    want = []
+    for word in words:
+        text, sums = langid.BEGIN + word, [[Fraction(1)] * 2]
+        for j in range(1, len(text) + 1):
+            total = [Fraction(0)] * 2
+            for i in range(max(0, j - 3), j):
+                p = text[i:j]
+                at = PIECES.index(p) if p in PIECES else len(PIECES) if len(p) == 1 else None
+                if at is not None:
+                    total = [t + s * Fraction(c) for t, s, c in zip(total, sums[i], chance[at].tolist())]
+            sums.append(total)
+        want.append([math.log(t.numerator) - math.log(t.denominator) for t in sums[-1]])
+    assert np.allclose(langid.log_chances(pieces, chance, words), want, rtol=1e-9)
+    monkeypatch.setattr(langid, "TOGETHER", 10)
+    assert np.allclose(langid.log_chances(pieces, chance, words), want, rtol=1e-9)
+
+
+def test_letters_and_their_marks(spark, sf):
+    assert langid.words_of("½ ² 10 Ⅻ ① _ 3x") == ["x"]
+    assert langid.words_of("हिन्दी ภาษาไทย Ünï e\u0301t") == ["हिन्दी", "ภาษาไทย", "ünï", "e\u0301t"]
+    assert langid.words_of("\u0301a1b" + "x" * 500) == ["a", "b" + "x" * 500]
+    model = langid.fit(spark.read.parquet(f"{sf}/documents.parquet"), langid.piece_vocabulary(langid.vocabulary_path()))
+    texts = [(1, "½ ² 10"), (2, "ภาษาไทย" * 2_000), (3, "x" * 3_000)]
+    rows = {r["doc_id"]: r for r in langid.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert (rows[1]["lang_pred"], rows[1]["score"]) == ("und", 0.0)
+    assert all(rows[k]["lang_pred"] in model.langs and 0 < rows[k]["score"] <= 1 for k in (2, 3))
 
 
 def test_held_out_accuracy(spark, sf):
