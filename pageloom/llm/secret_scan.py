@@ -21,7 +21,8 @@ from pageloom.llm.registry import query, table
 class Rule:
     """One kind of secret. A match counts if ``group`` of it has ``least`` characters.
 
-    A new ``version`` makes blobs be scanned again for this rule alone.
+    A new ``version`` makes blobs be scanned again for this rule alone. ``plain`` is the pattern
+    for engines that never go back, without possessive loops.
     """
 
     kind: str
@@ -29,6 +30,7 @@ class Rule:
     group: int = 0
     least: int = 1
     version: int = 1
+    plain: str = ""
 
 
 def _any_case(words: str) -> str:
@@ -41,15 +43,23 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", "[0-9a-f]+", 0, 32),
 )
-#: A private key from its first marker to its last; without that to the end of its lines, of which the first has 20 characters at
-#: least. The counts keep the depth of a match small: lines with hyphens before the last marker, and key lines if it is missing.
-_PEM = (
-    "-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,200}-----END [A-Z ]*PRIVATE KEY-----"
-    r"|(?:\s*[A-Za-z-]+:\x20[^\n]*){0,9}[\s\\]*[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=]*(?:\x20[A-Za-z0-9+/=]{20}[A-Za-z0-9+/=]*){0,40}"
-    r"(?:[\x20\t\r]*[\n\\][\s\\]*[A-Za-z0-9+/=]+){0,200}|)")
+def _pem(more: str) -> str:
+    """A private key from its first marker to its last; without that to the end of its lines, of which the first has 20 characters at least.
+
+    ``more`` stands behind every loop: a plus makes loops possessive, so that a key of any length takes a constant stack.
+    Each loop ends where nothing in it fits, so giving nothing back loses no match.
+    """
+    sign = "[A-Za-z0-9+/=]"
+    ended = "(?!-)" if more else ""
+    whole = f"[^-]*{more}(?:-{{1,4}}{more}{ended}[^-]+{more})*{more}-----END [A-Z ]*PRIVATE KEY-----"
+    heads = rf"(?:\s*{more}[A-Za-z-]+{more}:\x20[^\n]*{more})*{more}"
+    lines = rf"[\s\\]*{more}{sign}{{20}}{sign}*{more}(?:\x20{sign}{{20}}{sign}*{more})*{more}(?:[\x20\t\r]*{more}[\n\\][\s\\]*{more}{sign}+{more})*{more}"
+    return f"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{whole}|{heads}{lines}|)"
+
+
 #: Kinds beyond the base, listed after it.
 MORE = (
-    Rule("private_key", _PEM, version=2),
+    Rule("private_key", _pem("+"), version=3, plain=_pem("")),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
@@ -137,7 +147,6 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
 
     Secrets that overlap become one mark. A null text stays null; other columns stay as they are.
     """
-    names = docs.columns
     findings, _ = scan(docs, None, rules)
     ahead = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
@@ -145,21 +154,24 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     islands = findings.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(upto))
     islands = islands.groupBy("blob", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = islands.groupBy("blob", _apart()).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")).drop("apart")
-    joined = docs.withColumn("blob", blob_of(F.col("text"))).join(cuts, "blob", "left")
+    # the rows go through the join under names of their own
+    held = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    joined = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in held.items()], blob_of(F.col("text")).alias("blob")).join(cuts, "blob", "left")
+    old = F.col(held["text"])
     before = F.transform(
         "cuts",
         lambda c, i: F.concat(
-            F.substring(F.col("text"), F.when(i == 0, F.lit(0)).otherwise(F.element_at("cuts", F.greatest(i, F.lit(1)))["end"]).cast("int") + 1,
+            F.substring(old, F.when(i == 0, F.lit(0)).otherwise(F.element_at("cuts", F.greatest(i, F.lit(1)))["end"]).cast("int") + 1,
                         (c["start"] - F.when(i == 0, F.lit(0)).otherwise(F.element_at("cuts", F.greatest(i, F.lit(1)))["end"])).cast("int")),
             F.lit(mark),
         ),
     )
-    tail = F.substring(F.col("text"), F.element_at("cuts", -1)["end"].cast("int") + 1, F.length("text"))
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(before, ""), tail))
-    out = joined.withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*names)
+    tail = F.substring(old, F.element_at("cuts", -1)["end"].cast("int") + 1, F.length(old))
+    text = F.when(F.col("cuts").isNull(), old).otherwise(F.concat(F.array_join(before, ""), tail))
+    out = {c: F.col(n) for c, n in held.items()} | {"text": text}
+    if "n_chars" in held:
+        out["n_chars"] = F.when(F.col("cuts").isNull(), out["n_chars"]).otherwise(F.length(text).cast("long"))
+    return joined.select(*[column.alias(c) for c, column in out.items()])
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -180,7 +192,7 @@ def _oracle() -> str:
     kinds = " UNION ALL ".join(
         f"""SELECT row_id, {k} AS o, '{r.kind}' AS kind, generate_subscripts(hit, 1) AS nth, unnest(hit) AS h, unnest(gap[:len(hit)]) AS g,
         unnest(value) AS v, {r.least} AS least FROM (SELECT row_id, regexp_extract_all(text, p, 0) AS hit, string_split_regex(text, p) AS gap,
-        regexp_extract_all(text, p, {r.group}) AS value FROM (SELECT row_id, text, '{r.pattern.replace("'", "''")}' AS p FROM t))"""
+        regexp_extract_all(text, p, {r.group}) AS value FROM (SELECT row_id, text, '{(r.plain or r.pattern).replace("'", "''")}' AS p FROM t))"""
         for k, r in enumerate(RULES))
     counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
     span = "kind || ':' || (e - length(h)) || ':' || e"

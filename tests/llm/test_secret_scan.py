@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,8 +100,27 @@ def test_private_keys_go_whole(spark):
     assert {r["doc_id"]: r["text"] for r in kept.collect()} == {1: plain.replace(head, "[SECRET]"), 2: "[SECRET]" + "\na-b" * 50_000}
 
 
+@pytest.mark.parametrize("count", [260, 5_000])
+def test_private_keys_of_many_lines(spark, count):
+    lines = [hashlib.sha512(str(k).encode()).hexdigest().upper().translate(str.maketrans("0123456789", "ghijklmnop"))[:64] for k in range(count)]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [
+        "\n".join([head, *lines, end, "(after)"]), "\n".join([head, *lines, "(after)"]), "\n".join([head, *(f"{x[:30]}-{x[30:]}" for x in lines), end, "(after)"]),
+        "\n".join([head, *(f"X-{'a' * (k % 50 + 1)}: value {k}" for k in range(count)), "", *lines, "(after)"]), head + "\n" + " ".join(lines) + "\n(after)",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["text"] for r in secret_scan.redact(docs).collect()} == {"[SECRET]\n(after)"}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = {r[0]: r[-1] for r in con.execute(secret_scan._oracle()).fetchall()}
+    assert {r["doc_id"]: r["spans"] for r in found(spark, texts)} == want
+
+
 def test_odd_rows(spark, odd_docs, empty_docs):
-    assert secret_scan.redact(odd_docs.drop("blob")).count() == odd_docs.count()
+    docs = odd_docs.selectExpr("*", "'clash' AS cuts", "'clash' AS c0", "'clash' AS secrets", "1 AS start")
+    kept = secret_scan.redact(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
     findings, entries = secret_scan.scan(empty_docs)
     assert findings.collect() == [] and entries.collect() == []
 
