@@ -101,7 +101,7 @@ def _rows_of(column: pa.Array, width: int, kind) -> np.ndarray:
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, set, size, sketch) of each row; set and sketch are null without words."""
+    """(doc, text_hash, set, size, sketch) of each row; set and sketch are null without words."""
     for batch in batches:
         for part in slices(batch, "text", 2 << 20):
             values, begin = _shingles(part.column("text"))
@@ -112,7 +112,8 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sketch[k] = row.tobytes()
             names = pa.array(_name(values, begin).view(np.int64), mask=~full)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), names, pa.array(size.astype(np.int64)), pa.array(sketch, pa.binary())], ["doc", "set", "size", "sketch"])
+                [part.column("doc"), part.column("text_hash"), names, pa.array(size.astype(np.int64)), pa.array(sketch, pa.binary())],
+                ["doc", "text_hash", "set", "size", "sketch"])
 
 
 def _extend(bucket: np.ndarray, sketch: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -352,22 +353,12 @@ def _verify(similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
         [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (sets_out, links_out, roots_out)], ["set", "links", "root"])
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its id, ``class_id`` and ``n_links``.
-
-    Two rows are linked if the Jaccard similarity of their shingles is ``similarity`` or
-    more; a class is what links tie together, named by its least id, and ``n_links``
-    counts a row's links to other rows, copies included. Texts without words (null, empty,
-    blank) are linked with nothing and are classes of their own. Rows that repeat an id count
-    as rows. A row without an id takes no part: no class, no links. ``recall`` is the
-    chance that a link of exactly that similarity is found; others are found more often.
-    Other columns, whatever their names, are left out.
-    """
+def _decided(texts: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(doc, text_hash, set, …) of each row with an id, and (set, doc, root, class_id, n_links) of each set; ``doc`` is its least id."""
     if not 0.75 <= similarity <= 1.0:
         raise ValueError("sketches tell candidates apart for similarities from 0.75 on")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    marks = written(texts.where("doc IS NOT NULL").mapInArrow(_mark, "doc long, set long, size long, sketch binary"), "jaccard-marks")
+    marks = texts.where("doc IS NOT NULL").select("doc", F.xxhash64("text").alias("text_hash"), "text")
+    marks = written(marks.mapInArrow(_mark, "doc long, text_hash long, set long, size long, sketch binary"), "jaccard-marks")
     sets = marks.where("set IS NOT NULL").groupBy("set").agg(
         F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     sets = written(sets, "jaccard-sets")
@@ -384,13 +375,49 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     classes = components(forest, "jaccard-classes").select(F.col("node").alias("set"), "root")
     owner = sets.select("set", "doc", "copies").join(classes, "set", "left").withColumn("root", F.coalesce("root", "set"))
     named = owner.join(owner.groupBy(*apart("root")).agg(F.min("doc").alias("class_id")).drop("apart"), "root").join(links, "set", "left")
-    decided = written(named.select("set", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-decided")
-    out = marks.select("doc", "set").join(decided, "set", "left").select(
+    decided = named.select("set", "doc", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return marks, written(decided, "jaccard-decided")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its id, ``class_id`` and ``n_links``.
+
+    Two rows are linked if the Jaccard similarity of their shingles is ``similarity`` or
+    more; a class is what links tie together, named by its least id, and ``n_links``
+    counts a row's links to other rows, copies included. Texts without words (null, empty,
+    blank) are linked with nothing and are classes of their own. Rows that repeat an id count
+    as rows. A row without an id takes no part: no class, no links. ``recall`` is the
+    chance that a link of exactly that similarity is found; others are found more often.
+    Other columns, whatever their names, are left out.
+    """
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    marks, decided = _decided(texts, similarity, recall)
+    out = marks.select("doc", "set").join(decided.drop("doc", "root"), "set", "left").select(
         "doc", F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     lost = texts.where("doc IS NULL").select("doc", F.lit(None).cast("long"), F.lit(0).cast("long"))
     return out.union(lost).withColumnRenamed("doc", id_col)
 
 
+def without_copies(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` (``doc_id``, ``text``, any others), of each class one: that of its least id.
+
+    If that id stands for several texts of the class, one of them stays; its texts of other classes are
+    decided on by themselves. Rows that repeat an id and a text are one. Rows without an id or without words all stay, but
+    for repeated ones of an id.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    marks, decided = _decided(texts, similarity, recall)
+    keepers = decided.where("doc = class_id").groupBy(*apart("root")).agg(F.min("set").alias("keeper")).drop("apart")
+    gone = decided.join(keepers, "root").select("set", "class_id", "keeper")
+    gone = marks.where("set IS NOT NULL").select("doc", "text_hash", "set").join(gone, "set").where("doc <> class_id OR set <> keeper")
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"), held)
+    rows = rows.join(gone.select("doc", "text_hash").distinct(), ["doc", "text_hash"], "left_anti")
+    once = rows.where("doc IS NOT NULL").dropDuplicates(["doc", "text_hash"])
+    return once.unionByName(rows.where("doc IS NULL")).select("held.*")
+
+
 @query("op1_ngram_jaccard")
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies and its number of links."""

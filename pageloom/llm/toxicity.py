@@ -108,24 +108,25 @@ def features_of(text: str, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def _measure(lexicon: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measure(lexicon: Broadcast, dropped: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = lexicon.value
     for batch in batches:
         for part in slices(batch, "text"):
             texts = pc.fill_null(part.column("text"), "").to_pylist()
             grid = np.array([features_of(t, words) for t in texts], dtype=np.float64).reshape(-1, len(FEATURES))
-            keep = [k for k, name in enumerate(part.schema.names) if name != "text"]
+            keep = [k for k, name in enumerate(part.schema.names) if name != dropped]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(k) for k in keep), *(pa.array(grid[:, k]) for k in range(len(FEATURES)))],
                 [*(part.schema.names[k] for k in keep), *(f"f_{f}" for f in FEATURES)])
 
 
-def measured(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``rows`` with a column ``f_…`` for each feature instead of ``text``."""
+def measured(rows: DataFrame, lexicon: Lexicon, keep_text: bool = False) -> DataFrame:
+    """``rows`` with a column ``f_…`` for each feature, instead of ``text`` or beside it."""
     words = rows.sparkSession.sparkContext.broadcast(lexicon)
-    kept = [f for f in rows.schema.fields if f.name != "text"]
+    dropped = "" if keep_text else "text"
+    kept = [f for f in rows.schema.fields if f.name != dropped]
     schema = T.StructType([*kept, *(T.StructField(f"f_{f}", T.DoubleType()) for f in FEATURES)])
-    return rows.mapInArrow(partial(_measure, words), schema)
+    return rows.mapInArrow(partial(_measure, words, dropped), schema)
 
 
 def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,28 +218,35 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, calibrate: Column, sa
     return Model(lexicon, trees, calibration, bad / n)
 
 
+def _scored(rows: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """``rows`` (columns c0, c1, …, and text) with ``score`` and ``predicted``."""
+    kept = [c for c in rows.columns if keep_text or c != "text"]
+    if model.trees is None:
+        scored = rows.withColumn("score", F.lit(float(model.share)))
+    else:
+        scored = _margin(model.trees, _assembled(measured(rows, model.lexicon, keep_text)))
+        scored = model.calibration.transform(scored).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction_calibrated"))))
+    return scored.select(*kept, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without ``text_col`` and with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
     Null and empty texts are scored like any text without words. Only the text is looked
-    at. Without trees every text gets the share of toxic rows.
+    at. Other columns stay, whatever their names; those called ``score`` or ``predicted`` are
+    replaced. Without trees every text gets the share of toxic rows.
     """
-    if text_col != "text":
-        docs = docs.withColumnRenamed(text_col, "text")
-    names = [c for c in docs.columns if c != "text"]
-    if model.trees is None:
-        scored = docs.withColumn("score", F.lit(float(model.share)))
-    else:
-        scored = _margin(model.trees, _assembled(measured(docs, model.lexicon)))
-        scored = model.calibration.transform(scored).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction_calibrated"))))
-    return scored.select(*names, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    names = [c for c in docs.columns if c not in (text_col, "score", "predicted")]
+    held = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]
+    scored = _scored(docs.select(*held, F.col(f"`{text_col}`").alias("text")), model)
+    return scored.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], "score", "predicted")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model predicts 0 for, with the columns they came with."""
-    held = F.struct(*[F.col(c) for c in docs.columns]).alias("held")
-    scored = score(docs.select(held, F.col("text")), model)
-    return scored.where(F.col("predicted") == 0).select("held.*")
+    names = {c: "text" if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)}
+    scored = _scored(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), model, keep_text=True)
+    return scored.where(F.col("predicted") == 0).select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def _fold() -> Column:

@@ -55,6 +55,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[
     for low, high in zip(cuts, cuts[1:]):
         if high > low:
             yield batch.slice(low, high - low)
+    pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def words_of(texts: pa.Array, between: np.ndarray = WHITE) -> Words:

@@ -119,3 +119,18 @@ def test_words_on_which_polynomials_agree(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(docs).collect()}
     assert got == {1: (1, 1), 2: (2, 0), 3: (1, 1)}
+
+
+def test_one_of_each_class_stays(spark, odd_docs):
+    base = " ".join(f"w{k}" for k in range(60))
+    near = base + " more"
+    alone = " ".join(f"v{k}" for k in range(60))
+    rows = [(1, base), (2, near), (2, alone), (3, base), (3, None), (4, near + " again"), (4, near + " and again"), (5, ""), (5, ""), (None, base), (None, base), (1, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS doc", "2 AS text_hash", "3 AS set", "4 AS held")
+    left = jaccard.without_copies(docs)
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect())
+    first = [t for d, t in got if d == 1]
+    assert len(first) == 1 and first[0] in (base, near)
+    assert [x for x in got if x[0] != 1] == [(0, base), (0, base), (2, alone), (3, ""), (5, "")]
+    assert jaccard.without_copies(odd_docs).count() == odd_docs.count() - 3

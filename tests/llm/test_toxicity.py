@@ -52,3 +52,15 @@ def test_without_labels_or_with_one_only(spark, odd_docs, empty_docs):
     one = spark.createDataFrame([(k, 1) for k in range(1, 9)], "doc_id long, toxic int")
     assert toxicity.fit_tables(odd_docs, one).trees is None
     assert toxicity.fit_tables(empty_docs, one).trees is None
+
+
+def test_scores_with_columns_of_any_name(spark, odd_docs, model):
+    docs = odd_docs.selectExpr("*", "1 AS features", "2 AS margin", "3 AS predicted", "4 AS c0", "5 AS f_lean", "6 AS probability", "7 AS rawPrediction")
+    scored = toxicity.score(docs, model)
+    assert scored.columns == [c for c in docs.columns if c not in ("text", "score", "predicted")] + ["score", "predicted"]
+    rows = scored.collect()
+    assert len(rows) == docs.count() and all((r["features"], r["margin"], r["c0"], r["f_lean"], r["probability"]) == (1, 2, 4, 5, 6) for r in rows)
+    plain = sorted(r["score"] for r in toxicity.score(docs.select("doc_id", "text"), model).collect())
+    assert sorted(r["score"] for r in rows) == plain
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
