@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pageloom.llm import bpe, decontaminate, jaccard, secret_scan, toxicity
 from pageloom.session import written
@@ -23,10 +22,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the least id, once if its row is repeated."""
-    classes = jaccard.near_duplicates(docs).where("class_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id", "left_anti").withColumn("_text_hash", F.xxhash64("text"))
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).select(*docs.columns)
+    """One document of each class of near copies: the one with the least id, once if its row is repeated.
+
+    An id that stands for several texts loses only those of them that are copies.
+    """
+    return jaccard.without_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
