@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,11 +135,23 @@ def _words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of one value, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``rows`` with a column that is computed once for each row; later filters on it are not worked into it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _bigrams(text: Column) -> Column:
     """The distinct pairs of neighbouring words."""
-    words = _words(text)
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(pairs)
+    def pairs(words: Column) -> Column:
+        firsts = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+        return F.array_distinct(F.zip_with(firsts, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b)))
+
+    return _bound(_words(text), pairs)
 
 
 def _needed(size: int, dice: float) -> int:
@@ -195,13 +208,15 @@ def _runs(docs: DataFrame, long: DataFrame, dice: float) -> DataFrame:
     Of runs that overlap, and are like templates of similar size, the best counts, and the shortest and first of equals;
     one that holds a paragraph or line that is no less like the template does not count.
     """
-    met = docs.join(F.broadcast(long), F.size(F.array_intersect("vocabulary", "words")) >= F.col("held")).drop("words")
-    met = met.where(_shared(_bigrams(F.col("text")), F.col("pairs")) >= F.col("need")).withColumn("key", F.sha2("text", 256))
-    met = met.dropDuplicates(["id", "key", "nth"]).withColumn("ps", F.split("text", PARTED)).where(F.size("ps") > 1).drop("text")
-    own = F.transform("ps", _bigrams)
-    met = met.withColumn("member", F.transform(own, lambda b: (F.size(b) > 0) & (_shared(b, F.col("pairs")) >= F.size(b) * F.lit(dice / 2))))
+    docs = _once(docs.withColumn("ps", F.split("text", PARTED)).where(F.size("ps") > 1).withColumn("key", F.sha2("text", 256)), _bigrams(F.col("text")), "of_text")
+    # what a paragraph is made of does not depend on the template
+    docs = _once(docs, F.transform("ps", _bigrams), "own")
     count = F.transform("ps", lambda p: F.size(F.filter(_words(p), lambda w: w != "")))
-    met = met.withColumn("upto", F.aggregate(count, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))))
+    docs = _once(docs.drop("text"), F.aggregate(count, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))), "upto")
+    met = docs.join(F.broadcast(long), F.size(F.array_intersect("vocabulary", "words")) >= F.col("held")).drop("words")
+    met = met.where(_shared(F.col("of_text"), F.col("pairs")) >= F.col("need")).drop("of_text").dropDuplicates(["id", "key", "nth"])
+    members = F.transform("own", lambda b: (F.size(b) > 0) & (_shared(b, F.col("pairs")) >= F.size(b) * F.lit(dice / 2)))
+    met = _once(met, members, "member").drop("own")
 
     def member(i: Column) -> Column:
         return F.coalesce(F.get("member", i), F.lit(False))
@@ -217,14 +232,15 @@ def _runs(docs: DataFrame, long: DataFrame, dice: float) -> DataFrame:
     found = F.flatten(F.transform("begin", lambda a: F.transform(F.filter("end", lambda b: fits(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
     whole = F.filter(F.array(F.struct(F.lit(0).alias("a"), last.alias("b"))), lambda r: fits(r["a"], r["b"]))
     met = met.withColumn("r", F.explode(F.array_distinct(F.concat(found, whole)))).select("*", "r.a", "r.b")
-    met = met.withColumn("ps", F.slice("ps", F.col("a") + 1, F.col("b") - F.col("a") + 1)).withColumn("run", _bigrams(F.array_join("ps", "\n\n")))
+    met = met.withColumn("ps", F.slice("ps", F.col("a") + 1, F.col("b") - F.col("a") + 1))
+    met = _once(met, _bigrams(F.array_join("ps", "\n\n")), "run")
 
     def alike(pairs: Column) -> Column:
         return F.lit(2.0) * _shared(pairs, F.col("pairs")) / (F.size(pairs) + F.col("size"))
 
-    met = met.withColumn("dice", alike(F.col("run"))).where(F.col("dice") >= dice)
+    met = _once(met, alike(F.col("run")), "dice").where(F.col("dice") >= dice)
     units = F.concat(F.col("ps"), F.split(F.array_join("ps", "\n"), "\n"))
-    met = met.where(F.col("dice") > F.array_max(F.transform(units, lambda u: alike(_bigrams(u)))))
+    met = _once(met, F.array_max(F.transform(units, lambda u: _bound(_bigrams(u), alike))), "best_unit").where(F.col("dice") > F.col("best_unit"))
     met = met.groupBy("id", "key").agg(F.collect_list(F.struct((-F.col("dice")).alias("less"), (F.col("b") - F.col("a") + 1).alias("k"), "a", "license", "nth", "b", "size")).alias("all"))
     best = F.filter("all", lambda x: ~F.exists("all", lambda y: (y < x) & (y["a"] <= x["b"]) & (y["b"] >= x["a"]) & (y["size"] * 2 >= x["size"])))
     return met.select("id", F.explode(best).alias("x")).select("id", F.col("x.a").alias("paragraph"), (-F.col("x.k")).alias("line"), "x.license", (-F.col("x.less")).alias("dice")).distinct()
@@ -237,7 +253,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
     Paragraphs are parted by empty lines and counted from 0, lines within them too; ``line``
     is -1 for a paragraph of several lines as a whole, and -k for a run of k paragraphs from that one on. Of several templates the best one counts,
     of equally good ones the first license by name. A null or empty text, and a unit of one word, is like none. Rows that repeat
-    an id give their matches once. Other columns, whatever their names, are left out.
+    an id give their matches once; of several texts of one id the best match of a place counts. Other columns, whatever their names, are left out.
     """
     spark = docs.sparkSession
     known = spark.createDataFrame([(k, n, t) for k, (n, t) in enumerate(templates)], "nth int, license string, body string")
@@ -253,26 +269,27 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, di
              *_vocabulary(r["pairs"], dice)) for r in long]
     need = min((r[4] for r in rows), default=high + 1)
     vocabulary = F.array(*[F.lit(w) for w in sorted(set().union(*(r[6] for r in rows)))]).cast("array<string>")
-    docs = docs.withColumn("words", F.array_distinct(_words(F.col("text"))))
-    docs = docs.withColumn("legal", _shared(vocabulary, F.col("words")) >= min((r[7] for r in rows), default=0))
+    docs = _once(docs, F.array_distinct(_words(F.col("text"))), "words")
+    docs = _once(docs, _shared(vocabulary, F.col("words")) >= min((r[7] for r in rows), default=0), "legal")
     legal = docs.where("legal").select("id", "text", "words")
     runs = _runs(legal, spark.createDataFrame(rows, "nth int, license string, pairs array<string>, size int, need int, most int, vocabulary array<string>, held int"), dice)
     known = spark.createDataFrame([(r["nth"], r["license"], r["pairs"], len(r["pairs"])) for r in known], "nth int, license string, pairs array<string>, size int")
     known = known.select("nth", "license", "size", F.explode("pairs").alias("pair"))
-    paragraphs = docs.where(short_signal | F.col("legal")).select("id", "legal", F.posexplode(F.split("text", PARTED)).alias("paragraph", "body"))
+    # texts of one id are told apart: what two of them share with a template does not add up
+    paragraphs = docs.where(short_signal | F.col("legal")).select("id", F.xxhash64("text").alias("key"), "legal", F.posexplode(F.split("text", PARTED)).alias("paragraph", "body"))
     lines = F.split("body", "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("body").alias("unit"))))
     none = F.array().cast("array<struct<line:int,unit:string>>")
-    units = paragraphs.select("id", "legal", "paragraph", F.explode(F.concat(
+    units = paragraphs.select("id", "key", "legal", "paragraph", F.explode(F.concat(
         F.coalesce(whole, none), F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("unit"))))).alias("u"))
     # a bigram takes three characters at least
-    units = units.select("id", "legal", "paragraph", "u.line", F.col("u.unit").alias("text")).where(F.length("text") >= F.lit(3))
+    units = units.select("id", "key", "legal", "paragraph", "u.line", F.col("u.unit").alias("text")).where(F.length("text") >= F.lit(3))
     # a bigram more takes a word of one character and a sign at least
-    units = units.where(short_signal | (F.col("legal") & (F.length("text") > 2 * need))).select("id", "paragraph", "line", _bigrams(F.col("text")).alias("pairs"))
-    units = units.withColumn("n", F.size("pairs")).where(F.col("n").between(low, high))
-    pairs = units.select("id", "paragraph", "line", "n", F.explode("pairs").alias("pair"))
+    units = units.where(short_signal | (F.col("legal") & (F.length("text") > 2 * need)))
+    units = _once(units, _bigrams(F.col("text")), "pairs").select("id", "key", "paragraph", "line", "pairs", F.size("pairs").alias("n")).where(F.col("n").between(low, high))
+    pairs = units.select("id", "key", "paragraph", "line", "n", F.explode("pairs").alias("pair"))
     met = pairs.join(F.broadcast(known), "pair").where((F.col("n") >= F.col("size") * least - 1e-9) & (F.col("n") <= F.col("size") * most + 1e-9))
-    shared = met.groupBy("id", "paragraph", "line", "n", "nth", "license", "size").agg(F.countDistinct("pair").alias("shared"))
+    shared = met.groupBy("id", "key", "paragraph", "line", "n", "nth", "license", "size").agg(F.countDistinct("pair").alias("shared"))
     alike = shared.withColumn("dice", F.lit(2.0) * F.col("shared") / (F.col("n") + F.col("size"))).where(F.col("dice") >= dice)
     best = alike.groupBy("id", "paragraph", "line").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("b"))
     best = best.select("id", "paragraph", "line", "b.license", (-F.col("b.less")).alias("dice")).union(runs)

@@ -99,3 +99,17 @@ def test_odd_rows(spark, odd_docs, empty_docs):
 def test_no_python_in_the_plan(spark, sf):
     plan = licenses.op3_licenses(spark, sf)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "ArrowEval", "MapInArrow"))
+
+
+def test_texts_of_one_id_do_not_add_up(spark):
+    text = "This work is licensed under the GNU Lesser General Public License, version 3."
+    words = text.split()
+    halves = [" ".join(words[:7] + ["x"] * 5), " ".join(["y"] * 6 + words[6:])]
+    docs = spark.createDataFrame([(1, halves[0]), (1, halves[1]), (2, text), (2, halves[0]), (2, text)], "doc_id long, text string")
+    assert all(not brute(h) for h in halves)
+    assert [tuple(r) for r in licenses.scan(docs).collect()] == [(2, 0, 0, "LGPL-3.0", 1.0)]
+
+
+def test_words_are_made_once(spark, sf):
+    plan = licenses.op3_licenses(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 12 and "Python" not in plan
