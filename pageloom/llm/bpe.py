@@ -32,8 +32,31 @@ from pageloom.llm.words import slices
 #: Pieces of text between white space whose encoding a task remembers; beyond that it forgets all and goes on.
 MEMORY = 400_000
 
+#: What the tokenizer library does not know yet of the character tables that Python's modules have. Letters and
+#: numbers that are signs to it, and marks that it neither sorts nor joins with others; ranges of code points.
+LATER_LETTERS = (
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a "
+    "11db0-11ddb 11df1 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168 "
+    "1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e "
+    "2cea2-2cead 323b0-33479 3d000-3fc3f")
+LATER_NUMBERS = "11de0-11de9 1246f 12475-1247f 12550-12686 16ff4-16ff6"
+LATER_MARKS = (
+    "7fd 898-89f 8ca-8d3 9fe c3c d3b-d3c eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac 10efd-10eff 10f46-10f50 10f82-10f85 11070 1133b "
+    "1145e 11839-1183a 11930 1193d-1193e 11943 119e0 11a34 11a47 11a99 11d42 11d44-11d45 11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae "
+    "1e2ec-1e2ef 1e4ec-1e4ef")
+#: Capitals that the library knows and Python's tables do not, each with its distance to the small letter.
+LATER_CAPITALS = {0x1C89: 1, 0xA7CB: 0x264 - 0xA7CB, 0xA7DC: 0x19B - 0xA7DC, **dict.fromkeys((0xA7CC, 0xA7CE, 0xA7D2, 0xA7D4, 0xA7DA), 1),
+                  **dict.fromkeys(range(0x10D50, 0x10D66), 0x20), **dict.fromkeys(range(0x16EA0, 0x16EB9), 0x1B)}
+
+
+def _ranges(text: str) -> str:
+    """Ranges of code points as a pattern has them."""
+    return "".join("-".join(f"\\U{int(end, 16):08x}" for end in part.split("-")) for part in text.split())
+
+
+_LETTER, _NUMBER = rf"[\p{{L}}--[{_ranges(LATER_LETTERS)}]]", rf"[\p{{N}}--[{_ranges(LATER_NUMBERS)}]]"
 #: The word pattern, the end-of-word mark and the byte alphabet of the tokenizer format.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PATTERN = rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|{_NUMBER}|[^\s{_LETTER}{_NUMBER}]+"
 WORD_END = "</w>"
 #: The end of a word among its bytes, the rank of a pair that never merges, and the bytes up to which words are done in rows.
 END, NEVER, WIDE = 256, np.iinfo(np.int64).max, 128
@@ -304,11 +327,21 @@ class Merges:
         return [flat[low:high] for low, high in zip([0, *ends], ends)]
 
 
+_MARKS = regex.compile(f"([{_ranges(LATER_MARKS)}])")
+_CAPITALS = regex.compile("[" + "".join(map(chr, LATER_CAPITALS)) + "]")
+_SMALL = {c: c + far for c, far in LATER_CAPITALS.items()}
+
+
 def _normal(text: str) -> str:
     """Composed form, then lower case letter by letter (a sigma does not look at its neighbours)."""
     if text.isascii():
         return text.lower()
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    if _MARKS.search(text):  # nothing is sorted or joined across what the library does not know
+        text = "".join(unicodedata.normalize("NFC", part) if k % 2 == 0 else part for k, part in enumerate(_MARKS.split(text)))
+    else:
+        text = unicodedata.normalize("NFC", text)
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(_SMALL) if _CAPITALS.search(text) else text
 
 
 class Coder:

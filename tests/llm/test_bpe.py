@@ -66,3 +66,17 @@ def test_odd_rows(spark, odd_docs, empty_docs):
     assert len(rows) == odd_docs.count()
     assert [(r["ids"], r["decoded"]) for r in rows if r["doc_id"] in (2, 3, 4)] == [([], "")] * 3
     assert bpe.digest(bpe.encode(empty_docs, bpe.tokenizer_path())).collect() == []
+
+
+def test_every_code_point(library):
+    """Between letters, doubled, and with marks on both sides, all at once: as the library has it."""
+    coder = bpe.Coder(bpe.Merges(open(bpe.tokenizer_path(), encoding="utf-8").read()))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x34000 or c % 101 == 0 or 0xE0000 <= c < 0xE0200)]
+    for low in range(0, len(points), 2_000):
+        some = [chr(c) for c in points[low : low + 2_000]]
+        texts = [f"a{c}b {c}{c} 1{c}2 x\u0301{c}\u0316 y\u0316{c}\u0301" for c in some]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        got = coder.encode(texts)[0].to_pylist()
+        assert got == want, [hex(ord(c)) for c, g, w in zip(some, got, want) if g != w]
+    pair = "\U00011935\U00011930"
+    assert coder.encode([pair])[0].to_pylist() == [library.encode(pair, add_special_tokens=False).ids]
