@@ -3,8 +3,10 @@
 Every vector of a shard is projected on some random directions, and each direction keeps its
 values in one sorted array. A query opens a window around its own value in every array and
 widens all of them step by step, which is virtual rehashing: nothing is hashed again, the
-windows only take in more of each array. A vector collides once for every window that holds it;
-when enough vectors have reached the collision threshold, those are verified by their cosine.
+windows only take in more of each array. A vector collides once for every window that holds it,
+and is verified by its cosine when it reaches the collision threshold. The distance of two
+vectors tells how their projections differ, so a query stops at the width at which a vector as near as
+the last of its best ones so far would most likely have reached the threshold.
 
 A shard is indexed whole and answers all queries, in blocks, so a task holds one shard and one
 block. Every block meets every shard: the work is the product of queries and rows, of which
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -26,60 +29,85 @@ from pageloom.llm.registry import query, table
 
 #: Projections, and the share of their windows that a vector must lie in to be verified.
 PROJECTIONS, THRESHOLD = 96, 0.7
-#: A query widens its windows until this share of a shard has reached the threshold, and this many vectors at least.
-VERIFIED, LEAST_VERIFIED = 0.25, 256
+#: The chance that a vector as near as the last of the best ones has reached the threshold when a query stops.
+SURE = 0.9
 #: The first window's half width, in standard deviations of a projection, and the factor of each step.
-WIDTH, WIDER = 0.3, 1.15
+WIDTH, WIDER = 0.3, 1.2
 #: Vectors of a shard and queries of a block.
 SHARD, BLOCK = 8_192, 4_096
 
 
+def reach(projections: int = PROJECTIONS, threshold: float = THRESHOLD, sure: float = SURE) -> float:
+    """The half width, in units of two vectors' distance, at which they share enough windows with the chance ``sure``."""
+    normal = NormalDist()
+    need, low, high = np.ceil(threshold * projections) - 0.5, 0.0, 1.0
+    for _ in range(60):
+        p = (low + high) / 2
+        enough = projections * p - normal.inv_cdf(sure) * np.sqrt(projections * p * (1 - p)) >= need
+        low, high = (low, p) if enough else (p, high)
+    return normal.inv_cdf((1 + high) / 2) if high < 1 else np.inf
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, each times a power of two that brings its largest component near 1: squares neither vanish nor overflow, and no digit changes."""
+    if not vectors.size:
+        return vectors
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 class Shard:
     """The sorted projections of some vectors of one dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = 11):
-        self.ids, self.vectors = ids, vectors
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.ids, self.vectors = ids, _scaled(vectors)
+        self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
         dim = vectors.shape[1]
         self.axes = np.random.default_rng([seed, dim]).standard_normal((dim, PROJECTIONS))
-        values = (vectors / self.norms[:, None]) @ self.axes
+        values = (self.vectors / self.norms[:, None]) @ self.axes
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(values.T, self.order, axis=1)
+        self.verified = 0
 
     def nearest(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, vector, cosine) of the ``k`` nearest of the vectors that are verified for each query."""
-        count = len(self.ids)
+        vectors = _scaled(vectors)
         norms = np.sqrt((vectors * vectors).sum(axis=1))
         places = (vectors / norms[:, None]) @ self.axes
-        need = int(np.ceil(THRESHOLD * PROJECTIONS))
-        enough = min(count, max(LEAST_VERIFIED, k + 1 + int(VERIFIED * count)))
+        need, factor = int(np.ceil(THRESHOLD * PROJECTIONS)), reach()
         out = []
-        low, high, found, hits = None, None, [None] * len(ids), np.zeros((len(ids), count), dtype=np.int16)
-        width, live = WIDTH, np.arange(len(ids))
-        while len(live):
-            new_low = np.stack([np.searchsorted(self.sorted[j], places[live, j] - width) for j in range(PROJECTIONS)], axis=1)
-            new_high = np.stack([np.searchsorted(self.sorted[j], places[live, j] + width, "right") for j in range(PROJECTIONS)], axis=1)
-            for n, q in enumerate(live.tolist()):
-                if low is None:
-                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low[n], new_high[n]))]
-                else:
-                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low[n], low[n]))]
-                    parts += [self.order[j, a:b] for j, (a, b) in enumerate(zip(high[n], new_high[n]))]
-                hits[q] += np.bincount(np.concatenate(parts), minlength=count).astype(np.int16)
-                reached = np.flatnonzero(hits[q] >= need)
-                if len(reached) >= enough:
-                    found[q] = reached
-            going = np.array([found[q] is None for q in live.tolist()], dtype=bool)
-            live, low, high = live[going], new_low[going], new_high[going]
-            width *= WIDER
-        for q, reached in enumerate(found):
-            reached = reached[self.ids[reached] != ids[q]]
-            # row by row, so that equal vectors get equal sums and ties stay ties
-            cosine = (self.vectors[reached] * vectors[q]).sum(axis=1) / (self.norms[reached] * norms[q])
-            best = np.lexsort((self.ids[reached], -cosine))[:k]
-            out += [(int(ids[q]), int(self.ids[reached[b]]), float(cosine[b])) for b in best.tolist()]
+        for q in range(len(ids)):
+            best = self._best(int(ids[q]), vectors[q], norms[q], places[q], k, need, factor)
+            out += [(int(ids[q]), int(self.ids[v]), cosine) for v, cosine in best]
         return out
 
+    def _best(self, own: int, vector: np.ndarray, norm: float, place: np.ndarray, k: int, need: int, factor: float) -> list[tuple[int, float]]:
+        hits = np.zeros(len(self.ids), dtype=np.int64)
+        known, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
+        low = high = None
+        width, done = WIDTH, np.zeros(len(self.ids), dtype=bool)
+        while True:
+            new_low = np.array([np.searchsorted(self.sorted[j], place[j] - width) for j in range(PROJECTIONS)])
+            new_high = np.array([np.searchsorted(self.sorted[j], place[j] + width, "right") for j in range(PROJECTIONS)])
+            if low is None:
+                parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low, new_high))]
+            else:
+                parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low, low))] + [self.order[j, a:b] for j, (a, b) in enumerate(zip(high, new_high))]
+            hits += np.bincount(np.concatenate(parts), minlength=len(hits))
+            whole = bool((new_low == 0).all() and (new_high == len(hits)).all())
+            reached = np.flatnonzero(((hits >= need) | whole) & ~done)
+            done[reached] = True
+            reached = reached[self.ids[reached] != own]
+            # row by row, so that equal vectors get equal sums and ties stay ties
+            cosines = np.concatenate([cosines, (self.vectors[reached] * vector).sum(axis=1) / (self.norms[reached] * norm)])
+            known = np.concatenate([known, reached])
+            self.verified += len(reached)
+            far = factor * np.sqrt(2.0 * max(0.0, 1.0 - np.partition(cosines, -k)[-k])) if len(known) >= k else np.inf
+            if whole or width >= far:
+                best = np.lexsort((self.ids[known], -cosines))[:k]
+                return [(int(known[b]), float(cosines[b])) for b in best.tolist()]
+            low, high = new_low, new_high
+            width = min(width * WIDER, far)
+
 
 def _answer(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, "key"):
@@ -91,8 +119,7 @@ def _answer(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         shard = Shard(ids[~asks], vectors[~asks])
         rows: list[tuple[int, int, float]] = []
         queries = np.flatnonzero(asks)
-        for some in np.array_split(queries, len(queries) // 256 + 1):  # the counts of some queries at a time
-            rows += shard.nearest(ids[some], vectors[some], k)
+        rows += shard.nearest(ids[queries], vectors[queries], k)
         query_id, vec_id, score = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(query_id, pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
 
@@ -108,7 +135,8 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 5, id_col: str = "vec_id"
     ``asks`` is a condition on the column ``id``. Candidates are all rows but those with the
     query's id. Vectors that are null, empty, zero, or hold null or non-finite numbers take no
     part, nor do rows without an id; vectors of different length are not compared. Of rows
-    that repeat an id the least vector counts. Ties go to the smaller id.
+    that repeat an id the least vector counts. Ties go to the smaller id. Components may be as small or large as a
+    number can be.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & _usable(F.col("vector"))).groupBy("id").agg(F.min("vector").alias("vector"))
