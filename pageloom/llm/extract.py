@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
-Elements that are never part of an article are left out while the page is read. Those whose name
-alone speaks against them are read, and left out after that unless they hold the article or most
-of the text; if little is left, the names are not asked. Each block of
+Elements that are never part of an article are left out while the page is read. Those whose kind or
+name alone speaks against them, such as forms, asides and what is hidden, are read, and left out after that unless they
+hold the article or most of the text; if little is left, the names are not asked. Each block of
 text that is left gives points for its length and its commas to its container, half of them to
 the next one above and less further up; a container's points are discounted by the share of its
 text that is in links. The best container, or the article element around it, is kept together
@@ -38,9 +38,13 @@ CLOSES = {
 CLOSES = {tag: (frozenset(ends.split()), stops) for tag, (ends, stops) in CLOSES.items()}
 #: Elements and roles that hold no article text.
 LEFT_OUT = frozenset(
-    "head title script style noscript template iframe svg canvas object audio video map nav footer aside form button select textarea input fieldset "
-    "dialog menu applet annotation annotation-xml".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+    "head title script style noscript template iframe svg canvas object audio video map nav footer button select textarea input "
+    "menu applet annotation annotation-xml".split())
+ROLES = frozenset("navigation contentinfo search alert menu menubar toolbar".split())
+#: Elements and roles that seldom hold article text but may stand around all of it, and those of which that is usual.
+AROUND_ALL = frozenset("form fieldset aside dialog header".split())
+ROLES_AROUND = frozenset("banner complementary dialog alertdialog form".split())
+USUAL = frozenset(("form", "fieldset"))
 #: Words in class and id names that tell what a container is for.
 UNLIKELY = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adbox|adslot|banner|breadcrumb|breadcrumbs|combx|comment|comments|commentlist|"
@@ -78,7 +82,7 @@ class _Page(HTMLParser):
     def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
         self.by_name = by_name
-        self.against: dict[int, bool] = {}  # elements whose name speaks against them, and whether it speaks for them, too
+        self.against: dict[int, bool] = {}  # elements whose kind or name speaks against them, and whether it leaves room
         self.mains: list[int] = []  # main and article elements
         self.only: set[int] = set()  # main elements
         self.tags, self.parent, self.first, self.last, self.bonus = ["#page"], [-1], [0], [0], [0.0]
@@ -138,20 +142,34 @@ class _Page(HTMLParser):
                             self._pop()
                         break
 
+    def _hidden(self, attrs: dict[str, str | None]) -> bool:
+        if "hidden" in attrs or attrs.get("aria-hidden") == "true":
+            return True
+        return "none" in (style := (attrs.get("style") or "").lower()) and re.search(r"display\s*:\s*none", style) is not None
+
     def _left_out(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag in LEFT_OUT or (tag == "header" and not self.open["article"]):
+        if tag in LEFT_OUT:
             return True
         if not attrs or tag in ("html", "body"):
             return False
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or (attrs.get("role") or "").strip().lower() in ROLES:
-            return True
-        if "none" in (style := (attrs.get("style") or "").lower()) and re.search(r"display\s*:\s*none", style):
+        if (attrs.get("role") or "").strip().lower() in ROLES:
             return True
-        return tag in INLINE and self._against(tag, attrs) is not None
+        if tag in INLINE or tag in ("article", "main", "h1"):
+            return self._hidden(attrs) or self._against(tag, attrs) is not None
+        return False
 
     def _against(self, tag: str, attrs: dict[str, str | None]) -> bool | None:
-        """None, or whether a name that speaks against the element speaks for it, too."""
-        if not self.by_name or not attrs or tag in ("html", "body", "article", "main", "h1"):
+        """None, or whether a kind or name that speaks against the element leaves room for it to hold the article without saying so."""
+        if tag in AROUND_ALL and not (tag == "header" and self.open["article"]):
+            return tag in USUAL
+        if not attrs or tag in ("html", "body", "article", "main", "h1"):
+            return None
+        role = (attrs.get("role") or "").strip().lower()
+        if role in ROLES_AROUND:
+            return role in USUAL
+        if self._hidden(attrs):
+            return False
+        if not self.by_name:
             return None
         named = STATE.sub("", _CAMEL.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower())
         return _likely(named) if UNLIKELY.search(named) else None
@@ -244,10 +262,10 @@ class _Page(HTMLParser):
 
 
     def leave_out(self) -> int:
-        """Leave out the elements that names speak against; returns the characters in long blocks that go.
+        """Leave out the elements that kinds and names speak against; returns the characters in long blocks that go.
 
         While no main or article element is left, one stays if it holds the main element, or most of the text and
-        either a single article element or a name that speaks for it, too. Text under such a name is not counted for it.
+        either a single article element or a kind or name that leaves room for that. Text under such a name is not counted for it.
         """
         if not self.against:
             return 0

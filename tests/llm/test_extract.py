@@ -88,3 +88,57 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' AS text", "1 AS k0")
     assert sorted((r["page_id"] or 0, r["text"]) for r in extract.extract(pages).collect()) == [(0, LONG), (1, ""), (2, ""), (2, "")]
     assert extract.extract(pages.where("false")).collect() == []
+
+
+FIVE = "".join(f"<p>{LONG} Number {k}.</p>" for k in range(5))
+FIVE_TEXT = "\n\n".join(f"{LONG} Number {k}." for k in range(5))
+
+
+@pytest.mark.parametrize("around", [
+    "<body><form id=aspnetForm action=x><input name=v>{}<button>Send</button></form></body>", "<body><form><fieldset>{}</fieldset></form></body>",
+    "<body><header>{}</header></body>", "<body><aside>{}</body>", "<div hidden>{}</div>", "<div style='display: none'>{}</div>", "<dialog open>{}</dialog>",
+    "<div role=form>{}</div>", "<div role=complementary>{}</div>", "<div aria-hidden=true>{}</div>",
+])
+def test_wrappers_of_every_kind(around):
+    noise = f"<nav><a href=1>{LONG}</a></nav><footer><p>{LONG}</p></footer><form><p>Sign up to our letter, it is free, and you can leave it.</p><input></form>"
+    for holder in ("article", "main"):
+        page = around.format(f"<{holder}>{FIVE}</{holder}>{noise}")
+        assert extract.main_text(page) == FIVE_TEXT, page
+    if "form" in around:
+        assert extract.main_text(around.format(f"<div id=top><a href=1>Home</a></div><div class=content>{FIVE}</div>")) == FIVE_TEXT
+
+
+def test_small_forms_and_asides_go():
+    form = "<form><p>Write what you think of it, we read all of it, and we may answer you.</p><textarea>x</textarea></form>"
+    aside = f"<aside><p>{LONG}</p></aside>"
+    hidden = f"<div hidden><p>{LONG} Not seen.</p></div>"
+    for page in (f"<article>{FIVE}{form}{aside}{hidden}</article>", f"<div id=content>{FIVE}</div>{form}{aside}{hidden}", f"{aside}{form}{hidden}<main>{FIVE}</main>",
+                 f"<form id=page>{aside}<div>{FIVE}</div>{hidden}</form>"):
+        assert extract.main_text(page) == FIVE_TEXT, page
+
+
+def test_pages_put_together_at_random():
+    """Known paragraphs in containers of many kinds, with known noise round them: the paragraphs come back, and nothing else."""
+    draw = random.Random(8)
+    words = "time year people way day man thing woman life child world school state family student group country problem hand part place case".split()
+
+    def sentence():
+        return " ".join(draw.choice(words) for _ in range(draw.randint(9, 20))).capitalize() + ", " + draw.choice(words) + "."
+
+    holders = ["<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>", "<div id=post-7><section>{}</section></div>", "<table><tr><td>{}</td></tr></table>",
+               "<section class='entry'>{}</section>"]
+    wraps = ["{}", "<div>{}</div>", "<form id=f>{}</form>", "<div class='page-wrapper'><div class=inner>{}</div></div>", "<div class='has-sidebar'>{}</div>"]
+    for n in range(300):
+        own = [" ".join(sentence() for _ in range(draw.randint(2, 5))) for _ in range(draw.randint(4, 9))]
+        body = "".join(f"<p>{draw.choice(['', '<b>'])}{p}" + draw.choice(["</p>", "</p>\n  "]) for p in own)
+        noise = [
+            "<nav><ul>" + "".join(f"<li><a href=/{k}>{draw.choice(words)}</a>" for k in range(8)) + "</ul></nav>", f"<aside><p>{sentence()}</p></aside>",
+            f"<footer><p>{sentence()}</p></footer>", f"<div class=comments><p>{sentence()}</p><p>{sentence()}</p></div>", f"<div class='cookie-notice'>{sentence()}</div>",
+            "<div class=links>" + "".join(f"<a href=/{k}>{sentence()}</a>" for k in range(3)) + "</div>", f"<form class=search><label>{sentence()}</label><input></form>",
+            f"<script>var x = '{sentence()}';</script>", f"<div style='display:none'>{sentence()}</div>",
+        ]
+        draw.shuffle(noise)
+        cut = draw.randint(0, len(noise))
+        page = "".join(noise[:cut]) + draw.choice(holders).format(body) + "".join(noise[cut:])
+        page = f"<html><head><title>{sentence()}</title></head><body>{draw.choice(wraps).format(page)}</body></html>"
+        assert extract.main_text(page) == "\n\n".join(own), (n, page)
