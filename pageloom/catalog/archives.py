@@ -97,13 +97,18 @@ ARCHIVES = 8
 _MADE: dict[tuple[str, str, str], tuple[str, list[str]]] = {}
 
 
+def _there(paths: list[str]) -> bool:
+    """Whether nobody has cleared the folder in the meantime."""
+    return all(system.get_file_info(inner).is_file for system, inner in map(file_system, paths))
+
+
 def crawl_archives(spark: SparkSession, sf_dir: str, spoilt: str = "false") -> tuple[str, list[str]]:
     """Folder and paths of archives that hold the crawl pages; ``spoilt`` tells whose responses are damaged.
 
     An application writes them once: they are an input, not a part of what reads them.
     """
     made = (spark.sparkContext.applicationId, sf_dir, spoilt)
-    if made not in _MADE:
+    if made not in _MADE or not _there(_MADE[made][1]):
         folder = scratch_dir(spark, "archives")
         pages = inputs.pages(spark, sf_dir).withColumn("archive", F.expr(f"CAST(page_id % {ARCHIVES} AS int)")).withColumn("spoilt", F.expr(spoilt))
         _MADE[made] = folder, write_archives(pages.repartition(ARCHIVES, "archive").sortWithinPartitions("archive", "page_id"), folder)
