@@ -32,9 +32,11 @@ PROJECTIONS, THRESHOLD = 96, 0.7
 #: The chance that a vector as near as the last of the best ones has reached the threshold when a query stops.
 SURE = 0.9
 #: The first window's half width, in standard deviations of a projection, and the factor of each step.
-WIDTH, WIDER = 0.3, 1.2
+WIDTH, WIDER = 0.5, 1.35
 #: Vectors of a shard and queries of a block.
 SHARD, BLOCK = 8_192, 4_096
+#: Queries whose windows are widened together.
+TOGETHER = 256
 
 
 def reach(projections: int = PROJECTIONS, threshold: float = THRESHOLD, sure: float = SURE) -> float:
@@ -70,43 +72,47 @@ class Shard:
 
     def nearest(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, vector, cosine) of the ``k`` nearest of the vectors that are verified for each query."""
-        vectors = _scaled(vectors)
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        places = (vectors / norms[:, None]) @ self.axes
-        need, factor = int(np.ceil(THRESHOLD * PROJECTIONS)), reach()
         out = []
-        for q in range(len(ids)):
-            best = self._best(int(ids[q]), vectors[q], norms[q], places[q], k, need, factor)
-            out += [(int(ids[q]), int(self.ids[v]), cosine) for v, cosine in best]
+        for at in range(0, len(ids), TOGETHER):
+            out += self._nearest(ids[at : at + TOGETHER], _scaled(vectors[at : at + TOGETHER]), k)
         return out
 
-    def _best(self, own: int, vector: np.ndarray, norm: float, place: np.ndarray, k: int, need: int, factor: float) -> list[tuple[int, float]]:
-        hits = np.zeros(len(self.ids), dtype=np.int64)
-        known, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        low = high = None
-        width, done = WIDTH, np.zeros(len(self.ids), dtype=bool)
-        while True:
-            new_low = np.array([np.searchsorted(self.sorted[j], place[j] - width) for j in range(PROJECTIONS)])
-            new_high = np.array([np.searchsorted(self.sorted[j], place[j] + width, "right") for j in range(PROJECTIONS)])
-            if low is None:
-                parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low, new_high))]
-            else:
-                parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low, low))] + [self.order[j, a:b] for j, (a, b) in enumerate(zip(high, new_high))]
-            hits += np.bincount(np.concatenate(parts), minlength=len(hits))
-            whole = bool((new_low == 0).all() and (new_high == len(hits)).all())
-            reached = np.flatnonzero(((hits >= need) | whole) & ~done)
-            done[reached] = True
-            reached = reached[self.ids[reached] != own]
-            # row by row, so that equal vectors get equal sums and ties stay ties
-            cosines = np.concatenate([cosines, (self.vectors[reached] * vector).sum(axis=1) / (self.norms[reached] * norm)])
-            known = np.concatenate([known, reached])
-            self.verified += len(reached)
-            far = factor * np.sqrt(2.0 * max(0.0, 1.0 - np.partition(cosines, -k)[-k])) if len(known) >= k else np.inf
-            if whole or width >= far:
-                best = np.lexsort((self.ids[known], -cosines))[:k]
-                return [(int(known[b]), float(cosines[b])) for b in best.tolist()]
-            low, high = new_low, new_high
-            width = min(width * WIDER, far)
+    def _nearest(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+        norms = np.sqrt((vectors * vectors).sum(axis=1))
+        places = (vectors / norms[:, None]) @ self.axes
+        need, factor, count = int(np.ceil(THRESHOLD * PROJECTIONS)), reach(), len(self.ids)
+        hits, done = np.zeros((len(ids), count), dtype=np.int16), np.zeros((len(ids), count), dtype=bool)
+        known, cosines = [np.zeros(0, dtype=np.int64)] * len(ids), [np.zeros(0)] * len(ids)
+        low = high = np.zeros((len(ids), PROJECTIONS), dtype=np.int64)
+        opened = False
+        widths, live = np.full(len(ids), WIDTH), np.arange(len(ids))
+        out: list[list[tuple[int, int, float]]] = [[] for _ in ids]
+        while len(live):
+            new_low = np.stack([np.searchsorted(self.sorted[j], places[live, j] - widths[live]) for j in range(PROJECTIONS)], axis=1)
+            new_high = np.stack([np.searchsorted(self.sorted[j], places[live, j] + widths[live], "right") for j in range(PROJECTIONS)], axis=1)
+            stay = np.ones(len(live), dtype=bool)
+            for n, q in enumerate(live.tolist()):
+                if opened:
+                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low[n], low[n]))] + [self.order[j, a:b] for j, (a, b) in enumerate(zip(high[n], new_high[n]))]
+                else:
+                    parts = [self.order[j, a:b] for j, (a, b) in enumerate(zip(new_low[n], new_high[n]))]
+                hits[q] += np.bincount(np.concatenate(parts), minlength=count).astype(np.int16)
+                whole = bool((new_low[n] == 0).all() and (new_high[n] == count).all())
+                reached = np.flatnonzero(~done[q] if whole else (hits[q] >= need) & ~done[q])
+                done[q, reached] = True
+                reached = reached[self.ids[reached] != ids[q]]
+                # row by row, so that equal vectors get equal sums and ties stay ties
+                cosines[q] = np.concatenate([cosines[q], (self.vectors[reached] * vectors[q]).sum(axis=1) / (self.norms[reached] * norms[q])])
+                known[q] = np.concatenate([known[q], reached])
+                self.verified += len(reached)
+                far = factor * np.sqrt(2.0 * max(0.0, 1.0 - np.partition(cosines[q], -k)[-k])) if len(known[q]) >= k else np.inf
+                if whole or widths[q] >= far:
+                    stay[n] = False
+                    best = np.lexsort((self.ids[known[q]], -cosines[q]))[:k]
+                    out[q] = [(int(ids[q]), int(self.ids[known[q][b]]), float(cosines[q][b])) for b in best.tolist()]
+                widths[q] = min(widths[q] * WIDER, far)
+            live, low, high, opened = live[stay], new_low[stay], new_high[stay], True
+        return [row for rows in out for row in rows]
 
 
 def _answer(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
