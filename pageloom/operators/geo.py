@@ -87,10 +87,13 @@ def _probes(ips: DataFrame, networks: DataFrame) -> DataFrame:
     )
 
 
-def match_ips(ips: DataFrame, blocks: DataFrame, all_matches: bool = False, unique: bool = False) -> DataFrame:
+def match_ips(
+    ips: DataFrame, blocks: DataFrame, all_matches: bool = False, unique: bool = False, shuffled: bool = False
+) -> DataFrame:
     """Distinct addresses of ``ips`` that lie in a block, with the block's columns.
 
     ``unique`` says that no address is there twice, so that they are not made distinct again.
+    ``shuffled`` says that the blocks are many more than Spark takes them for, so that they are never broadcast.
 
     The longest prefix wins, and among equal networks the least row. With
     ``all_matches`` every containing block gives a row, as a range join would.
@@ -98,7 +101,7 @@ def match_ips(ips: DataFrame, blocks: DataFrame, all_matches: bool = False, uniq
     networks = _networks(blocks)
     columns = [c for c in blocks.columns if c != "ip"]
     probes = _probes(ips.select("ip") if unique else ips.select("ip").distinct(), networks)
-    matched = skew_join(probes, networks, _NET)
+    matched = skew_join(probes, networks.hint("merge") if shuffled else networks, _NET)
     if all_matches:
         return matched.select("ip", *columns)
     # Least of (-length, row): an aggregate that combines before the shuffle.
@@ -112,6 +115,15 @@ def ip_range_join(facts: DataFrame, blocks: DataFrame, all_matches: bool = False
     return skew_join(facts, match_ips(facts, blocks, all_matches), ["ip"], "left")
 
 
+def _span_networks(spans: DataFrame, first: str, last: str) -> DataFrame:
+    """Each network that a span is made up of, with the span's width and columns as ``_span``."""
+    columns = [c for c in spans.columns if c != "ip"]
+    covered = spans.select(*columns, range_cover(F.col(first), F.col(last)).alias("_cover"))
+    row = F.struct(F.col("_cover.width").alias("_width"), *columns).alias("_span")
+    # Outer, as for a plain explode Spark infers a filter that works out the cover a second time.
+    return covered.select(row, F.explode_outer("_cover.networks").alias("network")).where("network IS NOT NULL")
+
+
 def match_spans(ips: DataFrame, spans: DataFrame, first: str = "start_ip", last: str = "end_ip", all_matches: bool = False) -> DataFrame:
     """Distinct addresses of ``ips`` that lie in a span of addresses, with the span's columns.
 
@@ -120,14 +132,15 @@ def match_spans(ips: DataFrame, spans: DataFrame, first: str = "start_ip", last:
     once. The narrowest span wins, and among equally wide ones the least row; with ``all_matches``
     every span that holds the address gives a row, as a range join would. What is no span is in ``span_rejects``.
     """
-    columns = [c for c in spans.columns if c != "ip"]
-    covered = spans.select(*columns, range_cover(F.col(first), F.col(last)).alias("_cover"))
-    row = F.struct(F.col("_cover.width").alias("_width"), *columns).alias("_span")
-    networks = covered.select(row, F.explode("_cover.networks").alias("network"))
-    matched = match_ips(ips, networks, all_matches=True)
+    networks = _span_networks(spans, first, last)
+    if not all_matches:
+        # All addresses of a network have the same least span among those it is a part of.
+        networks = networks.groupBy("network").agg(F.min("_span").alias("_span"))
+    # Spark takes the networks for as large as the table of spans, and would send them through the driver.
+    matched = match_ips(ips, networks, all_matches=True, shuffled=True)
     if not all_matches:
         matched = matched.groupBy("ip").agg(F.min("_span").alias("_span"))
-    return matched.select("ip", *[F.col(f"_span.{c}").alias(c) for c in columns])
+    return matched.select("ip", *[F.col(f"_span.{c}").alias(c) for c in spans.columns if c != "ip"])
 
 
 def ip_span_join(facts: DataFrame, spans: DataFrame, first: str = "start_ip", last: str = "end_ip", all_matches: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import ipaddress
 import random
+import re
 
 import pytest
 
@@ -114,3 +115,16 @@ def test_a_cover_is_whole_and_least():
             nets = [ipaddress.ip_network(n) for n in cover(str(ipaddress.IPv4Address(low)), str(ipaddress.IPv4Address(high)))]
             assert sorted(int(a) for n in nets for a in n) == list(range(low, high + 1))
             assert nets == list(ipaddress.summarize_address_range(ipaddress.IPv4Address(low), ipaddress.IPv4Address(high)))
+
+
+@pytest.mark.parametrize("all_matches", [False, True])
+def test_networks_of_spans_do_not_pass_the_driver(spark, tmp_path, all_matches):
+    """A span makes up to 62 networks, but Spark takes them for as small as the file of spans."""
+    spark.range(50).selectExpr("id", "concat('10.0.', id, '.1') AS start_ip", "concat('10.0.', id + 1, '.254') AS end_ip").write.parquet(str(tmp_path / "s"))
+    facts = spark.range(300).selectExpr("concat('10.0.', id % 60, '.', id % 256) AS ip", "id AS n")
+    joined = geo.ip_span_join(facts, spark.read.parquet(str(tmp_path / "s")), all_matches=all_matches)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[_(family#\d+, _prefix_len|network)", plan)
+    assert re.search(r"SortMergeJoin \[_family#\d+, _prefix_len", plan)
+    want = sum(max(1, sum(256 * k + 1 <= a <= 256 * (k + 1) + 254 for k in range(50))) if all_matches else 1 for a in (256 * (i % 60) + i % 256 for i in range(300)))
+    assert joined.count() == want
