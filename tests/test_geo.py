@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.functions.ip import cover
 from pageloom.operators import geo
@@ -128,3 +129,21 @@ def test_networks_of_spans_do_not_pass_the_driver(spark, tmp_path, all_matches):
     assert re.search(r"SortMergeJoin \[_family#\d+, _prefix_len", plan)
     want = sum(max(1, sum(256 * k + 1 <= a <= 256 * (k + 1) + 254 for k in range(50))) if all_matches else 1 for a in (256 * (i % 60) + i % 256 for i in range(300)))
     assert joined.count() == want
+
+
+def test_all_spans_of_facts_are_paired_last(spark):
+    """Pairs of a fact and a span are not shuffled: the spans join what the facts' addresses are parts of."""
+    facts = spark.createDataFrame(
+        [(1, "10.0.0.5", "a"), (1, "10.0.0.5", "a"), (2, "10.0.0.9", None), (3, "-", "x"), (4, None, "x"), (5, "::5", "x"), (6, "11.0.0.0", "x")],
+        "n int, ip string, network string",
+    ).withColumn("extra", F.create_map(F.lit("k"), "n"))
+    rows = [(1, "10.0.0.1", "10.0.0.6"), (1, "10.0.0.1", "10.0.0.6"), (2, "10.0.0.0", "10.0.1.255"), (3, "::1", "::5"), (4, "10.0.0.7", "10.0.0.1"), (5, None, "-")]
+    spans = spark.createDataFrame(rows, "id int, start_ip string, end_ip string")
+    joined = geo.ip_span_join(facts, spans, all_matches=True)
+    assert joined.columns == ["ip", "n", "network", "extra", "id", "start_ip", "end_ip"]
+    got = sorted((r.n, r.ip or "", r.network or "", r.extra["k"], r.id or 0, r.start_ip or "", r.end_ip or "") for r in joined.collect())
+    want = [(1, "10.0.0.5", "a", 1, *rows[k]) for k in (0, 1, 2)] * 2 + [(2, "10.0.0.9", "", 2, *rows[2]), (5, "::5", "x", 5, *rows[3])]
+    assert got == sorted(want + [(n, ip, "x", n, 0, "", "") for n, ip in ((3, "-"), (4, ""), (6, "11.0.0.0"))])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    last = re.search(r"(\w+Join) \[(\w+)#\d+\]", plan)
+    assert last.groups() == ("SortMergeJoin", "_network")
