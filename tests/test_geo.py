@@ -147,3 +147,32 @@ def test_all_spans_of_facts_are_paired_last(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     last = re.search(r"(\w+Join) \[(\w+)#\d+\]", plan)
     assert last.groups() == ("SortMergeJoin", "_network")
+
+
+def test_spans_of_one_split_are_taken_apart_in_many_tasks(spark):
+    """Spans are short rows, so one split of a file holds millions; they are dealt out before Python takes them apart."""
+    rows = [(k, f"10.0.{k % 9}.{k % 200}", f"10.0.{k % 9 + 1}.7") for k in range(400)] + [(k, None, None) for k in range(400, 500)]
+    spans = spark.createDataFrame(rows, "id int, start_ip string, end_ip string").withColumn("extra", F.create_map(F.lit("k"), "id")).coalesce(1)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = geo._span_networks(spans, "start_ip", "end_ip").groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("_span.id").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert len(tasks) == 4 and sum(r.n for r in tasks) == 400 and max(r.n for r in tasks) < 200
+    held = geo.ip_span_join(spark.createDataFrame([("10.0.3.50",)], "ip string"), spans, all_matches=True).collect()
+    want = [k for k, a, b in rows if a and ipaddress.ip_address(a) <= ipaddress.ip_address("10.0.3.50") <= ipaddress.ip_address(b)]
+    assert sorted(r.id for r in held) == want and all(r.extra == {"k": r.id} for r in held)
+
+
+def test_ends_of_spans_are_read_as_addresses_are():
+    """Dotted text has a quick way of its own; it takes what ``ipaddress`` takes."""
+    texts = [None, "", "-", "0.0.0.0", "255.255.255.255", "256.0.0.1", "01.2.3.4", "00.0.0.0", "1.2.3", "1.2.3.4.5", " 1.2.3.4", "1.2.3.4\n", "1.2.3.4/8",
+             "١.2.3.4", "1.2.3.²", "+1.2.3.4", "1_0.2.3.4", "1..2.3", "1000.2.3.4", "::", "::1", "::ffff:1.2.3.4", "2001:db8::"]
+    for text in texts:
+        try:
+            address = ipaddress.ip_address(text or "")
+        except ValueError:
+            assert cover(text, text) is None, text
+        else:
+            assert cover(text, text) == [str(ipaddress.ip_network(address))], text
